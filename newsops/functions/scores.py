@@ -52,22 +52,19 @@ def rarity_shift(count: Column) -> Column:
 
 
 def pick_codes(scores, codes=None, max_labels: int = 3, top1: float = 0.40,
-               shifts: Column | None = None, p=0.97, low=0.22, high=0.55) -> Column:
-    """Codes at or above the row's threshold (shifted per label by the map
-    column ``shifts``), best first; the top one when nothing passes but it
-    reaches ``top1``; then cut to ``max_labels``; then the whitelist."""
-    def shifted(t, label):
-        if shifts is None:
-            return t
-        return t + F.coalesce(F.try_element_at(shifts, label), F.lit(0.0))
-
+               shift=None, p=0.97, low=0.22, high=0.55) -> Column:
+    """Codes at or above the row's threshold (plus ``shift(label)``), best first;
+    the top one when nothing passes but it reaches ``top1``; then cut to
+    ``max_labels``; then the whitelist."""
+    shift = shift or (lambda label: F.lit(0.0))
     keyed = F.transform(col(scores), lambda e, i: F.struct(
-        (-e["score"]).alias("s"), i.alias("i"), e["label"].alias("label")))
+        (-e["score"]).alias("s"), i.alias("i"), e["label"].alias("label"),
+        shift(e["label"]).alias("shift")))
     threshold = adaptive_threshold(F.transform(col(scores), lambda e: e["score"]), p, low, high)
 
     def choose(both):
         order, t = both["order"], both["t"]
-        passing = F.filter(order, lambda e: -e["s"] >= shifted(t, e["label"]))
+        passing = F.filter(order, lambda e: -e["s"] >= t + e["shift"])
         first = F.filter(F.slice(order, 1, 1), lambda e: -e["s"] >= top1)
         return F.transform(
             F.slice(F.when(F.size(passing) > 0, passing).otherwise(first), 1, max_labels),

@@ -59,29 +59,21 @@ def pick_labels(df: DataFrame, codes, scores: str = "scores", out: str = "correl
     size, and sessions run in parallel."""
     if rarity == "exact":
         return _pick_in_session(df, list(codes), scores, out, max_labels, top1, session, seq, low, high)
+    def pick(shift):
+        return S.pick_codes(scores, codes, max_labels, top1, shift, low=low, high=high)
+
     if rarity == "off":
-        return df.withColumn(out, S.pick_codes(
-            scores, codes, max_labels, top1, None, low=low, high=high))
+        return df.withColumn(out, pick(None))
+    rare = F.lit(-0.02)  # a code without a count is rare
     if counts is None:
-        no_counts = F.create_map().cast("map<string,double>")
-        return df.withColumn(
-            out, _frozen_pick(scores, codes, max_labels, top1, no_counts, low, high))
-    known = counts.filter(F.col("code").isin(*codes)) if codes else counts
-    table = known.agg(F.map_from_entries(F.collect_list(
+        return df.withColumn(out, pick(lambda label: rare))
+    if not codes:
+        raise ValueError("rarity counts need the code list that bounds them")
+    table = counts.filter(F.col("code").isin(*codes)).agg(F.map_from_entries(F.collect_list(
         F.struct("code", S.rarity_shift(F.col("n"))))).alias("_shifts"))
     joined = df.crossJoin(F.broadcast(table))
-    return joined.withColumn(
-        out, _frozen_pick(scores, codes, max_labels, top1, F.col("_shifts"), low, high)
-    ).drop("_shifts")
-
-
-def _frozen_pick(scores, codes, max_labels, top1, shifts, low, high) -> Column:
-    # A code without a count is rare: it takes the low bar.
-    filled = F.map_from_arrays(
-        F.transform(col(scores), lambda e: e["label"]),
-        F.transform(col(scores), lambda e: F.coalesce(
-            F.try_element_at(shifts, e["label"]), F.lit(-0.02))))
-    return S.pick_codes(scores, codes, max_labels, top1, filled, low=low, high=high)
+    return joined.withColumn(out, pick(
+        lambda label: F.coalesce(F.try_element_at(F.col("_shifts"), label), rare))).drop("_shifts")
 
 
 def _pick_in_session(df, codes, scores, out, max_labels, top1, session, seq, low, high):

@@ -77,7 +77,7 @@ def _join_strata(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
                            *[c for c in right.columns if c not in by])
     on = F.lit(True)
     for k in by:
-        on = on & left[k].eqNullSafe(F.col(f"_r_{k}"))
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
     return left.join(F.broadcast(renamed), on, "left").drop(*[f"_r_{k}" for k in by])
 
 
@@ -91,14 +91,12 @@ def _edges(keys: DataFrame, by: list[str], sizes: Column) -> DataFrame:
         *by, "_bucket", F.sum("_n").over(group).alias("_total"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     takes = (placed.select(*by, "_total").distinct()
-             .withColumn("_take", sizes.cast("bigint")).drop("_total"))
-    if by:
-        cond = F.lit(True)
-        for k in by:
-            cond = cond & placed[k].eqNullSafe(takes[k])
-        both = placed.join(takes, cond).select(*[placed[k] for k in by], "_bucket", "_before", "_take")
-    else:
-        both = placed.crossJoin(takes)
+             .withColumn("_take", sizes.cast("bigint"))
+             .select(*[F.col(k).alias(f"_r_{k}") for k in by], "_take"))
+    cond = F.lit(True)
+    for k in by:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    both = placed.join(takes, cond) if by else placed.crossJoin(takes)
     reached = F.when(F.col("_before") < F.col("_take"), F.col("_bucket"))
     return both.groupBy(*by).agg(
         F.max(reached).alias("_edge"),
@@ -161,9 +159,9 @@ def _flag_many(df, keys, by, key, edges, seed, out, where) -> DataFrame:
     cuts = per_bucket.join(groups, on).select(
         *[F.col(k).alias(f"_c_{k}") for k in by], F.col("_bucket").alias("_c_bucket"),
         "_edge", "_left")
-    on = hashed["_bucket"] == F.col("_c_bucket")
+    on = F.col("_bucket") == F.col("_c_bucket")
     for k in by:
-        on = on & hashed[k].eqNullSafe(F.col(f"_c_{k}"))
+        on = on & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
     w = Window.partitionBy(*by, "_bucket").orderBy("_h", "_k")
     ranked = hashed.join(cuts, on, "left").withColumn("_rn", F.row_number().over(w))
     flag = F.coalesce(

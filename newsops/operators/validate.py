@@ -149,6 +149,13 @@ def file_issue(spark, by: str, path: str, kind: str = "file_not_found", bad_rows
     return spark.range(1).select(F.lit(path).alias(by), F.inline(F.array(_issue(kind, message))))
 
 
+def missing_files(expected: DataFrame, present: DataFrame, by: str = "name") -> DataFrame:
+    """``file_not_found`` for every expected name that the catalogue lacks."""
+    lost = expected.select(by).distinct().join(present.select(by).distinct(), by, "left_anti")
+    message = F.format_string(vocab.MSG_NO_FILE, by)
+    return lost.select(by, F.inline(F.array(_issue("file_not_found", message))))
+
+
 def report(df: DataFrame, issues: DataFrame, by: str, datasets: DataFrame | None = None) -> DataFrame:
     """One row per file: success, issue counts and, for a successful non-empty
     file, its statistics."""

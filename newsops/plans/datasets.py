@@ -222,15 +222,15 @@ def repair(df: DataFrame, seq: str, max_length: int = 512, by=()) -> DataFrame:
     return dedup.dedup_first(rows.filter(T.not_blank("text")), "text", seq, by)
 
 
-def to_daily(df: DataFrame, run_date, file: str = "file") -> DataFrame:
-    """Daily rows: valid rows with rule importance and the file's date.  Files
-    that share a date are united."""
+def to_daily(df: DataFrame, run_date, file: str = "file", high=None, medium=None) -> DataFrame:
+    """Daily rows: valid rows with rule importance and the file's date.  One job
+    converts any number of files; files that share a date are united."""
     rows = df.filter(L.valid_daily("text", "label"))
     extra = [c for c in ("url", "title", "source", "published_at", "seq") if c in df.columns]
     text = T.strip("text")
     return rows.select(
         text.alias("text"), F.lower("label").alias("label_sentiment"),
-        X.importance(text, rule="daily").alias("label_importance"), *extra,
+        X.importance(text, high, medium, "daily").alias("label_importance"), *extra,
         files.daily_date(file, run_date).alias("date"))
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_expressions"]
+MODULES = ["q_expressions", "q_tables", "q_runs"]
 
 
 def load():

@@ -237,7 +237,7 @@ def c4(spark, d):
 
 
 @query("c5_title_case", r"""select doc_id, array_to_string(list_transform(
-    regexp_extract_all(upper(text), '[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+'),
+    regexp_extract_all(upper(replace(text, 'ß', 'ss')), '[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+'),
     lambda r: upper(r[1]) || lower(r[2:])), '') as text from documents""")
 def c5(spark, d):
     return table(spark, d, "documents").select("doc_id", T.py_title(F.upper("text")).alias("text"))
