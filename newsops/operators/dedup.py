@@ -8,6 +8,12 @@ from newsops.operators.ranking import first_n
 from newsops.session import materialise
 
 
+# Narrow tables of up to this many rows (tens of megabytes) may be broadcast.
+BROADCAST_ROWS = 1_000_000
+# Duplicate groups are joined and listed per span of this many lines.
+LINE_SPAN = 10_000
+
+
 def dedup_first(df: DataFrame, key: str, seq: str, by=()) -> DataFrame:
     """Keep the row with the lowest ``seq`` per exact ``key`` value.
 
@@ -35,50 +41,61 @@ def accept(df: DataFrame, seen: DataFrame | None, quota: dict[str, int], seq: st
            source: str = "source_type", title: str = "title", content: str = "content",
            use_cache: bool = True) -> tuple[DataFrame, DataFrame]:
     """Collection acceptance.  Sources are taken in the order of ``quota``; a
-    source yields its first ``n`` articles by ``seq`` that have enough content
-    and whose title fingerprint is neither seen nor accepted before.  Returns
-    (accepted rows with ``hash``, new hashes for the seen table).
-
-    A source's accepted set holds at most its quota.  It is written to the shared
-    folder, so later sources read it back instead of planning it again."""
-    eligible = df.filter(min_content(title, content)).withColumn("hash", article_hash(title))
-    if use_cache and seen is not None:
-        eligible = drop_seen(eligible, seen.select("hash"), "hash")
-    accepted: DataFrame | None = None
-    for name, n in quota.items():
-        mine = eligible.filter(F.col(source) == name)
-        if use_cache:
-            if accepted is not None:
-                mine = mine.join(accepted.select("hash"), "hash", "left_anti")
-            mine = dedup_first(mine, "hash", seq)
-        mine = materialise(first_n(mine, [], seq, n).select(*eligible.columns), f"accepted-{name}")
-        accepted = mine if accepted is None else accepted.unionByName(mine)
-    if accepted is None:
-        accepted = eligible.limit(0)
-    return accepted, accepted.select("hash").distinct()
-
-
-def duplicate_counts(df: DataFrame, by=(), text: str = "text") -> DataFrame:
+    source yields its first ``n`` articles by ``seq`` (unique) that have enough
+    content and whose title fingerprint is neither seen nor accepted before.
+    Returns (accepted rows with ``hash``, new hashes for the seen table).
+
+    The articles are read twice: once to write (seq, source, hash) of the
+    eligible ones, once to fetch the accepted rows.  Everything between works on
+    that narrow table, and each source adds at most its quota."""
+    spark = df.sparkSession
+    eligible = df.filter(min_content(title, content) & F.col(source).isin(*quota)).select(
+        F.col(seq).alias("_seq"), F.col(source).alias("_source"), article_hash(title).alias("hash"))
+    if use_cache:
+        # First of every fingerprint per source: a hot title is gone before the
+        # anti join sees it.
+        eligible = dedup_first(eligible, "hash", "_seq", ["_source"])
+        if seen is not None:
+            eligible = drop_seen(eligible, seen, "hash")
+    eligible = materialise(eligible, "eligible")
+    accepted = spark.createDataFrame([], eligible.schema)
+    for i, (name, n) in enumerate(quota.items()):
+        mine = eligible.filter(F.col("_source") == name)
+        if use_cache and i:
+            mine = mine.join(accepted.select("hash"), "hash", "left_anti")
+        mine = materialise(first_n(mine, [], "_seq", n).select(*eligible.columns), "accepted")
+        accepted = mine if i == 0 else accepted.unionByName(mine)
+    chosen = accepted.select("_seq", "hash")
+    if sum(quota.values()) <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    rows = df.join(chosen, F.col(seq) == F.col("_seq")).drop("_seq")
+    return rows, accepted.select("hash").distinct()
+
+
+def duplicate_counts(df: DataFrame, by=(), text: str = "text", key: str | None = None) -> DataFrame:
     """Non-null rows minus distinct texts, per group: exact, and pre-aggregated
     on a fingerprint before the shuffle."""
     by = [by] if isinstance(by, str) else list(by)
-    per_text = (df.filter(F.col(text).isNotNull())
-                .groupBy(*by, F.md5(text).alias("_t")).agg(F.count(F.lit(1)).alias("_n")))
+    finger = F.md5(text) if key is None else F.col(key)
+    per_text = (df.filter(finger.isNotNull())
+                .groupBy(*by, finger.alias("_t")).agg(F.count(F.lit(1)).alias("_n")))
     return per_text.groupBy(*by).agg(F.sum(F.col("_n") - 1).alias("duplicates"))
 
 
-def duplicate_lines(df: DataFrame, by: str, line: str = "line_number",
-                    text: str = "text") -> DataFrame:
+def duplicate_lines(df: DataFrame, by: str, line: str = "line_number", text: str = "text") -> DataFrame:
     """Long form of the duplicate groups: every line of every text that occurs
-    more than once in its file.  Only fingerprints and line numbers are
-    shuffled; a hot text is split by AQE's skew join."""
+    more than once in its file, with the group's size and first line.  Only
+    fingerprints and line numbers are shuffled, and they are joined per span of
+    lines, so a text that fills a file is spread over the file's spans."""
     keyed = df.filter(F.col(text).isNotNull()).select(
-        by, F.md5(text).alias("text_key"), F.col(line).cast("bigint").alias("line_number"))
-    groups = (keyed.groupBy(by, "text_key")
-              .agg(F.count(F.lit(1)).alias("group_size"),
-                   F.min("line_number").alias("first_line"))
-              .filter("group_size > 1"))
-    return keyed.join(groups, [by, "text_key"])
+        by, F.md5(text).alias("text_key"), F.col(line).cast("bigint").alias("line_number"),
+        F.floor(F.col(line) / LINE_SPAN).alias("_span"))
+    spans = keyed.groupBy(by, "text_key", "_span").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("line_number").alias("_min"))
+    groups = spans.groupBy(by, "text_key").agg(
+        F.sum("_n").alias("group_size"), F.min("_min").alias("first_line")).filter("group_size > 1")
+    wanted = spans.select(by, "text_key", "_span").join(groups, [by, "text_key"])
+    return keyed.join(wanted, [by, "text_key", "_span"]).drop("_span")
 
 
 def union_prioritised(*dfs: DataFrame) -> DataFrame:

@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsops import vocab
 from newsops.functions.labels import lookup, valid_sentiment
 from newsops.functions.text import has_suspicious, is_blank, is_upper, strip
-from newsops.operators.dedup import duplicate_counts
+from newsops.operators.dedup import LINE_SPAN, duplicate_counts
 
 ISSUE_FIELDS = ["type", "message", "line_number", "field", "severity", "part"]
-# Line numbers listed in one duplicate-text message come from one span of lines.
-LINE_SPAN = 10_000
 
 
 def _issue(kind: str, message: Column | str, line: Column | None = None,
@@ -25,39 +23,56 @@ def _issue(kind: str, message: Column | str, line: Column | None = None,
         (F.lit(0) if part is None else part).cast("bigint").alias("part"))
 
 
+def facts(df: DataFrame, by: str | None = None, line: str = "line_number") -> DataFrame:
+    """What the rules need to know about a row, without its text: label, lengths,
+    flags, text fingerprint and the first characters for messages."""
+    out = [by] if by else []
+    if line in df.columns:
+        out.append(F.col(line).cast("bigint").alias("line_number"))
+    if "label" in df.columns:
+        out.append(F.col("label"))
+    if "text" in df.columns:
+        text = F.col("text")
+        out += [
+            F.length(text).alias("_len"), F.length(strip(text)).alias("_stripped"),
+            has_suspicious(text).alias("_odd"), is_upper(text).alias("_caps"),
+            F.md5(text).alias("_key"), F.left(text, F.lit(50)).alias("_head")]
+    return df.select(*out)
+
+
+def _facts(df: DataFrame, by: str | None, line: str = "line_number") -> DataFrame:
+    return df if "text" not in df.columns else facts(df, by, line)
+
+
 def row_issues(df: DataFrame, by: str | None = None, max_length: int = 512,
                line: str = "line_number") -> DataFrame:
-    """Rules that look at one row.  One projection builds the row's issues as an
-    array and unfolds it: no shuffle, one scan for all rules."""
-    at = F.col(line)
+    """Rules that look at one row (of a dataset or of its facts).  One projection
+    builds the row's issues as an array and unfolds it: no shuffle, one scan."""
+    df = _facts(df, by, line)
+    at, length = F.col("line_number"), F.col("_len")
     rules: list[Column] = []
-    if {"text", "label"} <= set(df.columns):
-        text, label = F.col("text"), F.col("label")
+    if {"_len", "label"} <= set(df.columns):
+        label = F.col("label")
         no_label = is_blank(label)
         bad_label = ~no_label & ~F.coalesce(strip(F.lower(label)).isin(*vocab.SENTIMENTS), F.lit(False))
         rules += [
             F.when(no_label, _issue("missing_label", vocab.MSG_MISSING_LABEL, at, "label")),
             F.when(bad_label, _issue(
                 "invalid_label", F.format_string(vocab.MSG_INVALID_LABEL, label), at, "label")),
-            F.when(text.isNull() & ~no_label & ~bad_label,
+            F.when(length.isNull() & ~no_label & ~bad_label,
                    _issue("missing_text", vocab.MSG_MISSING_TEXT, at, "text")),
-            F.when(text.isNotNull() & is_blank(text),
-                   _issue("empty_text", vocab.MSG_EMPTY_TEXT, at, "text")),
+            F.when(F.col("_stripped") == 0, _issue("empty_text", vocab.MSG_EMPTY_TEXT, at, "text")),
         ]
-    if "text" in df.columns:
-        text = F.col("text")
-        present = text.isNotNull() & (text != "")
-
+    if "_len" in df.columns:
         def warn(cond, kind, message):
-            return F.when(present & cond, _issue(kind, message, at, "text", "warning"))
+            return F.when((length > 0) & cond, _issue(kind, message, at, "text", "warning"))
 
         rules += [
-            warn(F.length(strip(text)) < 10, "very_short_text",
-                 F.format_string(vocab.MSG_VERY_SHORT, F.length(text))),
-            warn(F.length(text) > max_length, "text_too_long",
-                 F.format_string(vocab.MSG_TOO_LONG, F.length(text), F.lit(max_length))),
-            warn(has_suspicious(text), "suspicious_characters", vocab.MSG_SUSPICIOUS),
-            warn((F.length(text) > 20) & is_upper(text), "all_caps_text", vocab.MSG_ALL_CAPS),
+            warn(F.col("_stripped") < 10, "very_short_text", F.format_string(vocab.MSG_VERY_SHORT, length)),
+            warn(length > max_length, "text_too_long",
+                 F.format_string(vocab.MSG_TOO_LONG, length, F.lit(max_length))),
+            warn(F.col("_odd"), "suspicious_characters", vocab.MSG_SUSPICIOUS),
+            warn((length > 20) & F.col("_caps"), "all_caps_text", vocab.MSG_ALL_CAPS),
         ]
     keep = [by] if by else []
     if not rules:
@@ -69,22 +84,20 @@ def duplicate_issues(df: DataFrame, by: str, line: str = "line_number") -> DataF
     """One warning per duplicated text and file, listing its lines.  The lines of
     a message come from one span of LINE_SPAN lines, so no list grows without
     bound; a text that recurs over several spans continues in further rows with
-    ``part`` > 0, which the report does not count again."""
-    keyed = df.filter(F.col("text").isNotNull()).select(
-        by, F.md5("text").alias("_t"), F.left("text", F.lit(50)).alias("_head"),
-        F.col(line).cast("bigint").alias("_line"))
-    # Partial aggregates: per (file, text, span) first, then per (file, text).
-    spans = keyed.groupBy(by, "_t", F.floor(F.col("_line") / LINE_SPAN).alias("_span")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_line").alias("_min"))
-    groups = spans.groupBy(by, "_t").agg(
-        F.sum("_n").alias("_size"), F.min("_min").alias("_first")).filter("_size > 1").drop("_size")
-    hit = keyed.join(groups, [by, "_t"])
-    listed = hit.groupBy(by, "_t", F.floor(F.col("_line") / LINE_SPAN).alias("_span")).agg(
-        F.array_join(F.array_sort(F.collect_list("_line")).cast("array<string>"), ", ").alias("_lines"),
+    ``part`` > 0, which the report does not count again.  Only fingerprints, line
+    numbers and message heads are shuffled."""
+    keyed = _facts(df, by, line).filter(F.col("_key").isNotNull()).select(
+        by, "_key", "_head", "line_number", F.floor(F.col("line_number") / LINE_SPAN).alias("_span"))
+    spans = keyed.groupBy(by, "_key", "_span").agg(F.count(F.lit(1)).alias("_n"))
+    groups = spans.groupBy(by, "_key").agg(
+        F.sum("_n").alias("_size"), F.min("_span").alias("_first")).filter("_size > 1").drop("_size")
+    # Joined per span, so a text that fills a file is spread over its spans.
+    wanted = spans.join(groups, [by, "_key"]).select(by, "_key", "_span", "_first")
+    listed = keyed.join(wanted, [by, "_key", "_span"]).groupBy(by, "_key", "_span").agg(
+        F.array_join(F.array_sort(F.collect_list("line_number")).cast("array<string>"), ", ").alias("_lines"),
         F.min("_head").alias("_head"), F.min("_first").alias("_first"))
-    part = F.col("_span") - F.floor(F.col("_first") / LINE_SPAN)
     issue = _issue("duplicate_text", F.format_string(vocab.MSG_DUPLICATE, "_lines", "_head"),
-                   severity="warning", part=part)
+                   severity="warning", part=F.col("_span") - F.col("_first"))
     return listed.select(by, F.inline(F.array(issue)))
 
 
@@ -122,7 +135,7 @@ def structure_issues(df: DataFrame, by: str, datasets: DataFrame | None = None,
     """Missing and extra columns, empty files, too few samples.  ``datasets``
     lists the expected files, so that an empty one is noticed; ``columns`` are
     the columns found in the files (default: those of ``df``)."""
-    found = [c for c in (columns or df.columns) if c not in (by, "line_number", "seq")]
+    found = [c for c in (columns or df.columns) if c not in (by, "line_number")]
     missing = [c for c in ("label", "text") if c not in found]
     extra = sorted(c for c in found if c not in ("label", "text"))
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
@@ -158,12 +171,13 @@ def missing_files(expected: DataFrame, present: DataFrame, by: str = "name") ->
 
 def report(df: DataFrame, issues: DataFrame, by: str, datasets: DataFrame | None = None) -> DataFrame:
     """One row per file: success, issue counts and, for a successful non-empty
-    file, its statistics."""
+    file, its statistics.  ``df`` is the dataset or its facts."""
     counted = issues.filter("part = 0").groupBy(by).agg(
         F.count_if(F.col("severity") == "error").alias("error_count"),
         F.count_if(F.col("severity") == "warning").alias("warning_count"))
+    df = _facts(df, by)
     cols = set(df.columns)
-    length = F.length("text") if "text" in cols else F.lit(None).cast("int")
+    length = F.col("_len") if "_len" in cols else F.lit(None).cast("int")
     label = F.col("label") if "label" in cols else F.lit(None).cast("string")
     stats = df.groupBy(by).agg(
         F.count(F.lit(1)).alias("total_samples"), F.count_if(valid_sentiment(label)).alias("valid_samples"),
@@ -179,8 +193,8 @@ def report(df: DataFrame, issues: DataFrame, by: str, datasets: DataFrame | None
         stats = stats.join(dist, by, "left")
     else:
         stats = stats.withColumn("label_distribution", F.lit(None).cast("string"))
-    if "text" in cols:
-        stats = stats.join(duplicate_counts(df, by), by, "left")
+    if "_key" in cols:
+        stats = stats.join(duplicate_counts(df, by, key="_key"), by, "left")
     else:
         stats = stats.withColumn("duplicates", F.lit(0).cast("bigint"))
     if datasets is None:

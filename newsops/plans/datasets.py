@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsops import vocab
 from newsops.functions import codes as C, labels as L, lexicon as X, text as T
 from newsops.operators import correlate, dedup, model, ranking, sampling, validate as V
+from newsops.session import materialise
 from newsops.sources import files
 
 RULES = "rule_based"
@@ -182,16 +183,20 @@ def standardise(df: DataFrame, target: str = "label", keep_unlabelled: bool = Fa
 
 def validate(df: DataFrame, by: str = "file", max_length: int = 512, min_samples: int = 10,
              datasets: DataFrame | None = None, columns=None):
-    """Issue table and per-file report.  ``df`` needs ``line_number``."""
-    found = set(columns or df.columns)
-    issues = V.structure_issues(df, by, datasets, min_samples, columns)
+    """Issue table and per-file report.  ``df`` needs ``line_number``.  The texts
+    are read once, into a narrow table of facts; all rules work on that.  Facts
+    and issues are written to the shared folder."""
+    found = list(columns or df.columns)
+    facts = materialise(V.facts(df, by), "facts")
+    issues = V.structure_issues(facts, by, datasets, min_samples, found)
     if "text" in found:
-        issues = issues.unionByName(V.row_issues(df, by, max_length))
+        issues = issues.unionByName(V.row_issues(facts, by, max_length))
         if "label" in found:
-            issues = issues.unionByName(V.duplicate_issues(df, by))
+            issues = issues.unionByName(V.duplicate_issues(facts, by))
     if "label" in found:
-        issues = issues.unionByName(V.class_balance_issues(df, by, datasets))
-    return issues, V.report(df, issues, by, datasets)
+        issues = issues.unionByName(V.class_balance_issues(facts, by, datasets))
+    issues = materialise(issues, "issues")
+    return issues, V.report(facts, issues, by, datasets)
 
 
 def validate_file(spark, path: str, max_length: int = 512, min_samples: int = 10):
@@ -241,7 +246,8 @@ def replay_buffer(today: DataFrame, history: DataFrame, key: str, size: int = 80
     both = dedup.union_prioritised(today, history)
     both = both.filter(T.non_empty("text").isNotNull()).withColumn(
         "_order", F.struct("priority", key))
-    unique = dedup.dedup_first(both, "text", "_order").drop("_order")
+    # The samples below look at the rows several times: keep the shuffled result.
+    unique = materialise(dedup.dedup_first(both, "text", "_order").drop("_order"), "replay")
     if balance:
         if "label" in unique.columns:
             unique = unique.withColumn("_label", F.coalesce(T.non_empty(label), T.non_empty("label")))

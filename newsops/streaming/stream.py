@@ -38,7 +38,7 @@ def exact_dedup(df: DataFrame, out: str, seen: str, checkpoint: str, seq: str =
         spark = batch.sparkSession
         rows = batch.withColumn("hash", article_hash(key))
         known = read_batches(spark, seen, "hash string").filter(F.col("batch_id") < batch_id)
-        fresh = dedup.dedup_first(dedup.drop_seen(rows, known, "hash"), "hash", seq)
+        fresh = dedup.drop_seen(dedup.dedup_first(rows, "hash", seq), known, "hash")
         fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         written = spark.read.parquet(f"{out}/batch_id={batch_id}")
         written.select("hash").write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")

@@ -252,10 +252,10 @@ def today_and_history(spark, d):
     return (rows.filter(F.col("date") == F.lit(RUN_DATE).cast("date")), files.history_window(rows, RUN_DATE, 12))
 
 
-@query("i6_replay_buffer", f"""with {HISTORY}, both as (select *, 0 as priority from today
+@query("i6_replay_buffer", f"""with {HISTORY}, merged as (select *, 0 as priority from today
       union all select *, 1 from history),
     uniq as (select * from (select *, row_number() over (partition by text order by priority, doc_id) as first
-      from both) where first = 1),
+      from merged) where first = 1),
     bal as (select * from (select *, row_number() over (partition by label_sentiment
         order by {_h('doc_id', 42)}, doc_id::varchar) as rn from uniq)
       where rn <= (select min(n) from (select count(*) as n from uniq group by label_sentiment)))
