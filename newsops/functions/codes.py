@@ -1,9 +1,9 @@
 """Commodity-code strings and multi-hot vectors."""
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from newsops.functions.text import col, strip
+from newsops.functions.text import col, let, strip
 
 
 def country_of(c) -> Column:
@@ -40,8 +40,10 @@ def whitelist(c, codes) -> Column:
 
 def multi_hot(c, codes) -> Column:
     """0/1 vector over the ordered code list; unknown codes are ignored."""
-    return F.transform(F.array(*[F.lit(x) for x in codes]),
-                       lambda x: F.array_contains(col(c), x).cast("double"))
+    table = F.array(*[F.lit(x) for x in codes])
+    # The codes are bound first: inside the lambda they would be derived per code.
+    return let(col(c), lambda mine: F.transform(
+        table, lambda x: F.array_contains(mine, x).cast("double")))
 
 
 def codes_from_scores(c, codes, threshold: float = 0.5) -> Column:
@@ -51,3 +53,9 @@ def codes_from_scores(c, codes, threshold: float = 0.5) -> Column:
         F.zip_with(table, col(c), lambda code, v: F.when(v > threshold, code)),
         lambda x: x.isNotNull())
     return F.array_join(picked, ",")
+
+
+def each_code(df: DataFrame, codes: str, *keep) -> DataFrame:
+    """One row per code.  The outer form keeps Spark from inferring a size filter
+    that would be pushed down and derive the codes a second time."""
+    return df.select(*keep, F.explode_outer(codes).alias("code")).filter(F.col("code").isNotNull())

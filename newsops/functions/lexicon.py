@@ -92,8 +92,15 @@ def quality_score(title, text, source, correlations, sentiment_confidence=None,
 def detect_countries(c, names: dict[str, str] = vocab.COUNTRY_NAMES) -> Column:
     """Distinct country codes whose name occurs, in dictionary order."""
     low = F.lower(col(c))
-    return F.array_distinct(F.array_compact(F.array(
-        *[F.when(F.contains(low, F.lit(name)), F.lit(code)) for name, code in names.items()])))
+    return _present([F.when(F.contains(low, F.lit(name)), F.lit(code)) for name, code in names.items()])
+
+
+def _present(options: list[Column]) -> Column:
+    """The distinct non-null options, in order.  ``array_except`` is compiled with
+    its inputs; a lambda would evaluate every ``lower(text)`` anew."""
+    if not options:
+        return F.array().cast("array<string>")
+    return F.array_except(F.array(*options), F.array(F.lit(None).cast("string")))
 
 
 def rule_codes(c, names=vocab.COUNTRY_NAMES, exports=vocab.COUNTRY_EXPORTS,
@@ -112,6 +119,6 @@ def rule_codes(c, names=vocab.COUNTRY_NAMES, exports=vocab.COUNTRY_EXPORTS,
         words = products.get(product, [product.lower()])
         found.append(F.when(any_term(low, aliases) & any_term(low, words),
                             F.lit(f"{country}:{product}")))
-    codes = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    codes = _present(found)
     eligible = ~any_term(low, company) & any_term(low, macro)
     return F.when(eligible, codes).otherwise(F.array().cast("array<string>"))

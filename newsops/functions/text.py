@@ -55,7 +55,7 @@ def first_non_empty(*cols: Column | str, default: str | None = None) -> Column:
 
 def article_hash(c: Column | str) -> Column:
     """Fingerprint: lower, strip, keep alphanumerics and whitespace, md5."""
-    kept = F.regexp_replace(strip(F.lower(col(c))), rf"[^\p{{L}}\p{{N}}{WS_CLASS}]", "")
+    kept = F.regexp_replace(strip(F.lower(col(c))), rf"[^\p{{L}}\p{{N}}{WS_CLASS}]+", "")
     return F.md5(kept)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from newsops import vocab
 from newsops.functions import scores as S
+from newsops.functions.codes import each_code
 from newsops.functions.text import col
 
 
@@ -15,10 +16,6 @@ def exposure_table(spark: SparkSession, rows=vocab.EXPOSURES) -> DataFrame:
         rows, "code string, category string, exporters array<string>, direction string")
 
 
-def explode_codes(df: DataFrame, codes: str, keep) -> DataFrame:
-    return df.select(*keep, F.explode(codes).alias("code"))
-
-
 def with_category(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Inner join on ``code``.  Spark broadcasts the dictionary by its measured
     size, and shuffles it when a caller plugs in a large one."""
@@ -42,8 +39,7 @@ def choose_codes(model_codes, rule_codes) -> Column:
 
 def code_counts(df: DataFrame, codes: str = "correlations") -> DataFrame:
     """(code, n): the counts a later batch uses as its rarity table."""
-    return (df.select(F.explode(codes).alias("code")).groupBy("code")
-            .agg(F.count(F.lit(1)).alias("n")))
+    return each_code(df, codes).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def pick_labels(df: DataFrame, codes, scores: str = "scores", out: str = "correlations",

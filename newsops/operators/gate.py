@@ -7,7 +7,8 @@ from newsops import vocab
 
 
 def _fixed(x: Column) -> Column:
-    return F.format_string("%.3f", x)
+    # format_number rounds the exact binary value, as Python's formatting does.
+    return F.format_number(x, 3)
 
 
 def baseline_default(df_new: DataFrame, multi_label: bool) -> DataFrame:

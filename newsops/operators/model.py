@@ -123,7 +123,7 @@ def fit_multilabel(df: DataFrame, codes, labels: str = "labels", text: str = "te
     clipped negative/positive ratios.  The loop runs over codes, not rows."""
     k = len(codes)
     weights = [(r["code"], r["positives"], r["weight"])
-               for r in positive_weights(df, labels, k).collect()]  # k rows
+               for r in positive_weights(df, labels).collect()]  # k rows
     feats = featuriser(text, features).fit(df)
     train = feats.transform(df).select("features", labels).persist()
     models = {}

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsops.functions.text import non_empty
+from newsops.operators.metrics import positive_counts
 from newsops.operators.ranking import exact_sample, flag_sample, over_strata
 
 
@@ -110,22 +111,22 @@ def validation_or_train(df: DataFrame) -> DataFrame:
     return df.filter("split = 'train'") if part.isEmpty() else part
 
 
-def rarest_code(df: DataFrame, hot: str, k: int) -> DataFrame:
+def rarest_code(df: DataFrame, hot: str) -> DataFrame:
     """Adds ``stratum``: the index of the row's rarest positive code (-1 if it
-    has none).  The k counts come from one pass and join as a single row."""
-    freq = df.agg(F.array(*[
-        F.coalesce(F.sum(F.element_at(hot, i + 1)), F.lit(0.0)) for i in range(k)]).alias("_freq"))
+    has none).  The counts, one per code, join as a single row."""
+    freq = positive_counts(df, hot).agg(F.array_sort(F.collect_list(
+        F.struct("code", "positives"))).alias("_freq"))
     positive = F.filter(
-        F.zip_with(hot, F.transform("_freq", lambda f, i: F.struct(f.alias("f"), i.alias("i"))),
-                   lambda v, e: F.when(v > 0, e)),
+        F.zip_with(hot, "_freq", lambda v, e: F.when(
+            v > 0, F.struct(e["positives"].alias("f"), e["code"].alias("i")))),
         lambda e: e.isNotNull())
     return df.crossJoin(F.broadcast(freq)).withColumn(
         "stratum", F.coalesce(F.array_min(positive)["i"], F.lit(-1))).drop("_freq")
 
 
-def split_multilabel(df: DataFrame, hot: str, k: int, key: str, mode: str = "classic",
+def split_multilabel(df: DataFrame, hot: str, key: str, mode: str = "classic",
                      seed: int = 42) -> DataFrame:
     """Multi-label split, stratified by each row's rarest code: 20 % validation,
     or 10 % test then 22 % of the rest (``incremental``)."""
-    return split(rarest_code(df, hot, k), "stratum", key, mode, seed,
+    return split(rarest_code(df, hot), "stratum", key, mode, seed,
                  (0.1, 0.22) if mode == "incremental" else (0.2,))

@@ -4,8 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsops import vocab
+from newsops.functions.codes import each_code
 from newsops.functions.text import non_empty, strip
 from newsops.operators.ranking import names
+from newsops.session import materialise
 
 
 def _count() -> Column:
@@ -23,13 +25,13 @@ def distribution(df: DataFrame, column: str, by=()) -> DataFrame:
 
 def code_stats(df: DataFrame, codes: str = "correlations", top: int = 20) -> DataFrame:
     """Most frequent codes, ties by code."""
-    return (df.select(F.explode(codes).alias("code")).groupBy("code").agg(_count().alias("n"))
+    return (each_code(df, codes).groupBy("code").agg(_count().alias("n"))
             .orderBy(F.desc("n"), "code").limit(top))
 
 
 def code_totals(df: DataFrame, codes: str = "correlations") -> DataFrame:
     """Total and distinct codes."""
-    per_code = df.select(F.explode(codes).alias("code")).groupBy("code").agg(_count().alias("n"))
+    per_code = each_code(df, codes).groupBy("code").agg(_count().alias("n"))
     return per_code.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_correlations"),
                         _count().alias("unique_correlations"))
 
@@ -59,19 +61,22 @@ def length_stats(df: DataFrame, by=(), text: str = "text") -> DataFrame:
 def run_metadata(df: DataFrame, filename: str, created_at: str, source: str,
                  cache_size: int | None = None, threshold: float | None = None,
                  models: dict[str, str] | None = None, dedup: bool = True) -> DataFrame:
-    """One row describing a labelled dataset.  Distributions are aggregated to
-    their few values before they become maps."""
-    def as_map(rows: DataFrame, key: str, name: str) -> DataFrame:
-        return rows.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name))
+    """One row describing a labelled dataset.  The labels are written once as a
+    narrow table; distributions are aggregated to their few values before they
+    become maps."""
+    rows = materialise(df.select("label", "importance", "correlations", "needs_review"), "labels")
+
+    def as_map(counts: DataFrame, key: str, name: str) -> DataFrame:
+        return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name))
 
     def counted(column):
-        return df.filter(F.col(column).isNotNull()).groupBy(column).agg(_count().alias("n"))
+        return rows.filter(F.col(column).isNotNull()).groupBy(column).agg(_count().alias("n"))
 
-    row = df.agg(_count().alias("article_count")).crossJoin(review_counts(df))
+    row = rows.agg(_count().alias("article_count")).crossJoin(review_counts(rows))
     row = row.crossJoin(as_map(counted("label"), "label", "label_distribution"))
     row = row.crossJoin(as_map(counted("importance"), "importance", "importance_distribution"))
-    row = row.crossJoin(as_map(code_stats(df, top=20), "code", "correlation_distribution"))
-    row = row.crossJoin(code_totals(df))
+    row = row.crossJoin(as_map(code_stats(rows, top=20), "code", "correlation_distribution"))
+    row = row.crossJoin(code_totals(rows))
     models = models or {}
     constants = {
         "filename": filename, "created_at": created_at, "source": source,
@@ -121,7 +126,7 @@ def group_summary(df: DataFrame, by: str, label: str, confidence: str, seq: str)
     entry = F.concat_ws("=", F.col(label), F.col("n"))
     return per.groupBy(by).agg(
         F.max_by(label, F.struct("n", -F.col("first"))).alias("overall_sentiment"),
-        F.round(F.sum("conf") / F.sum("n"), 6).alias("avg_confidence"),
+        (F.sum("conf").cast("double") / F.sum("n")).alias("avg_confidence"),
         F.array_join(F.array_sort(F.collect_list(entry)), ";").alias("distribution"),
         F.sum("n").alias("total_analyzed"))
 

@@ -102,7 +102,7 @@ def duplicate_issues(df: DataFrame, by: str, line: str = "line_number") -> DataF
 
 
 def _percent(x: Column) -> Column:
-    return F.format_string("%.1f", F.bround(x * 100, 1))
+    return F.format_number(x * 100, 1)
 
 
 def class_balance_issues(df: DataFrame, by: str, datasets: DataFrame | None = None,

@@ -24,7 +24,7 @@ def train_target(df: DataFrame, target: str, key: str = "doc_id", baseline=None,
     rows = materialise(standardise(df, target), f"train-{target}")
     if target == "correlations":
         k = len(vocab.COMMODITY_CODES)
-        parts = materialise(sampling.split_multilabel(rows, "labels", k, key, "incremental", seed),
+        parts = materialise(sampling.split_multilabel(rows, "labels", key, "incremental", seed),
                             "split-correlations")
         fitted = model.fit_multilabel(parts.filter("split = 'train'"), vocab.COMMODITY_CODES,
                                       iterations=iterations)

@@ -49,8 +49,7 @@ def raw_article(df: DataFrame, publisher: str = "FMP") -> DataFrame:
         return F.col(name) if name in have else F.lit(None).cast("string")
 
     content = T.first_non_empty(get("text"), get("content"), default="")
-    rows = df.withColumn("_content", content).filter(
-        T.non_empty("title").isNotNull() & T.non_empty("_content").isNotNull())
+    rows = df.withColumn("_content", content).filter((F.col("title") != "") & (F.col("_content") != ""))
     keep = [c for c in ("seq", "source_type", "sentiment_scores", "importance_scores",
                         "correlation_scores", "hash") if c in have]
     return rows.select(

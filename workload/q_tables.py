@@ -119,7 +119,7 @@ _EXPO = ", ".join(f"({lit(c)}, {lit(cat)}, {lit(dr)}, {len(e)})" for c, cat, e,
   select doc_id, code, category, direction, exporters::bigint as exporters from (
     select doc_id, unnest({_PARSED}) as code from labelled) join expo using (code)""")
 def d5_shipped(spark, d):
-    rows = labelled(spark, d).select("doc_id", F.explode(C.parse_codes("correlations")).alias("code"))
+    rows = C.each_code(labelled(spark, d).withColumn("codes", C.parse_codes("correlations")), "codes", "doc_id")
     return rows.join(correlate.exposure_table(spark), "code").select(
         "doc_id", "code", "category", "direction", F.size("exporters").cast("bigint").alias("exporters"))
 
@@ -272,7 +272,7 @@ def e12(spark, d):
     round(least(50.0, greatest(1.0, (count(*) - sum(y)) / greatest(sum(y), 1.0))), 6) as weight
   from long group by i""")
 def e13(spark, d):
-    return metrics.positive_weights(scored(spark, d), "truth", K).select(
+    return metrics.positive_weights(scored(spark, d), "truth").select(
         F.col("code").cast("bigint").alias("code"), "positives", F.round("weight", 6).alias("weight"))
 
 
@@ -280,7 +280,7 @@ def e13(spark, d):
     count(*) filter (s > 0) as active_codes, count(*) filter (s = 0) as empty_codes
   from (select i, count(*) as n, sum(y) as s from long group by i)""")
 def e14(spark, d):
-    return metrics.label_density(scored(spark, d), "truth", K)
+    return metrics.label_density(scored(spark, d), "truth")
 
 
 def predictions(spark, d):
@@ -375,12 +375,13 @@ def e18_bce(spark, d):
 
 
 @query("e19_group_summary", """with per as (select user_id, event_type, count(*) as n, min(event_id) as f,
-    sum(value) as v from events group by all)
-  select user_id, arg_max(event_type, n * 1e12 - f) as overall_sentiment, round(sum(v) / sum(n), 6) as avg_confidence,
+    sum(value::decimal(18, 2)) as v from events group by all)
+  select user_id, arg_max(event_type, n * 1e12 - f) as overall_sentiment, sum(v)::double / sum(n) as avg_confidence,
     string_agg(event_type || '=' || n, ';' order by event_type || '=' || n) as distribution,
     sum(n)::bigint as total_analyzed from per group by user_id""")
 def e19(spark, d):
-    return stats.group_summary(table(spark, d, "events"), "user_id", "event_type", "value", "event_id")
+    rows = table(spark, d, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
+    return stats.group_summary(rows, "user_id", "event_type", "value", "event_id")
 
 
 _BAD_LABEL = "coalesce(label, '') not in ('negative', 'neutral', 'positive')"
@@ -540,7 +541,7 @@ RAREST = f"""{LONG}, rarest as (select vec_id, coalesce(min_by(i, f * 1000 + i)
 @query("f12_split_multilabel", f"""with {RAREST}, {_s_split('rarest', 'stratum', 'vec_id', 0.2, 42, 's')}
   select vec_id, stratum::int as stratum, case when taken then 'validation' else 'train' end as split from s""")
 def f12(spark, d):
-    return sampling.split_multilabel(scored(spark, d), "truth", K, "vec_id").select("vec_id", "stratum", "split")
+    return sampling.split_multilabel(scored(spark, d), "truth", "vec_id").select("vec_id", "stratum", "split")
 
 
 @query("f12_split_multilabel_incremental", f"""with {RAREST}, {_s_split('rarest', 'stratum', 'vec_id', 0.1, 42, 's')},
@@ -549,7 +550,7 @@ def f12(spark, d):
   select vec_id, 'test' as split from s where taken union all
   select vec_id, case when taken then 'validation' else 'train' end from r""")
 def f12_incremental(spark, d):
-    return sampling.split_multilabel(scored(spark, d), "truth", K, "vec_id", "incremental").select("vec_id", "split")
+    return sampling.split_multilabel(scored(spark, d), "truth", "vec_id", "incremental").select("vec_id", "split")
 
 
 @query("f13_split_ordered", """select item_id, case when row_number() over (order by item_id)
