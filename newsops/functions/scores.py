@@ -16,16 +16,17 @@ def adaptive_threshold(scores, p: float = 0.97, low: float = 0.22, high: float =
         return lower + (k - F.floor(k)) * (upper - lower)
 
     s = F.coalesce(col(scores), F.array().cast("array<double>"))
-    q = let(F.array_sort(s), lambda x: F.when(F.size(x) > 0, quantile(x)))
-    return F.coalesce(F.least(F.lit(high), F.greatest(F.lit(low), q)), F.lit(high))
+    q = let(F.array_sort(s), lambda x: F.when(F.size(x) > 0, quantile(x)).otherwise(F.lit(high)))
+    return F.least(F.lit(high), F.greatest(F.lit(low), q))
 
 
 def argmax_label(scores) -> Column:
-    """struct(label, score) of the best entry; the first wins a tie."""
+    """struct(label, score) of the best entry; the first wins a tie.  Null without
+    any score."""
     keyed = F.transform(col(scores), lambda e, i: F.struct(
         e["score"].alias("score"), (-i).alias("rank"), e["label"].alias("label")))
-    return let(F.array_max(keyed), lambda b: F.struct(
-        b["label"].alias("label"), b["score"].alias("score")))
+    return let(F.array_max(keyed), lambda b: F.when(b.isNotNull(), F.struct(
+        b["label"].alias("label"), b["score"].alias("score"))))
 
 
 def sigmoid(logits) -> Column:

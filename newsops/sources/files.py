@@ -71,9 +71,11 @@ def read_jsonl(spark: SparkSession, paths, schema: str = DAILY) -> DataFrame:
     present = [p for p in paths if path_exists(spark, p)]
     if not present:
         return spark.createDataFrame([], schema)
-    rows = (spark.read.schema(schema + ", _bad string").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_bad").json(present))
-    return rows.filter(F.col("_bad").isNull()).drop("_bad")
+    record = F.from_json("value", schema + ", _bad string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = spark.read.text(present).select(record.alias("r")).filter(
+        F.col("r").isNotNull() & F.col("r._bad").isNull())
+    return rows.select("r.*").drop("_bad")
 
 
 def project_task(df: DataFrame, task: str) -> DataFrame:
