@@ -217,13 +217,14 @@ def validate_file(spark, path: str, max_length: int = 512, min_samples: int = 10
 
 def repair(df: DataFrame, seq: str, max_length: int = 512, by=()) -> DataFrame:
     """Clean texts, normalise labels, keep the first row per text, drop blanks."""
-    rows = df.withColumn("text", T.clean_text("text", max_length))
+    # A text is blank after cleaning only if it was before, so the blank rows go
+    # first, and the costly cleaning is not repeated in a filter.
+    rows = df.filter(T.not_blank("text")).withColumn("text", T.clean_text("text", max_length))
     if "label" in df.columns:
         rows = rows.withColumn("label", L.normalise_sentiment("label"))
     if "importance" in df.columns:
         rows = rows.withColumn("importance", L.normalise_importance("importance"))
-    # Blank rows go first: they would only meet each other in the dedup.
-    return dedup.dedup_first(rows.filter(T.not_blank("text")), "text", seq, by)
+    return dedup.dedup_first(rows, "text", seq, by)
 
 
 def to_daily(df: DataFrame, run_date, file: str = "file", high=None, medium=None) -> DataFrame:

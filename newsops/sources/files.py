@@ -11,6 +11,15 @@ DAILY = ("text string, label_sentiment string, label_importance string, url stri
 DATED_NAME = r"^news_[0-9]{8}\.csv$"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread the rows of a scan that has fewer splits than the cluster has cores
+    (one small file, one row group), so that text expressions use every core.  A
+    large input has more splits than cores and is returned as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether a path or glob matches anything, on whatever file system it names."""
     jvm = spark.sparkContext._jvm

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsops.functions import codes as C, lexicon as X, text as T
 from newsops.plans.datasets import Labelling
+from newsops.sources.files import spread
 from newsops.vocab import COMMODITY_CODES
 
 POS = ["thble", "thed", "anea", "erin", " that ", " with "]
@@ -36,7 +37,8 @@ FEEDS = {"en": 50, "fr": 20, "de": 15, "es": 10, "xx": 0}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages") else rows
 
 
 # ------------------------------------------------------------------ SQL helpers
