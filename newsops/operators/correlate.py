@@ -1,7 +1,6 @@
 """Commodity correlations: dictionary joins, rarity-aware picks."""
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from newsops import vocab
@@ -51,8 +50,9 @@ def pick_labels(df: DataFrame, codes, scores: str = "scores", out: str = "correl
     ``off``: no rarity shift.  ``frozen``: shifts from the counts of the batch
     before (one row per known code, at most ``len(codes)``, turned into a map).
     ``exact``: counts grow article by article within a session, as in one
-    collection run; a session is one run's articles, so it is bounded by the run
-    size, and sessions run in parallel."""
+    collection run.  That is sequential by definition: sessions (runs of some
+    hundred articles) are spread over the tasks and streamed through them in
+    order, holding one session's counts."""
     if rarity == "exact":
         return _pick_in_session(df, list(codes), scores, out, max_labels, top1, session, seq, low, high)
     def pick(shift):
@@ -75,33 +75,40 @@ def pick_labels(df: DataFrame, codes, scores: str = "scores", out: str = "correl
 def _pick_in_session(df, codes, scores, out, max_labels, top1, session, seq, low, high):
     columns = df.columns
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(batches):
+        """Rows arrive sorted by session and seq; only the current session's
+        counts are held, never its rows."""
         import numpy as np
 
-        seen: dict[str, int] = {}
         allowed = set(codes)
-        picks = []
-        for row in pdf.sort_values(seq)[scores]:
-            pairs = [(e["label"], float(e["score"])) for e in (row if row is not None else [])]
-            ranked = sorted(pairs, key=lambda x: -x[1])
-            bar = high
-            if ranked:
-                bar = min(high, max(low, float(np.quantile([s for _, s in ranked], 0.97))))
-
-            def shift(label):
-                n = seen.get(label, 0)
-                return 0.02 if n >= 10 else (-0.02 if n <= 1 else 0.0)
+        current, counts = None, {}
 
-            chosen = [lab for lab, s in ranked if s >= bar + shift(lab)]
-            if not chosen and ranked and ranked[0][1] >= top1:
+        def choose(row):
+            pairs = [] if row is None else [(e["label"], float(e["score"])) for e in row]
+            ranked = sorted(pairs, key=lambda x: -x[1])
+            if not ranked:
+                return []
+            bar = min(high, max(low, float(np.quantile([s for _, s in ranked], 0.97))))
+            chosen = []
+            for label, value in ranked:
+                n = counts.get(label, 0)
+                if value >= bar + (0.02 if n >= 10 else -0.02 if n <= 1 else 0.0):
+                    chosen.append(label)
+            if not chosen and ranked[0][1] >= top1:
                 chosen = [ranked[0][0]]
-            chosen = [lab for lab in chosen[:max_labels] if not allowed or lab in allowed]
-            for lab in chosen:
-                seen[lab] = seen.get(lab, 0) + 1
-            picks.append(chosen)
-        result = pdf.sort_values(seq)
-        result[out] = picks
-        return result[[*columns, out]]
+            chosen = [x for x in chosen[:max_labels] if not allowed or x in allowed]
+            for x in chosen:
+                counts[x] = counts.get(x, 0) + 1
+            return chosen
+
+        for pdf in batches:
+            picks = []
+            for name, row in zip(pdf[session], pdf[scores]):
+                if name != current:
+                    current, counts = name, {}
+                picks.append(choose(row))
+            pdf[out] = picks
+            yield pdf[[*columns, out]]
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.StringType()))])
-    return df.groupBy(session).applyInPandas(run, schema)
+    return df.repartition(session).sortWithinPartitions(session, seq).mapInPandas(run, schema)

@@ -15,12 +15,15 @@ def _count() -> Column:
 
 
 def distribution(df: DataFrame, column: str, by=()) -> DataFrame:
-    """Count and percentage of every value, per group.  The percentage's total
-    comes from the few aggregated rows, not from a second pass."""
+    """Count and percentage of every value, per group.  The totals come from the
+    aggregated rows, not from a second pass."""
     by = names(by)
     counts = df.groupBy(*by, column).agg(_count().alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
-    return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 6))
+    if by:
+        rows = counts.withColumn("_all", F.sum("n").over(Window.partitionBy(*by)))
+    else:
+        rows = counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("_all"))))
+    return rows.withColumn("pct", F.round(F.col("n") * 100.0 / F.col("_all"), 6)).drop("_all")
 
 
 def code_stats(df: DataFrame, codes: str = "correlations", top: int = 20) -> DataFrame:

@@ -32,7 +32,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables written between stages: under the shared
     folder named by ``spark.checkpoint.dir``; a temporary one only where that
     is unset (single-machine tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="newsops-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

@@ -138,7 +138,7 @@ def daily_date(c, run_date) -> Column:
 def history_window(df: DataFrame, target, days_back: int = 30, max_files: int | None = 10,
                    file: str = "file", date: str = "date") -> DataFrame:
     """Rows of files dated within ``days_back`` days before ``target``, plus
-    ``labeled_*`` files, from the newest ``max_files`` files.  On data written by
+    ``labeled_*`` files, from the newest ``max_files`` (a few) files.  On data written by
     ``write_daily`` the date test prunes partitions."""
     t = F.lit(target).cast("date")
     labelled = F.col(file).startswith("labeled_")

@@ -609,8 +609,10 @@ def f16(spark, d):
 
 @query("f16_pick_labels_exact")
 def f16_exact(spark, d):
-    """Counts grow within a session: one session per embedding label."""
-    rows = scored(spark, d).select("vec_id", F.col("label").alias("session"), F.col("vec_id").alias("seq"), "scores")
+    """Counts grow within a session: runs of 750 consecutive vectors, the largest
+    collection run there is."""
+    rows = scored(spark, d).select(
+        "vec_id", F.floor(F.col("vec_id") / 750).alias("session"), F.col("vec_id").alias("seq"), "scores")
     return correlate.pick_labels(rows, CODES, rarity="exact", low=0.5, high=0.75).select(
         "vec_id", C.join_codes("correlations").alias("codes"))
 
