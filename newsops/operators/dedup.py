@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from newsops.functions.text import article_hash, col, min_content, non_empty
+from newsops.functions.text import article_hash, min_content
 from newsops.operators.ranking import first_n
 from newsops.session import materialise
 
@@ -110,7 +110,3 @@ def union_prioritised(*dfs: DataFrame) -> DataFrame:
 def set_diff(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """Distinct values of ``column`` in ``a`` and not in ``b``."""
     return a.select(column).distinct().join(b.select(column).distinct(), column, "left_anti")
-
-
-def non_blank_key(df: DataFrame, key: str) -> DataFrame:
-    return df.filter(non_empty(col(key)).isNotNull())

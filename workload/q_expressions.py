@@ -11,7 +11,7 @@ from newsops.sources import files, sinks
 from workload.registry import query
 from workload.views import (
     CFG, CLEAN, CODES_SQL, DAILY_HIGH, DAILY_MEDIUM, DATED, FEED, HIGH, K, LABELLED, LONG, MEDIUM,
-    NEG, POS, PREMIUM, RUN_DATE, SCORED, WS_SQL, clean, dated_files, feed, labelled, lit, s_any, s_case,
+    NEG, POS, PREMIUM, RUN_DATE, SCORED, clean, dated_files, feed, labelled, lit, s_any, s_case,
     s_daily_importance, s_hash, s_hits, s_importance, s_list, s_sentiment, s_strip, scored, table)
 
 TODAY = "2024-01-10"

@@ -13,8 +13,8 @@ from newsops.sources import files, sinks
 from newsops.streaming import stream
 from workload.q_expressions import _CLEANED, S_SUSPICIOUS, S_THRESHOLD
 from workload.q_tables import (
-    ACCEPTED, CODES, COUNT, DAILY, ENRICHED, HISTORY, MULTI, MULTILABEL, PER_CLASS, PER_CODE, S_ENRICHED,
-    _h, _rounded, _s_pick, _s_rounded, daily_rows, decided, enriched, predictions, seen_hashes)
+    ACCEPTED, CODES, COUNT, DAILY, ENRICHED, HISTORY, PER_CLASS, PER_CODE, S_ENRICHED,
+    _h, _rounded, _s_pick, daily_rows, decided, enriched, predictions, seen_hashes)
 from workload.registry import query
 from workload.views import (
     CFG, CLEAN, DAILY_HIGH, DAILY_MEDIUM, DATED, FEEDS, K, LABELLED, LONG, RUN_DATE, clean,
