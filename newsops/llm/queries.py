@@ -2,7 +2,9 @@
 and the SQL of those that SQL can express."""
 from __future__ import annotations
 
-from newsops.llm import decontaminate as DC, mixture as MX, secrets as SE
+from pyspark.sql import functions as F
+
+from newsops.llm import decontaminate as DC, langid as LI, mixture as MX, neighbours as NN, secrets as SE, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -28,12 +30,31 @@ def op3_secret_scan(spark, d):
     return SE.digest(SE.scan(table(spark, d, "documents", "doc_id", "text")))
 
 
+@query
+def op4_language_id(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text", "lang").withColumn("held_out", LI.held_out("doc_id"))
+    model = LI.fit(docs.where("not held_out"))
+    return LI.identify(docs.select("doc_id", "text", "held_out"), model).select(
+        "doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+@query
+def op5_token_counts(spark, d):
+    return TK.suffix_sums(TK.lengths(table(spark, d, "documents", "text")))
+
+
 @query
 def op7_decontaminate(spark, d):
     return DC.digest(DC.decontaminate(table(spark, d, "documents", "doc_id", "text"),
                                       table(spark, d, "benchmark", "item_id", "text")))
 
 
+@query
+def op10_nearest_vectors(spark, d):
+    vectors = table(spark, d, "embeddings", "vec_id", "embedding")
+    return NN.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 SQL["op7_decontaminate"] = f"""
