@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsops.llm import decontaminate as DC, langid as LI, mixture as MX, neighbours as NN, secrets as SE, tokens as TK
+from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, secrets as SE, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -49,6 +49,11 @@ def op7_decontaminate(spark, d):
                                       table(spark, d, "benchmark", "item_id", "text")))
 
 
+@query
+def op9_jaccard_join(spark, d):
+    return JJ.join(table(spark, d, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_nearest_vectors(spark, d):
     vectors = table(spark, d, "embeddings", "vec_id", "embedding")
