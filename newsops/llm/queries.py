@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, secrets as SE, tokens as TK
+from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, secrets as SE, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -43,6 +43,12 @@ def op5_token_counts(spark, d):
     return TK.suffix_sums(TK.lengths(table(spark, d, "documents", "text")))
 
 
+@query
+def op6_substring_dedup(spark, d):
+    return PS.deduplicate(table(spark, d, "documents", "doc_id", "text"), with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op7_decontaminate(spark, d):
     return DC.digest(DC.decontaminate(table(spark, d, "documents", "doc_id", "text"),
@@ -76,3 +82,16 @@ whose as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
   sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
 from d left join places using (doc_id) left join whose using (doc_id)"""
+
+BLANK_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D\\x20]+')"
+SQL["op6_substring_dedup"] = f"""
+with d as (select doc_id, {BLANK_WORDS} as w from documents),
+s as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as g
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d)),
+f as (select g, min(doc_id) as least from s group by 1),
+gone as (select distinct doc_id, p from (select doc_id, unnest(range(i, i + 50)) as p from s join f using (g) where doc_id > least)),
+words as (select doc_id, p, w[p] as x from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from d)),
+kept as (select doc_id, string_agg(x, ' ' order by p) as t from words anti join gone using (doc_id, p) group by 1),
+n as (select doc_id, count(*) as n from gone group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join n using (doc_id) left join kept using (doc_id)"""

@@ -67,18 +67,35 @@ def slid(values: np.ndarray, width: int, best) -> np.ndarray:
     return best(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def anchors(grams: np.ndarray, valid: np.ndarray, width: int) -> np.ndarray:
-    """Positions of the grams that are least in some window of ``width`` grams.
-
-    ``valid`` marks windows (by first gram) that lie in one text.  Equal windows
-    have equal least grams, so whatever repeats a window repeats its anchor."""
-    if len(grams) < width:
-        return np.zeros(0, np.int64)
-    least = slid(grams, width, np.minimum)
-    least[~valid[:len(least)]] = 0
-    edge = np.zeros(width - 1, np.uint64)
-    reach = slid(np.concatenate([edge, least, edge]), width, np.maximum)
-    return np.flatnonzero((reach == grams) & (reach > 0))
+def owned(grams: np.ndarray, valid: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of ``width`` grams with the same least gram (the first of
+    equals): the gram's place, the run's first window and the one after its last.
+
+    ``valid`` marks windows (by first gram) that lie in one text.  Each window is
+    in one run, and equal windows have the same least gram at the same distance."""
+    n = len(grams) - width + 1
+    none = np.zeros(0, np.int64)
+    if n <= 0:
+        return none, none, none
+    places = np.arange(len(grams), dtype=np.uint64)
+    least = slid(grams >> np.uint64(32) << np.uint64(32) | places, width, np.minimum)
+    place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    place[~valid[:n]] = -1
+    first = np.flatnonzero(np.diff(place, prepend=-2))
+    end = np.append(first[1:], n)
+    real = place[first] >= 0
+    return place[first][real], first[real], end[real]
+
+
+def span_hash(sums: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of values first .. end - 1, of running sums as in rolling()."""
+    return mix((sums[end] - sums[first]) * powers(INVERSE, len(sums))[first] + (end - first).astype(np.uint64) * BASE)
+
+
+def running(values: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(BASE, len(values)), out=sums[1:])
+    return sums
 
 
 class Slice:
