@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, secrets as SE, tokens as TK
+from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, secrets as SE, suffixes as SF, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -55,6 +55,12 @@ def op7_decontaminate(spark, d):
                                       table(spark, d, "benchmark", "item_id", "text")))
 
 
+@query
+def op8_suffix_dedup(spark, d):
+    return SF.deduplicate(table(spark, d, "documents", "doc_id", "text"), with_text=False).select(
+        "doc_id", "n_bytes", "n_removed", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op9_jaccard_join(spark, d):
     return JJ.join(table(spark, d, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
