@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, secrets as SE, suffixes as SF, tokens as TK
+from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, quality as QL, secrets as SE, suffixes as SF, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,12 @@ def op1_mix_sources(spark, d):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op2_quality(spark, d):
+    return QL.classify(table(spark, d, "documents", "doc_id", "text", "lang"),
+                       table(spark, d, "labels", "doc_id", "quality", "toxic"))
+
+
 @query
 def op3_secret_scan(spark, d):
     return SE.digest(SE.scan(table(spark, d, "documents", "doc_id", "text")))
