@@ -45,7 +45,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
                         - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
             .withColumn("level", F.col("left") / F.sum("w").over(after))
             .withColumn("full", F.col("limit") / F.col("w") <= F.col("level"))
-            .withColumn("level", F.min(F.when(~F.col("full"), F.col("level"))).over(everything))
+            # The first source that isn't full sets the level; behind it the figure only falls.
+            .withColumn("level", F.max(F.when(~F.col("full"), F.col("level"))).over(everything))
             .select("source", "source_size",
                     F.when(F.col("full") | F.col("level").isNull(), F.col("limit"))
                     .otherwise(F.col("w") * F.col("level")).alias("target")))
