@@ -61,7 +61,7 @@ def uniform(*key: Column, seed: int = SEED) -> Column:
 def pareto(rows: DataFrame, group: str, size: str, copies: str, key: str, band: int = BAND) -> DataFrame:
     """``rows`` with _times: how often each is taken, floor or ceiling of
     ``copies`` (expected, 0 or more).  In each group the sizes drawn come to what
-    the fractions of ``copies`` promise, to within half a document.
+    the fractions of ``copies`` promise, to within half a document at most.
 
     Null groups are one group; null sizes count 0; rows with the same key get
     the same random number, and ties go by key and size.  ``rows`` is read
@@ -86,9 +86,18 @@ def pareto(rows: DataFrame, group: str, size: str, copies: str, key: str, band:
     edged = banded.join(edges.withColumnRenamed("_g", "_h"), F.col("_g").eqNullSafe(F.col("_h")), "left").drop("_h")
     whole = edged.where("_room is null or _band is null or _band <> _room.at").withColumn(
         "_times", F.col("_times") + F.when(F.col("_band") < F.col("_room.at"), 1).otherwise(0))
-    inside = Window.partitionBy("_g").orderBy("_q", key, "_size").rowsBetween(Window.unboundedPreceding, 0)
-    split = edged.where("_band = _room.at").withColumn("_cum", F.sum("_size").over(inside)).withColumn(
-        "_times", F.col("_times") + F.when(F.col("_cum") - F.col("_size") / 2 <= F.col("_room.room"), 1).otherwise(0)).drop("_cum")
+    inside, band_of = Window.partitionBy("_g").orderBy("_q", key, "_size"), Window.partitionBy("_g")
+    drawn = F.col("_cum") - F.col("_size") / 2 <= F.col("_room.room")
+    # What the last document drawn leaves open, one more fills if it comes closer.
+    near = F.when(~F.col("_drawn") & (F.abs(F.col("_size") - F.col("_open")) < F.abs("_open")), F.abs(F.col("_size") - F.col("_open")))
+    split = (edged.where("_band = _room.at")
+             .withColumn("_cum", F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("_drawn", drawn)
+             .withColumn("_open", F.col("_room.room") - F.sum(F.when(F.col("_drawn"), F.col("_size")).otherwise(0.0)).over(band_of))
+             .withColumn("_near", near)
+             .withColumn("_turn", F.row_number().over(band_of.orderBy(F.col("_near").asc_nulls_last(), "_q", key)))
+             .withColumn("_times", F.col("_times") + (F.col("_drawn") | (F.col("_near").isNotNull() & (F.col("_turn") == 1))).cast("int"))
+             .drop("_cum", "_drawn", "_open", "_near", "_turn"))
     return whole.unionByName(split).select(*rows.columns, F.col("_times").cast("long").alias("_times"))
 
 
