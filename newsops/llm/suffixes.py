@@ -20,7 +20,9 @@ from newsops.session import materialise
 
 WINDOW = 400
 GRAM = 64
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
+#: A split gram's lists of strings are cut into so many ranges for each of its shards.
+RANGES = 16
 LANES = 4096
 
 
@@ -161,8 +163,9 @@ def _pieces(window: int):
 
 def _sort(window: int):
     def work(shard: pd.DataFrame) -> pd.DataFrame:
-        """Repeated places of the shard's pieces, as spans; where its gram has other
-        shards too, also one place (with its key) of each distinct string."""
+        """Repeated places of the shard's pieces, as spans; for a gram that has other
+        shards too, also sorted lists of its distinct strings' keys, by range, each
+        with one place."""
         shard = shard.drop_duplicates(["a", "r"]).reset_index(drop=True)
         a, r, pieces = shard["a"].to_numpy(), shard["r"].to_numpy(), shard["piece"].tolist()
         whose, offset, group = repeated_starts(pieces, shard["n"].tolist(), window)
@@ -174,24 +177,45 @@ def _sort(window: int):
         mask[(begin[whose] + offset)[often]] = True
         first, end = W.runs(mask)  # a piece ends with places that start no window
         at = np.searchsorted(begin, first, "right") - 1
-        spans = pd.DataFrame({"shard": shard["shard"][0], "a": a[at], "r": r[at], "first": first - begin[at], "n": end - first, "key": None})
-        j = np.flatnonzero(lead & (shard["parts"].to_numpy() > 1)[whose])
-        keys = [hashlib.md5(pieces[w][o:o + window]).digest() for w, o in zip(whose[j].tolist(), offset[j].tolist())]
-        apart = pd.DataFrame({"shard": shard["shard"][0], "a": a[whose[j]], "r": r[whose[j]], "first": offset[j], "n": 1, "key": keys})
-        return pd.concat([x for x in (spans, apart) if len(x)] or [spans])
+        spans = pd.DataFrame({"shard": shard["shard"][0], "a": a[at], "r": r[at], "first": first - begin[at], "n": end - first})
+        lists = []
+        for gram, parts in shard[shard["parts"] > 1].groupby("a")["parts"].first().items():
+            j = np.flatnonzero(lead & (a[whose] == gram))
+            keys = np.array([hashlib.md5(pieces[w][o:o + window]).digest() for w, o in zip(whose[j].tolist(), offset[j].tolist())], "S16")
+            by = np.argsort(keys)
+            j, keys = j[by], keys[by]
+            where = ranges(keys, RANGES * parts)
+            for x, y in zip(*_groups(where)):
+                lists.append((shard["shard"][0], gram, int(where[x]), keys[x:y].tobytes(), r[whose[j[x:y]]].tolist(), offset[j[x:y]].tolist()))
+        lists = pd.DataFrame(lists, columns=["shard", "a", "range", "keys", "rs", "firsts"])
+        out = pd.concat([x.astype(object) for x in (spans, lists) if len(x)] or [spans.astype(object)]).reindex(
+            columns=["shard", "a", "r", "first", "n", "range", "keys", "rs", "firsts"]).astype(object)
+        return out.where(out.notna(), None)
     return work
 
 
-def _merge(rows: pd.DataFrame) -> pd.DataFrame:
+def _groups(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where each run of equal values begins and ends."""
+    first = np.flatnonzero(np.diff(values, prepend=-1)).tolist()
+    return first, [*first[1:], len(values)]
+
+
+def ranges(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` equal ranges of keys each key lies in."""
+    head = np.frombuffer(keys.tobytes(), ">u4")[::4].astype(np.int64)
+    return head * parts >> 32
+
+
+def _merge(lists: pd.DataFrame) -> pd.DataFrame:
     """Strings that several shards have: each shard's sorted list is looked up in
-    all the lists together."""
-    both = np.sort(rows["key"].to_numpy().astype("S16"))
-    parts = []
-    for _, part in rows.groupby("shard"):
-        keys = part["key"].to_numpy().astype("S16")
-        n = np.searchsorted(both, keys, "right") - np.searchsorted(both, keys, "left")
-        parts.append(part[n > 1])
-    return pd.concat(parts)[["a", "r", "first", "n"]]
+    all the lists together, by binary search."""
+    every = [np.frombuffer(k, "S16") for k in lists["keys"]]
+    both = np.sort(np.concatenate(every))
+    out = []
+    for keys, rs, firsts in zip(every, lists["rs"], lists["firsts"]):
+        met = np.searchsorted(both, keys, "right") - np.searchsorted(both, keys, "left") > 1
+        out.append(pd.DataFrame({"a": lists["a"].iloc[0], "r": np.asarray(rs)[met], "first": np.asarray(firsts)[met], "n": 1}))
+    return pd.concat(out)
 
 
 def _remove(window: int):
@@ -246,10 +270,10 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_b
         "shard", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("a"), F.lit(shards))).otherwise(
             F.xxhash64("a", F.pmod(F.xxhash64("r"), "parts"))))
     found = materialise(dealt.groupBy("shard").applyInPandas(
-        _sort(window), "shard long, a long, r long, first int, n int, key binary"), "suffix-found")
-    apart = found.where("key is not null").groupBy(F.substring(F.hex("key"), 1, 3)).applyInPandas(
+        _sort(window), "shard long, a long, r long, first int, n int, range int, keys binary, rs array<bigint>, firsts array<int>"), "suffix-found")
+    apart = found.where("range is not null").groupBy("a", "range").applyInPandas(
         _merge, "a long, r long, first int, n int")
-    repeated = found.where("key is null").select("a", "r", "first", "n").unionAll(apart).groupBy("a", "r").agg(
+    repeated = found.where("range is null").select("a", "r", "first", "n").unionAll(apart).groupBy("a", "r").agg(
         F.collect_set(F.struct("first", "n")).alias("found"))
     # A class with several rows repeats whole; of a single one, what its shard found.
     whole = met.where("n_rows > 1").select("doc", "rid", "first", "n")
