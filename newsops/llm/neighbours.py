@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 K = 5
-TABLES, PROBES = 12, 5
+TABLES, PROBES = 16, 5
 BLOCK = 4096
 PAIRS = 1 << 14
 SEED = 29
@@ -27,7 +27,7 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     n, d = x.shape
     h = 1
     while h < d:
-        y = x.reshape(n, -1, 2, h)
+        y = x.reshape(n, d // (2 * h), 2, h)
         x = np.stack([y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]], 2).reshape(n, d)
         h *= 2
     return x / np.sqrt(d)

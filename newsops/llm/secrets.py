@@ -2,8 +2,8 @@
 and of ordinary identifiers compared by log-likelihood ratio.
 
 DataFrame functions only.  The models are trained from labelled samples: values
-that the fixed patterns found are random strings, long runs without such a match
-are ordinary.  Training reads a bounded sample (``train_docs`` documents, the
+that the fixed patterns found are random strings, other runs without a digit are
+ordinary.  Training reads a bounded sample (``train_docs`` documents, the
 least by a hash of their text); scanning reads every text whole."""
 from __future__ import annotations
 
@@ -25,6 +25,8 @@ RUN = r"[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 WIDE = len(ALPHABET)
 TRAIN_DOCS = 2000
+#: Weight, in pairs, of a character's own frequency in the pairs' probabilities.
+BLEND = 20.0
 #: Mean log-likelihood ratio per character (nats) from which a run is random.
 LEAST_RATIO = 0.5
 
@@ -67,14 +69,15 @@ def code(s: Column, i: Column) -> Column:
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float] | None:
     """Log-likelihood ratio random : ordinary of each pair of characters (row:
-    the first), add-one smoothed; at most 66 * 66 counts reach the driver.
+    the first), smoothed by how common the second is; at most 66 * 66 counts reach the driver.
     None if either class has no sample."""
     some = docs.select("text", F.xxhash64("text").alias("h")).where("text is not null").orderBy("h").limit(train_docs)
     spans = some.select("text", base_spans(F.col("text")).alias("spans"))
     secret = F.transform("spans", lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]))
-    # Ordinary runs are shorter than candidates: most identifiers are.
+    # Ordinary: runs without a digit that no pattern found.  Long random strings,
+    # found or not, hardly ever lack one.
     plain = F.filter(F.regexp_extract_all("text", F.lit(RUN.replace("16", "4")), 0),
-                     lambda r: ~F.exists("spans", lambda s: F.contains(s["value"], r)))
+                     lambda r: ~F.exists("spans", lambda s: F.contains(s["value"], r)) & ~r.rlike("[0-9]"))
     samples = spans.select(F.explode(F.concat(
         F.transform(secret, lambda v: F.struct(F.lit(1).alias("random"), F.regexp_replace(v, "[^A-Za-z0-9+/_=-]", "").alias("run"))),
         F.transform(plain, lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))))).alias("x"))
@@ -82,15 +85,15 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float] | None:
         F.sequence(F.lit(1), F.greatest(F.length("x.run") - 1, F.lit(1))),
         lambda i: F.struct(F.substring("x.run", i, F.lit(1)).alias("a"), F.substring("x.run", i + 1, F.lit(1)).alias("b")))).alias("p"))
     rows = pairs.where("length(p.b) = 1").groupBy("random", "p.a", "p.b").count().collect()
-    counts = [[[1.0] * WIDE for _ in range(WIDE)] for _ in range(2)]
+    counts = [[[0.0] * WIDE for _ in range(WIDE)] for _ in range(2)]
     for r in rows:
         counts[r["random"]][ALPHABET.index(r["a"])][ALPHABET.index(r["b"])] += r["count"]
     if {r["random"] for r in rows} != {0, 1}:
         return None
-    ratio = []
-    for a in range(WIDE):
-        sums = [sum(counts[k][a]) for k in (0, 1)]
-        ratio += [math.log(counts[1][a][b] / sums[1]) - math.log(counts[0][a][b] / sums[0]) for b in range(WIDE)]
+    single = [[1.0 + sum(row[b] for row in counts[k]) for b in range(WIDE)] for k in (0, 1)]
+    chance = [[x / sum(line) for x in line] for line in single]
+    logp = lambda k, a, b: math.log((counts[k][a][b] + BLEND * chance[k][b]) / (sum(counts[k][a]) + BLEND))
+    ratio = [logp(1, a, b) - logp(0, a, b) for a in range(WIDE) for b in range(WIDE)]
     return ratio
 
 
