@@ -7,9 +7,6 @@ from newsops.functions.text import article_hash, min_content
 from newsops.operators.ranking import first_n
 from newsops.session import materialise
 
-
-# Narrow tables of up to this many rows (tens of megabytes) may be broadcast.
-BROADCAST_ROWS = 1_000_000
 # Duplicate groups are joined and listed per span of this many lines.
 LINE_SPAN = 10_000
 
@@ -66,8 +63,6 @@ def accept(df: DataFrame, seen: DataFrame | None, quota: dict[str, int], seq: st
         mine = materialise(first_n(mine, [], "_seq", n).select(*eligible.columns), "accepted")
         accepted = mine if i == 0 else accepted.unionByName(mine)
     chosen = accepted.select("_seq", "hash")
-    if sum(quota.values()) <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
     rows = df.join(chosen, F.col(seq) == F.col("_seq")).drop("_seq")
     return rows, accepted.select("hash").distinct()
 

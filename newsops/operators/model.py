@@ -1,6 +1,7 @@
 """Plugged-in scoring models and classifiers trained with MLlib."""
 from __future__ import annotations
 
+import traceback
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,21 +24,32 @@ def score(df: DataFrame, loader: Callable[[], Callable], text: str = "text", out
           size: int = 512) -> DataFrame:
     """Adds the score vectors of a model.  ``loader`` runs once per worker and
     returns a callable from a Series of texts to a list of [(label, score)]
-    lists.  A batch that fails yields null scores, which the labelling below
-    replaces by the rules.  The only Python worker in the library's labelling:
+    lists.  A text that fails has null scores, which the labelling below replaces by
+    the rules: a failing batch is halved until the failing texts are alone, so
+    the others keep their scores whatever the batch size.  A ``loader`` that
+    fails is told in the worker's log, and all its texts go by the rules.  The only Python worker in the library's labelling:
     filter and deduplicate before it."""
     @F.pandas_udf(SCORES)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         try:
             model = loader()
         except Exception:
+            traceback.print_exc()
             model = None
-        for texts in batches:
+
+        def scored(texts: pd.Series) -> list:
+            if model is None:
+                return [None] * len(texts)
             try:
-                rows = [[{"label": a, "score": float(b)} for a, b in r] for r in model(texts)]
+                return [[{"label": a, "score": float(b)} for a, b in r] for r in model(texts)]
             except Exception:
-                rows = [None] * len(texts)
-            yield pd.Series(rows, index=texts.index)
+                if len(texts) == 1:
+                    return [None]
+                half = len(texts) // 2
+                return scored(texts.iloc[:half]) + scored(texts.iloc[half:])
+
+        for texts in batches:
+            yield pd.Series(scored(texts) if len(texts) else [], index=texts.index, dtype=object)
 
     return df.withColumn(out, predict(model_input(text, size)))
 

@@ -40,8 +40,10 @@ def _share_size(fraction: float, label: str | None) -> Column:
         return F.ceil(F.lit(fraction) * F.col("_total"))
     everything = F.sum("_total").over(over_strata())
     wanted = F.ceil(F.lit(fraction) * everything)
-    base = F.floor(F.col("_total") * wanted / everything)
-    rest = (F.col("_total") * wanted) % everything
+    # Decimals: the product of two counts may pass 64 bits.
+    product = F.col("_total").cast("decimal(19,0)") * wanted.cast("decimal(19,0)")
+    rest = product % everything.cast("decimal(19,0)")
+    base = ((product - rest) / everything.cast("decimal(19,0)")).cast("long")
     order = F.row_number().over(over_strata([rest.desc(), F.asc(label)]))
     return base + F.when(order <= wanted - F.sum(base).over(over_strata()), 1).otherwise(0)
 

@@ -28,12 +28,18 @@ def local_session(cores: int | str = 8, app: str = "newsops") -> SparkSession:
     return spark
 
 
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables written between stages: under the shared
     folder named by ``spark.checkpoint.dir``; a temporary one only where that
-    is unset (single-machine tests)."""
+    is unset and the master is local (single-machine tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not on_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="newsops-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 

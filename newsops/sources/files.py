@@ -156,25 +156,23 @@ def with_line_number(df: DataFrame, by: str = "file", seq: str | None = None) ->
 
     Rows as read (with ``_block``): the rows of a file block lie in one task, in
     order, so a row's number is its position in the block plus the rows of the
-    file's earlier blocks.  Only the table of blocks is aggregated; no row is
-    shuffled, and a huge file is numbered by many tasks.  With ``seq`` (an
+    file's earlier blocks.  The rows are written once with their places; only the
+    table of blocks is aggregated, and a huge file is numbered by many tasks.  With ``seq`` (an
     integer order, unique per file) the bucketed rank is used."""
-    from newsops.operators.dedup import BROADCAST_ROWS
     from newsops.operators.ranking import rank_in_group
     from newsops.session import materialise
 
     if seq is not None:
         ranked = rank_in_group(df, by, seq, "_rank")
         return ranked.withColumn("line_number", F.col("_rank") + 1).drop("_rank")
-    placed = df.withColumn("_pos", F.monotonically_increasing_id())
+    # Written once, so that positions and blocks are those of a single scan.
+    placed = materialise(df.withColumn("_pos", F.monotonically_increasing_id()), "lines")
     counts = placed.groupBy(by, "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
     before = Window.partitionBy(by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = materialise(counts.select(
         F.col(by).alias("_file"), F.col("_block").alias("_b"),
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 2).alias("_shift")), "blocks")
-    if blocks.count() <= BROADCAST_ROWS:
-        blocks = F.broadcast(blocks)
     keep = [c for c in df.columns if c != "_block"]
     return placed.join(blocks, (F.col(by) == F.col("_file")) & (F.col("_block") == F.col("_b"))).select(
         *keep, (F.col("_pos") + F.col("_shift")).alias("line_number"))

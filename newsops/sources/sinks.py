@@ -26,11 +26,11 @@ def write_labelled_csv(df: DataFrame, path: str, quote_all: bool = False, mode:
 
 def write_daily(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Daily JSON lines, one folder per date; empty fields are left out.  Rows
-    are first brought together by date and a salt, so that a day becomes few
-    files without passing through one task."""
+    are first brought together by date; a large day is split over as many tasks as
+    its size asks for."""
     have = [c for c in DAILY_COLUMNS if c in df.columns]
     rows = df.select(*[non_empty(F.col(c)).alias(c) for c in have], "date")
-    (rows.repartition("date", F.pmod(F.xxhash64("text"), F.lit(8)))
+    (rows.hint("rebalance", F.col("date"))
      .write.mode(mode).partitionBy("date").json(path))
 
 

@@ -349,3 +349,43 @@ def test_sample_files(spark):
     assert kinds["overrepresented_class"] == 7 and kinds["underrepresented_class"] == 10
     assert issues.filter("type = 'missing_class'").select("file").distinct().count() == 2
     assert "duplicate_text" not in kinds
+
+
+def test_one_failing_text_keeps_the_scores_of_its_batch(spark):
+    def picky():
+        def model_(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("bad text")
+            return [[("LABEL_2", 0.9)] for _ in texts]
+        return model_
+
+    df = spark.range(60).repartition(1).select("id", F.when(F.col("id") == 41, "bad").otherwise("good").alias("text"))
+    got = {r["id"] for r in model.score(df, picky).where("scores is null").collect()}
+    assert got == {41}
+
+
+def test_line_numbers_survive_another_split_layout(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.range(0, 50_000, 1, 1).select(F.concat(F.lit("l"), "id").alias("text")).write.text(path)
+    rows = files.with_line_number(
+        spark.read.text(path).select(F.lit("f").alias("file"), "value", F.spark_partition_id().cast("long").alias("_block")), "file")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        got = rows.select("line_number", "value").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r["line_number"] for r in got) == list(range(2, 50_002))
+
+
+def test_working_folder_is_asked_for_on_a_cluster():
+    from newsops.session import on_one_machine
+
+    assert on_one_machine("local") and on_one_machine("local[8]")
+    assert not any(map(on_one_machine, ("local-cluster[3,2,3000]", "spark://host:7077", "yarn", "k8s://x")))
+
+
+def test_shares_of_large_counts_dont_overflow(spark):
+    counts = spark.createDataFrame([("a", 7 * 10**12), ("b", 3 * 10**12 + 1)], "c string, _total long")
+    got = {r["c"]: r["n"] for r in counts.select("c", sampling._share_size(0.2, "c").alias("n")).collect()}
+    assert sum(got.values()) == -(-(10**13 + 1) * 2 // 10) and got["a"] in (14 * 10**11, 14 * 10**11 + 1)
