@@ -172,7 +172,8 @@ class Scorer:
                 else:
                     # A value of 0 would read as none.
                     to[k] = Table(h, np.minimum(some[name].to_numpy(), -1e-6).astype(np.float32))
-        self.unseen = self.empty - float(np.log(1 + int((rows["k"] == 1).sum())))
+        # Contexts of one character have rows of length 1 too: only scored characters count.
+        self.unseen = self.empty - float(np.log(1 + int(((rows["k"] == 1) & rows["logp"].notna()).sum())))
 
     def log_probabilities(self, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ends))
