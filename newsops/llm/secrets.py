@@ -69,9 +69,16 @@ def code(s: Column, i: Column) -> Column:
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float] | None:
     """Log-likelihood ratio random : ordinary of each pair of characters (row:
-    the first), smoothed by how common the second is; at most 66 * 66 counts reach the driver.
+    the first), smoothed by how common the second is; ``train_docs`` hashes and at most 2 * 66 * 66
+    counts reach the driver.
     None if either class has no sample."""
-    some = docs.select("text", F.xxhash64("text").alias("h")).where("text is not null").orderBy("h").limit(train_docs)
+    hashed = docs.select("text", F.xxhash64("text").alias("h")).where("text is not null")
+    # Only hashes are ordered; texts stay where they lie.  Ties are equal texts.
+    least = [r["h"] for r in hashed.select("h").orderBy("h").limit(train_docs).collect()]
+    if not least:
+        return None
+    some = hashed.where(F.col("h") < least[-1]).unionAll(
+        hashed.where(F.col("h") == least[-1]).limit(least.count(least[-1])))
     spans = some.select("text", base_spans(F.col("text")).alias("spans"))
     secret = F.transform("spans", lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]))
     # Ordinary: runs without a digit that no pattern found.  Long random strings,
