@@ -20,6 +20,8 @@ OUTSIDE = -30.0
 #: A script is a language's own from this share of its words.
 LEAST_SHARE = 0.005
 CHUNK_CHARS = 1 << 17
+#: Words that are gone through one after another; blocks of them go side by side.
+BLOCK = 64
 
 # First code points of script ranges, and what they begin.
 SCRIPTS = [
@@ -139,7 +141,7 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarray
 
     A text keeps one language throughout where no stretch of words gains more
     than ``switch`` from another: then no other path can be better.  The others
-    go step by step, all at once."""
+    go by best_path()."""
     n, langs = scores.shape
     label = np.zeros(n, np.int64)
     counts = np.diff(bounds)
@@ -163,26 +165,53 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarray
     if not len(todo):
         return label
     todo = todo[np.argsort(-counts[todo], kind="stable")]
-    left, first = counts[todo], bounds[:-1][todo]
-    value = scores[first].astype(np.float64)
-    back = []
-    for t in range(1, int(left[0])):
-        alive = int(np.searchsorted(-left, -t, "left"))
-        v = value[:alive]
-        top = v.argmax(1)
-        leap = v[np.arange(alive), top] - switch
-        stay = v >= leap[:, None]
-        back.append(np.where(stay, np.arange(langs), top[:, None]).astype(np.int16))
-        value[:alive] = np.where(stay, v, leap[:, None]) + scores[first[:alive] + t]
-    at = value.argmax(1)
-    for t in range(int(left[0]) - 1, -1, -1):
-        alive = int(np.searchsorted(-left, -t, "left"))
-        label[first[:alive] + t] = at[:alive]
-        if t:
-            at[:alive] = back[t - 1][np.arange(alive), at[:alive]]
+    place, best = best_path(scores, bounds[:-1][todo], counts[todo], switch)
+    label[place] = best
     return label
 
 
+def best_path(scores: np.ndarray, first: np.ndarray, counts: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
+    """Word places and their languages on the best paths of texts at ``first``, longest
+    first.  Blocks of BLOCK words go side by side: once from each language they may be
+    entered in, then, with the values they are entered with, again for the path."""
+    langs = scores.shape[1]
+    per = -(-counts // BLOCK)
+    base, total = np.cumsum(per) - per, int(per.sum())
+    within = np.arange(total) - np.repeat(base, per)
+    place = np.repeat(first, per)[:, None] + within[:, None] * BLOCK + np.arange(BLOCK)
+    real = place < np.repeat(first + counts, per)[:, None]
+    # A missing word at a text's end scores 0 everywhere: the best language stays the best.
+    grid = np.zeros((total, BLOCK, langs))
+    grid[real] = scores[place[real]]
+    gain = np.where(np.eye(langs, dtype=bool), 0.0, -np.inf) + np.zeros((total, 1, 1))
+    for t in range(BLOCK):
+        gain = np.maximum(gain, gain.max(2, keepdims=True) - switch) + grid[:, None, t]
+    value = np.zeros((total, langs))
+    alive = [int(np.searchsorted(-per, -b, "left")) for b in range(int(per[0]))]
+    for b in range(1, int(per[0])):
+        at = base[:alive[b]] + b
+        value[at] = (value[at - 1][:, :, None] + gain[at - 1]).max(1)
+    each = np.arange(total)
+    back = np.empty((BLOCK, total, langs), np.int16)
+    for t in range(BLOCK):
+        top = value.argmax(1)
+        leap = (value[each, top] - switch)[:, None]
+        back[t] = np.where(value >= leap, np.arange(langs), top[:, None])
+        value = np.maximum(value, leap) + grid[:, t]
+    before = np.tile(np.arange(langs), (total, 1))
+    for t in range(BLOCK - 1, -1, -1):
+        before = np.take_along_axis(back[t], before, 1)
+    now = value.argmax(1)  # of use for the last block of each text
+    for b in range(int(per[0]) - 1, 0, -1):
+        at = base[:alive[b]] + b
+        now[at - 1] = before[at, now[at]]
+    path = np.empty((total, BLOCK), np.int64)
+    for t in range(BLOCK - 1, -1, -1):
+        path[:, t] = now
+        now = back[t][each, now]
+    return place[real], path[real]
+
+
 def label_words(c: Chunk, rows: int, model: Model, switch: float) -> tuple[np.ndarray, np.ndarray]:
     """Label of each word, and the first word of each row."""
     bounds = np.searchsorted(c.row, np.arange(rows + 1))
