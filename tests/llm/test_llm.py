@@ -138,6 +138,21 @@ def test_language_spans_and_held_out_accuracy(spark, docs):
     assert spans[0] == "en" and spans[-1] == "de"
 
 
+def test_long_texts_take_the_best_path_through_their_blocks():
+    rng = np.random.default_rng(5)
+    for langs, sizes in ((1, [3, 70]), (3, [0, 1, LI.BLOCK, LI.BLOCK + 1, 300]), (5, [2 * LI.BLOCK, 7, 0, 411])):
+        bounds = np.cumsum([0, *sizes])
+        scores = rng.normal(0, 3, (bounds[-1], langs))
+        got = LI.viterbi(scores, bounds, 4.0)
+        for first, end in zip(bounds, bounds[1:]):
+            if first == end:
+                continue
+            value = [(x, [k]) for k, x in enumerate(scores[first])]
+            for line in scores[first + 1:end]:
+                value = [max((v - 4.0 * (path[-1] != k) + line[k], [*path, k]) for v, path in value) for k in range(langs)]
+            assert got[first:end].tolist() == max(value)[1]
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     counts = [0, 1, 7, 4, 0, 9]
