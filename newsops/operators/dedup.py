@@ -7,7 +7,7 @@ from newsops.functions.text import article_hash, min_content
 from newsops.operators.ranking import first_n
 from newsops.session import materialise
 
-# Duplicate groups are joined and listed per span of this many lines.
+# Lines of duplicate groups are joined per span of this many lines; the rows are the same for any span.
 LINE_SPAN = 10_000
 
 

@@ -15,7 +15,6 @@ from newsops import vocab
 from newsops.functions import labels as L, lexicon as X, scores as S
 from newsops.functions.text import model_input
 from newsops.operators.metrics import positive_weights, with_class_weight
-from newsops.sources.files import spread
 
 SCORES = "array<struct<label:string,score:double>>"
 
@@ -98,7 +97,6 @@ def fit_classifier(df: DataFrame, label: str = "label_id", text: str = "text", b
     """Text classifier with optional balanced class weights.  The optimiser
     aggregates gradients in a tree over the partitions; only the features are
     cached, and they spill."""
-    df = spread(df)
     rows = with_class_weight(df, label, classes, "_weight") if balanced else df
     feats = featuriser(text, features).fit(rows)
     cols = [label, "_weight"] if balanced else [label]
@@ -138,7 +136,6 @@ def fit_multilabel(df: DataFrame, codes, labels: str = "labels", text: str = "te
     k = len(codes)
     weights = [(r["code"], r["positives"], r["weight"])
                for r in positive_weights(df, labels).collect()]  # k rows
-    df = spread(df)
     feats = featuriser(text, features).fit(df)
     train = feats.transform(df).select("features", labels).persist()
     models = {}

@@ -7,6 +7,7 @@ many tasks as it has buckets."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from newsops.functions.text import col
 
@@ -22,13 +23,20 @@ def names(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by or [])
 
 
+def _integer(df: DataFrame, seq: str) -> None:
+    kind = df.schema[seq].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"{seq} must be an integer column, not {kind.simpleString()}")
+
+
 def rank_in_group(df: DataFrame, by, seq: str, out: str = "rank",
                   bucket: Column | None = None, width: int = SEQ_BUCKET) -> DataFrame:
-    """1-based rank by ``seq`` within ``by`` (non-null columns).  Without an own
-    ``bucket`` ``seq`` must be an integer, unique per group: a bucket then holds
-    at most ``width`` rows."""
+    """1-based rank by ``seq`` within ``by``; null keys are a group, a null ``seq``
+    comes first.  Without an own ``bucket`` ``seq`` must be an integer, unique per
+    group: a bucket then holds at most ``width`` rows."""
     by = names(by)
     if bucket is None:
+        _integer(df, seq)
         bucket = F.floor(F.col(seq) / F.lit(width))
     keyed = df.withColumn("_bucket", bucket)
     counts = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -36,15 +44,20 @@ def rank_in_group(df: DataFrame, by, seq: str, out: str = "rank",
     offsets = counts.select(
         *by, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     local = Window.partitionBy(*by, "_bucket").orderBy(seq)
-    return (keyed.withColumn("_rn", F.row_number().over(local))
-            .join(offsets, [*by, "_bucket"])
+    shifts = offsets.select(*[F.col(k).alias(f"_r_{k}") for k in (*by, "_bucket")], "_before")
+    on = F.lit(True)
+    for k in (*by, "_bucket"):
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return (keyed.withColumn("_rn", F.row_number().over(local)).join(shifts, on)
             .select(*df.columns, (F.col("_before") + F.col("_rn")).alias(out)))
 
 
 def first_n(df: DataFrame, by, seq: str, n: int) -> DataFrame:
-    """The first ``n`` rows of every group by ``seq``.  Small n: a window that
-    Spark prunes before the shuffle.  Larger n: the bucketed rank."""
+    """The first ``n`` rows of every group by ``seq``, an integer unique per group;
+    null keys are a group, a null ``seq`` comes first.  Small n: a window that
+    Spark prunes before the shuffle.  Larger n: the bucketed rank, same rows."""
     by = names(by)
+    _integer(df, seq)
     if n > PRUNED_LIMIT:
         return rank_in_group(df, by, seq, "_rank").filter(F.col("_rank") <= n).drop("_rank")
     if not by:

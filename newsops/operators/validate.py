@@ -8,19 +8,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsops import vocab
 from newsops.functions.labels import lookup, valid_sentiment
 from newsops.functions.text import has_suspicious, is_blank, is_upper, strip
-from newsops.operators.dedup import LINE_SPAN, duplicate_counts
+from newsops.operators.dedup import duplicate_counts
 
-ISSUE_FIELDS = ["type", "message", "line_number", "field", "severity", "part"]
+ISSUE_FIELDS = ["type", "message", "line_number", "field", "severity"]
 
 
 def _issue(kind: str, message: Column | str, line: Column | None = None,
-           field: str | None = None, severity: str = "error", part: Column | None = None) -> Column:
+           field: str | None = None, severity: str = "error") -> Column:
     message = F.lit(message) if isinstance(message, str) else message
     return F.struct(
         F.lit(kind).alias("type"), message.alias("message"),
         (F.lit(None) if line is None else line).cast("bigint").alias("line_number"),
-        F.lit(field).cast("string").alias("field"), F.lit(severity).alias("severity"),
-        (F.lit(0) if part is None else part).cast("bigint").alias("part"))
+        F.lit(field).cast("string").alias("field"), F.lit(severity).alias("severity"))
 
 
 def facts(df: DataFrame, by: str | None = None, line: str = "line_number") -> DataFrame:
@@ -81,24 +80,13 @@ def row_issues(df: DataFrame, by: str | None = None, max_length: int = 512,
 
 
 def duplicate_issues(df: DataFrame, by: str, line: str = "line_number") -> DataFrame:
-    """One warning per duplicated text and file, listing its lines.  The lines of
-    a message come from one span of LINE_SPAN lines, so no list grows without
-    bound; a text that recurs over several spans continues in further rows with
-    ``part`` > 0, which the report does not count again.  Only fingerprints, line
-    numbers and message heads are shuffled."""
-    keyed = _facts(df, by, line).filter(F.col("_key").isNotNull()).select(
-        by, "_key", "_head", "line_number", F.floor(F.col("line_number") / LINE_SPAN).alias("_span"))
-    spans = keyed.groupBy(by, "_key", "_span").agg(F.count(F.lit(1)).alias("_n"))
-    groups = spans.groupBy(by, "_key").agg(
-        F.sum("_n").alias("_size"), F.min("_span").alias("_first")).filter("_size > 1").drop("_size")
-    # Joined per span, so a text that fills a file is spread over its spans.
-    wanted = spans.join(groups, [by, "_key"]).select(by, "_key", "_span", "_first")
-    listed = keyed.join(wanted, [by, "_key", "_span"]).groupBy(by, "_key", "_span").agg(
-        F.array_join(F.array_sort(F.collect_list("line_number")).cast("array<string>"), ", ").alias("_lines"),
-        F.min("_head").alias("_head"), F.min("_first").alias("_first"))
-    issue = _issue("duplicate_text", F.format_string(vocab.MSG_DUPLICATE, "_lines", "_head"),
-                   severity="warning", part=F.col("_span") - F.col("_first"))
-    return listed.select(by, F.inline(F.array(issue)))
+    """One warning per duplicated text and file, at every size: how many lines
+    hold it, and the first.  All the lines are in the long table of
+    ``dedup.duplicate_lines``.  Partial sums leave one row per text and task."""
+    groups = _facts(df, by, line).filter(F.col("_key").isNotNull()).groupBy(by, "_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("line_number").alias("_first"), F.min("_head").alias("_head"))
+    issue = _issue("duplicate_text", F.format_string(vocab.MSG_DUPLICATE, "_n", "_first", "_head"), severity="warning")
+    return groups.filter("_n > 1").select(by, F.inline(F.array(issue)))
 
 
 def _percent(x: Column) -> Column:
@@ -172,7 +160,7 @@ def missing_files(expected: DataFrame, present: DataFrame, by: str = "name") ->
 def report(df: DataFrame, issues: DataFrame, by: str, datasets: DataFrame | None = None) -> DataFrame:
     """One row per file: success, issue counts and, for a successful non-empty
     file, its statistics.  ``df`` is the dataset or its facts."""
-    counted = issues.filter("part = 0").groupBy(by).agg(
+    counted = issues.groupBy(by).agg(
         F.count_if(F.col("severity") == "error").alias("error_count"),
         F.count_if(F.col("severity") == "warning").alias("warning_count"))
     df = _facts(df, by)
@@ -254,7 +242,7 @@ def issue_lines(issues: DataFrame, by: str) -> DataFrame:
     suffix = F.when(F.col("line_number") > 0, F.format_string(" (ligne %d)", "line_number")).otherwise("")
     body = rows(issues, section, 2, F.concat(F.lit("• "), F.col("message"), suffix),
                 lookup(F.col("type"), PHASES), F.coalesce("line_number", F.lit(0)))
-    counts = issues.filter("part = 0").groupBy(by, "severity").agg(F.count(F.lit(1)).alias("n"))
+    counts = issues.groupBy(by, "severity").agg(F.count(F.lit(1)).alias("n"))
     title = (F.when(F.col("severity") == "error", F.format_string(vocab.LINE_ERRORS, "n"))
              .otherwise(F.format_string(vocab.LINE_WARNINGS, "n")))
     head = rows(counts, section, 0, title)

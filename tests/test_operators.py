@@ -48,6 +48,17 @@ def test_sample_with_many_strata(spark, monkeypatch):
     assert got == {c: min(40, n) for c, n in counts.items()} and None in got
 
 
+def test_first_n_is_one_rule_on_both_sides_of_the_limit(spark):
+    """Null groups stay, null orders come first, and only integers order."""
+    df = spark.range(3000).selectExpr("case when id % 2 = 0 then 'a' end as c", "case when id <> 5 then id end as k")
+    for n in (ranking.PRUNED_LIMIT, ranking.PRUNED_LIMIT + 1):
+        got = ranking.first_n(df, "c", "k", n).collect()
+        assert Counter(r["c"] for r in got) == {"a": n, None: n}
+        assert {r["k"] for r in got if r["c"] is None} == {None} | {2 * i + 1 for i in range(n) if i != 2}
+        with pytest.raises(TypeError):
+            ranking.first_n(df.withColumn("k", F.col("k").cast("string")), "c", "k", n)
+
+
 def test_rank_and_first_n_beyond_the_pruned_limit(spark):
     df = skewed(spark, 6000)
     ranked = ranking.rank_in_group(df, "c", "k", width=64).collect()

@@ -1,6 +1,7 @@
 """Dataset files through the validator, end to end."""
 import pytest
 
+from newsops.operators.dedup import duplicate_lines
 from newsops.operators import validate as V
 from newsops.plans.datasets import validate, validate_file
 from newsops.sources import files
@@ -60,8 +61,8 @@ def test_duplicates(spark, tmp_path):
             "another long text,negative\nunique long text,neutral\n")
     issues, report = check(spark, tmp_path, body)
     messages = sorted(i["message"] for i in issues if i["type"] == "duplicate_text")
-    assert messages == ["Texte dupliqué aux lignes [2, 4]: 'the same long text...'",
-                        "Texte dupliqué aux lignes [3, 5]: 'another long text...'"]
+    assert messages == ["Texte dupliqué sur 2 lignes (première: 2): 'the same long text...'",
+                        "Texte dupliqué sur 2 lignes (première: 3): 'another long text...'"]
     assert report["duplicates"] == 2
 
 
@@ -104,15 +105,16 @@ def test_header_only(spark, tmp_path):
     assert not report["validation_success"]
 
 
-def test_long_duplicate_groups_stay_whole(spark, monkeypatch):
-    """A text on many lines is listed in spans; every line appears once and the
-    report counts one warning."""
-    monkeypatch.setattr(V, "LINE_SPAN", 10)
-    rows = spark.range(95).selectExpr("'f' as file", "id + 2 as line_number", "'the same text here' as text",
-                                      "'positive' as label")
-    found = [r for r in V.duplicate_issues(rows, "file").collect()]
-    listed = sorted(int(x) for r in found for x in r["message"].split("[")[1].split("]")[0].split(", "))
-    assert listed == list(range(2, 97)) and sum(r["part"] == 0 for r in found) == 1 and len(found) == 10
+def test_duplicate_groups_are_one_issue_at_any_size(spark):
+    """Lines far apart make one issue; the long table lists them all."""
+    rows = spark.range(25_000).selectExpr(
+        "'f' as file", "id + 2 as line_number",
+        "case when id in (0, 20000) then 'the same text here' when id % 3 = 1 then 'often' else concat('text ', id) end as text")
+    found = {r["message"] for r in V.duplicate_issues(rows, "file").collect()}
+    assert found == {"Texte dupliqué sur 2 lignes (première: 2): 'the same text here...'",
+                     "Texte dupliqué sur 8333 lignes (première: 3): 'often...'"}
+    listed = duplicate_lines(rows, "file").groupBy("group_size").count().collect()
+    assert {tuple(r) for r in listed} == {(2, 2), (8333, 8333)}
 
 
 def test_line_numbers_over_split_files(spark, tmp_path):

@@ -21,18 +21,25 @@ from workload.views import (
     dated_files, feed, labelled, lit, s_case, s_daily_importance, s_hash, s_strip, scored, table)
 
 # ------------------------------------------------------------- H: validation
-HOLES = f"""{LABELLED}, holed as (
-  select doc_id, file, line_number, label, case when label = 'POSITIVE' then null
-    when label = ' neutral ' then '  ' when lang = 'de' then split_part(text, ' ', 1) else text end as text
-  from (select *, row_number() over (partition by file order by doc_id) + 1 as line_number from labelled))"""
+HOLES = f"""{LABELLED}, added as (
+  select doc_id, 0 as extra, file, label, text from labelled
+  union all select doc_id, 1, file, label, case when label = 'POSITIVE' then null
+    when label = ' neutral ' then '  ' else split_part(text, ' ', 1) end
+  from labelled where label in ('POSITIVE', ' neutral ') or lang = 'de'),
+holed as (select doc_id, file, label, text,
+    row_number() over (partition by file order by doc_id, extra) + 1 as line_number from added)"""
 
 
 def holed(spark, d):
-    """The labelled files with some texts missing, blank or very short."""
+    """The labelled files, whole, with added rows whose texts are missing, blank or very short."""
+    rows = labelled(spark, d)
     text = (F.when(F.col("label") == "POSITIVE", None).when(F.col("label") == " neutral ", "  ")
-            .when(F.col("lang") == "de", F.substring_index("text", " ", 1)).otherwise(F.col("text")))
-    rows = labelled(spark, d).withColumn("text", text).select("doc_id", "file", "label", "text")
-    return files.with_line_number(rows, "file", "doc_id")
+            .otherwise(F.substring_index("text", " ", 1)))
+    more = rows.filter(F.col("label").isin("POSITIVE", " neutral ") | (F.col("lang") == "de")).withColumn("text", text)
+    columns = ["file", "label", "text"]
+    both = rows.select((F.col("doc_id") * 2).alias("doc_id"), *columns).unionAll(
+        more.select((F.col("doc_id") * 2 + 1).alias("doc_id"), *columns))
+    return files.with_line_number(both, "file", "doc_id")
 
 
 _LBL = s_strip("coalesce(label, '')")
@@ -67,8 +74,8 @@ ISSUES = f"""{HOLES}, issues as (
     from holed where text <> '' and {S_SUSPICIOUS}
   union all select file, 'all_caps_text', 'Texte entièrement en majuscules', line_number, 'text', 'warning'
     from holed where length(text) > 20 and regexp_matches(text, '\\p{{Lu}}') and not regexp_matches(text, '[\\p{{Ll}}\\p{{Lt}}]')
-  union all select file, 'duplicate_text', 'Texte dupliqué aux lignes [' || string_agg(line_number::varchar, ', '
-      order by line_number) || ']: ''' || left(text, 50) || '...''', null, null, 'warning'
+  union all select file, 'duplicate_text', 'Texte dupliqué sur ' || count(*) || ' lignes (première: ' ||
+      min(line_number) || '): ''' || left(text, 50) || '...''', null, null, 'warning'
     from holed where text is not null group by file, text having count(*) > 1
   union all {_s_class('positive')} union all {_s_class('negative')} union all {_s_class('neutral')}
   union all select file, 'no_valid_labels', 'Aucun label valide trouvé', null, null, 'error' from holed
@@ -96,8 +103,8 @@ for _name, _kind in {
 
 @query("h9_duplicate_text", """with lined as (select lang as file, text,
     row_number() over (partition by lang order by doc_id) + 1 as line_number from documents)
-  select file, 'Texte dupliqué aux lignes [' || string_agg(line_number::varchar, ', ' order by line_number)
-      || ']: ''' || left(text, 50) || '...''' as message from lined group by file, text having count(*) > 1""")
+  select file, 'Texte dupliqué sur ' || count(*) || ' lignes (première: ' || min(line_number)
+      || '): ''' || left(text, 50) || '...''' as message from lined group by file, text having count(*) > 1""")
 def h9(spark, d):
     rows = files.with_line_number(table(spark, d, "documents").withColumn("file", F.col("lang")), "file", "doc_id")
     return V.duplicate_issues(rows, "file").select("file", "message")
