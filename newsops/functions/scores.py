@@ -73,3 +73,19 @@ def pick_codes(scores, codes=None, max_labels: int = 3, top1: float = 0.40,
 
     picked = let(F.struct(F.array_sort(keyed).alias("order"), threshold.alias("t")), choose)
     return whitelist(picked, codes)
+
+
+def count_limits(scores, p=0.97, low=0.22, high=0.55) -> Column:
+    """Candidates best first, as (label, score, under): a label passes the row's
+    threshold, with the shift of its rarity, while its count is below ``under``."""
+    keyed = F.transform(F.coalesce(col(scores), F.array().cast("array<struct<label:string,score:double>>")),
+                        lambda e, i: F.struct((-e["score"]).alias("s"), i.alias("i"), e["label"].alias("label")))
+    threshold = adaptive_threshold(F.transform(col(scores), lambda e: e["score"]), p, low, high)
+
+    def limited(both):
+        passes = lambda e, n: -e["s"] >= both["t"] + rarity_shift(F.lit(n))
+        return F.transform(both["order"], lambda e: F.struct(
+            e["label"].alias("label"), (-e["s"]).alias("score"),
+            F.when(passes(e, 10), F.lit((1 << 31) - 1)).when(passes(e, 2), 10).when(passes(e, 0), 2).otherwise(0).alias("under")))
+
+    return let(F.struct(F.array_sort(keyed).alias("order"), threshold.alias("t")), limited)

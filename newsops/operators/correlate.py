@@ -1,6 +1,8 @@
 """Commodity correlations: dictionary joins, rarity-aware picks."""
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from newsops import vocab
@@ -73,42 +75,27 @@ def pick_labels(df: DataFrame, codes, scores: str = "scores", out: str = "correl
 
 
 def _pick_in_session(df, codes, scores, out, max_labels, top1, session, seq, low, high):
-    columns = df.columns
+    """Spark decides per candidate up to which count it passes; only the counts
+    that grow along a session are left to the sequential step."""
+    limits = S.count_limits(scores, low=low, high=high)
+    ready = df.withColumn("_limits", limits).withColumn(
+        "_open", F.filter("_limits", lambda e: e["under"] > 0)).withColumn(
+        "_spare", F.transform(F.filter(F.slice("_limits", 1, 1), lambda e: e["score"] >= top1), lambda e: e["label"])).drop("_limits")
+    allowed, columns = frozenset(codes), df.columns
 
     def run(batches):
-        """Rows arrive sorted by session and seq; only the current session's
-        counts are held, never its rows."""
-        import numpy as np
-
-        allowed = set(codes)
-        current, counts = None, {}
-
-        def choose(row):
-            pairs = [] if row is None else [(e["label"], float(e["score"])) for e in row]
-            ranked = sorted(pairs, key=lambda x: -x[1])
-            if not ranked:
-                return []
-            bar = min(high, max(low, float(np.quantile([s for _, s in ranked], 0.97))))
-            chosen = []
-            for label, value in ranked:
-                n = counts.get(label, 0)
-                if value >= bar + (0.02 if n >= 10 else -0.02 if n <= 1 else 0.0):
-                    chosen.append(label)
-            if not chosen and ranked[0][1] >= top1:
-                chosen = [ranked[0][0]]
-            chosen = [x for x in chosen[:max_labels] if not allowed or x in allowed]
-            for x in chosen:
-                counts[x] = counts.get(x, 0) + 1
-            return chosen
-
+        """Rows arrive sorted by session and seq; the current session's counts are held."""
+        current, counts = None, Counter()
         for pdf in batches:
             picks = []
-            for name, row in zip(pdf[session], pdf[scores]):
+            for name, candidates, spare in zip(pdf[session], pdf["_open"], pdf["_spare"]):
                 if name != current:
-                    current, counts = name, {}
-                picks.append(choose(row))
+                    current, counts = name, Counter()
+                passing = [e["label"] for e in candidates if counts[e["label"]] < e["under"]]
+                picks.append([x for x in (passing or list(spare))[:max_labels] if x in allowed or not allowed])
+                counts.update(picks[-1])
             pdf[out] = picks
             yield pdf[[*columns, out]]
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.StringType()))])
-    return df.repartition(session).sortWithinPartitions(session, seq).mapInPandas(run, schema)
+    return ready.repartition(session).sortWithinPartitions(session, seq).mapInPandas(run, schema)
