@@ -4,11 +4,13 @@ quantiles of the trusted documents' perplexity as thresholds.
 
 Every trusted document is counted: tasks add up their n-grams, Spark adds up the
 tasks', and all orders' counts and discounts are joins and groupings of those
-tables.  Documents are scored where they lie, against the n-grams of as many
-languages at a time as ``SHARD_ROWS`` allows; a language with more distinct
-n-grams than that uses the highest order that fits."""
+tables.  The model is a table of weights whose sum over the grams and contexts
+at a place is the log probability there, so it may be cut anywhere: documents
+are scored where they lie against one hash shard of ``SHARD_ROWS`` weights at a
+time, and their sums over the shards add up.  The order is the same at every size."""
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -22,6 +24,7 @@ SHARD_ROWS = 4_000_000
 QUANTILE, SLACK = 0.995, 1.2
 CHUNK_CHARS = 1 << 17
 START = "\x02"
+CONTEXT = np.uint64(0x5851F42D4C957F2D)
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
@@ -76,9 +79,9 @@ def _count(order: int):
     return scan
 
 
-def hashes(points: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+def hashes(points: np.ndarray, ends: np.ndarray, size: int, seed: np.ndarray | int = 0) -> np.ndarray:
     """Hash of the ``size`` code points that end at each place."""
-    h = np.full(len(ends), size, np.uint64)
+    h = np.full(len(ends), size, np.uint64) ^ np.asarray(seed, np.uint64)
     for k in range(size):
         h = (h ^ points[ends - k].astype(np.uint64)) * MULTIPLIERS[k % len(MULTIPLIERS)]
         h ^= h >> np.uint64(29)
@@ -99,10 +102,15 @@ def discounted(c: Column) -> Column:
 
 
 def model(grams: DataFrame, order: int) -> DataFrame:
-    """(lang, k, g, logp, logb): log probability of the last character of each
+    """(lang, k, g, logp, logb, w): log probability of the last character of each
     seen gram after the others, and the log weight that a seen context ``g`` of
     length ``k`` leaves to shorter ones.
 
+    ``w`` is what a row adds to a place where it occurs: a context its weight, a
+    gram what it has beyond its context's weight and its suffix, the empty context
+    the log probability of an unseen character.  Suffixes of seen grams are seen,
+    so the sum of a place's rows is its log probability.
+
     Orders below the highest count distinct left neighbours."""
     tables = {order: grams}
     for k in range(order - 1, 0, -1):
@@ -118,10 +126,12 @@ def model(grams: DataFrame, order: int) -> DataFrame:
             lower.select("lang", F.col("g").alias("s"), F.col("logp").alias("lower")),
             (t["lang"] == lower["lang"]) & (F.expr(f"substring(g, 2, {k - 1})") == F.col("s"))).drop(lower["lang"])
         p = (F.col("c") - discounted(F.col("c"))) / F.col("total") + F.col("cut") / F.col("total") * F.exp("lower")
-        lower = materialise(t.select("lang", "g", F.log(p).alias("logp")), f"quality-model{k}")
-        backs = ctx.select("lang", F.lit(k - 1).alias("k"), F.col("x").alias("g"), F.lit(None).cast("double").alias("logp"),
-                           F.log(F.col("cut") / F.col("total")).alias("logb"))
-        part = lower.select("lang", F.lit(k).alias("k"), "g", "logp", F.lit(None).cast("double").alias("logb")).unionAll(backs)
+        logb = F.log(F.col("cut") / F.col("total"))
+        lower = materialise(t.select("lang", "g", F.log(p).alias("logp"), (F.log(p) - logb - F.col("lower")).alias("w")), f"quality-model{k}")
+        backs = ctx if k > 1 else ctx.join(base, "lang")
+        backs = backs.select("lang", F.lit(k - 1).alias("k"), F.col("x").alias("g"), F.lit(None).cast("double").alias("logp"),
+                             logb.alias("logb"), (logb if k > 1 else logb + F.col("lower")).alias("w"))
+        part = lower.select("lang", F.lit(k).alias("k"), "g", "logp", F.lit(None).cast("double").alias("logb"), "w").unionAll(backs)
         out = part if out is None else out.unionAll(part)
     return out
 
@@ -155,60 +165,91 @@ class Table:
         return out
 
 
+def seed(lang: str) -> int:
+    return int.from_bytes(hashlib.md5(lang.encode("utf-8", "surrogatepass")).digest()[:8], "big")
+
+
+def row_hashes(langs: list[str], sizes: np.ndarray, grams: list[str], contexts: np.ndarray) -> np.ndarray:
+    """Keys of a model's rows, as Scorer asks for them; rows of size 0 get 0."""
+    h = np.zeros(len(grams), np.uint64)
+    seeds = {lang: seed(lang) for lang in set(langs)}
+    own = np.array([seeds[x] for x in langs], np.uint64)
+    for k in set(sizes.tolist()) - {0}:
+        at = np.flatnonzero(sizes == k)
+        points = np.frombuffer("".join(grams[i] for i in at).encode("utf-32-le", "surrogatepass"), np.uint32)
+        h[at] = hashes(points, np.arange(1, len(at) + 1) * k - 1, k, own[at] ^ (contexts[at].astype(np.uint64) * CONTEXT))
+    return h
+
+
+def _keyed(batches):
+    """(h, w) of a model's rows."""
+    for batch in batches:
+        langs, sizes, grams, contexts, w = batch.columns
+        h = row_hashes(langs.to_pylist(), sizes.to_numpy(), grams.to_pylist(), contexts.to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), w], names=["h", "w"])
+
+
 class Scorer:
-    """One language's model as tables by length."""
+    """Weights of a model, or of a shard of several languages' models, by hash."""
 
     def __init__(self, rows, order: int):
-        self.order = order
-        self.p, self.b, self.unseen = {}, {}, -20.0
-        for k in range(order + 1):
-            mine = rows[rows["k"] == k]
-            for name, to in (("logp", self.p), ("logb", self.b)):
-                some = mine[mine[name].notna()]
-                points = np.frombuffer("".join(some["g"]).encode("utf-32-le", "surrogatepass"), np.uint32)
-                h = hashes(points, np.arange(1, len(some) + 1) * k - 1, k) if k else np.zeros(len(some), np.uint64)
-                if name == "logb" and k == 0:
-                    self.empty = float(some[name].iloc[0]) if len(some) else 0.0
-                else:
-                    # A value of 0 would read as none.
-                    to[k] = Table(h, np.minimum(some[name].to_numpy(), -1e-6).astype(np.float32))
-        # Contexts of one character have rows of length 1 too: only scored characters count.
-        self.unseen = self.empty - float(np.log(1 + int(((rows["k"] == 1) & rows["logp"].notna()).sum())))
-
-    def log_probabilities(self, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(ends))
-        todo = np.arange(len(ends))
-        for k in range(self.order, 0, -1):
-            value = self.p[k].get(hashes(points, ends[todo], k))
-            out[todo] += value
-            todo = todo[value == 0]
-            if not len(todo):
-                return out
-            if k > 1:
-                out[todo] += self.b[k - 1].get(hashes(points, ends[todo] - 1, k - 1))
-        out[todo] += self.unseen
+        """All rows (pandas) of one language's model."""
+        langs = rows["lang"].tolist()
+        h = row_hashes(langs, rows["k"].to_numpy(), rows["g"].tolist(), rows["logb"].notna().to_numpy())
+        some = (rows["k"] > 0).to_numpy()
+        self.fill(h[some], rows["w"].to_numpy()[some], order)
+        self.seed, self.unseen = seed(langs[0]), float(rows["w"][~some].iloc[0])
+
+    @classmethod
+    def shard(cls, h: np.ndarray, w: np.ndarray, order: int, shard: int = 0, shards: int = 1) -> "Scorer":
+        """Those of the weights whose hash falls to ``shard`` of ``shards``."""
+        self = cls.__new__(cls)
+        self.fill(h, w, order)
+        self.part, self.parts = np.uint64(shard), np.uint64(shards)
+        return self
+
+    def fill(self, h, w, order):
+        self.order, self.table, self.seed, self.unseen = order, Table(h, w.astype(np.float32)), 0, 0.0
+        self.part, self.parts = np.uint64(0), np.uint64(1)
+
+    def get(self, h: np.ndarray) -> np.ndarray:
+        if self.parts == 1:
+            return self.table.get(h)
+        out, mine = np.zeros(len(h), np.float32), np.flatnonzero(h % self.parts == self.part)
+        out[mine] = self.table.get(h[mine])
         return out
 
+    def log_probabilities(self, points: np.ndarray, ends: np.ndarray, seeds: np.ndarray | None = None) -> np.ndarray:
+        """At each place, the sum of the weights here; log probabilities, if they are
+        one language's, else less the unseen character's and other shards' part."""
+        seeds = np.full(len(ends), self.seed, np.uint64) if seeds is None else seeds
+        # Each window of the highest order is looked up once.
+        _, at, where = np.unique(hashes(points, ends, self.order, seeds), return_index=True, return_inverse=True)
+        ends, seeds = ends[at], seeds[at]
+        out = np.full(len(ends), self.unseen)
+        for k in range(1, self.order + 1):
+            out += self.get(hashes(points, ends, k, seeds))
+            if k > 1:
+                out += self.get(hashes(points, ends - 1, k - 1, seeds ^ CONTEXT))
+        return out[where]
+
 
 def _score(known):
     def scan(batches):
-        scorers = known.value
+        scorer = known.value
         for batch in batches:
-            texts, langs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            result = batch.column(3).to_pylist()
-            for lang, scorer in scorers.items():
-                own = [i for i, x in enumerate(langs) if x == lang]
-                for rows in chunks([texts[i] for i in own]):
-                    points, real = padded([texts[own[i]] for i in rows], scorer.order)
-                    sums = np.zeros(len(points) + 1)
-                    values = np.zeros(len(points))
-                    values[real] = scorer.log_probabilities(points, np.flatnonzero(real))
-                    np.cumsum(values, out=sums[1:])
-                    ends = np.cumsum([len(texts[own[i]]) + scorer.order - 1 for i in rows])
-                    total = np.diff(np.concatenate([[0.0], sums[ends]]))
-                    for i, x in zip(rows, total.tolist()):
-                        result[own[i]] = float(np.exp(-x / len(texts[own[i]])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(result, pa.float64())], names=batch.schema.names)
+            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            seeds = {lang: seed(lang) for lang in set(langs)}
+            result: list[float | None] = [None] * len(texts)
+            for rows in chunks(texts):
+                points, real = padded([texts[i] for i in rows], scorer.order)
+                sizes = np.array([len(texts[i]) for i in rows])
+                own = np.repeat(np.array([seeds[langs[i]] for i in rows], np.uint64), sizes)
+                sums = np.concatenate([[0.0], np.cumsum(scorer.log_probabilities(points, np.flatnonzero(real), own))])
+                for i, x in zip(rows, np.diff(sums[np.concatenate([[0], np.cumsum(sizes)])]).tolist()):
+                    result[i] = x
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(result, pa.float64())],
+                                             names=[*batch.schema.names[1:], "total"])
     return scan
 
 
@@ -216,31 +257,38 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: i
     """(doc_id, lang, perplexity) of every row of ``docs`` (doc_id, text, lang), by a
     model of ``trusted`` (text, lang); perplexity per character.  Null and empty
     texts, and languages without trusted text, have none.  Null lang is a
-    language of its own (written '')."""
+    language of its own (written '').
+
+    The driver holds one shard of ``shard_rows`` (hash, weight) at a time.  Every
+    shard takes a pass over the documents; passes after the first cost time, and
+    ``doc_id``, language and two numbers of each document on disk."""
     named = F.coalesce("lang", F.lit(""))
     grams = materialise(trusted.where("text <> ''").select("text", named.alias("lang")).mapInArrow(
         _count(order), "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")), "quality-grams")
     full = materialise(model(grams, order), "quality-model")
-    sizes = {}
-    for r in full.groupBy("lang", "k").count().collect():
-        sizes.setdefault(r["lang"], {})[r["k"]] = r["count"]
-    out = docs.select("doc_id", "text", named.alias("lang"), F.lit(None).cast("double").alias("perplexity"))
-    schema, sc, shard, room = out.schema, docs.sparkSession.sparkContext, {}, shard_rows
-
-    def apply(out):
-        return out.mapInArrow(_score(sc.broadcast(dict(shard))), schema) if shard else out
-
-    for lang in sorted(sizes):
-        use = order
-        while use > 1 and sum(n for k, n in sizes[lang].items() if k <= use) > shard_rows:
-            use -= 1
-        n = sum(n for k, n in sizes[lang].items() if k <= use)
-        if n > room:
-            out = apply(out)
-            shard, room = {}, shard_rows
-        rows = full.where((F.col("lang") == lang) & (F.col("k") <= use)).select("k", "g", "logp", "logb").toPandas()
-        shard[lang], room = Scorer(rows, use), room - n
-    return apply(out).drop("text")
+    shards = max(1, -(-full.where("k > 0").count() // shard_rows))
+    # pmod of the unsigned hash, as Scorer.get has it.
+    which = F.expr(f"cast(pmod(cast(h as decimal(20)) + if(h < 0, 18446744073709551616BD, 0BD), {shards}) as int)")
+    keyed = full.where("k > 0").select("lang", "k", "g", F.col("logb").isNotNull().alias("context"), "w").mapInArrow(_keyed, "h long, w double")
+    if shards > 1:
+        # Each shard's rows lie together.
+        keyed = materialise(keyed.withColumn("shard", which).repartitionByRange("shard"), "quality-weights")
+    out = docs.select("text", named.alias("lang"), "doc_id", F.xxhash64("text").alias("h"), F.length("text").alias("chars"))
+    schema = f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, chars int, total double"
+    sums = None
+    for s in range(shards):
+        rows = (keyed if shards == 1 else keyed.where(F.col("shard") == s)).select("h", "w").toArrow()
+        scorer = Scorer.shard(rows["h"].to_numpy().view(np.uint64), rows["w"].to_numpy(), order, s, shards)
+        part = out.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(scorer)), schema)
+        part = part if shards == 1 else materialise(part, "quality-sums")
+        sums = part if sums is None else sums.unionAll(part)
+    if shards > 1:
+        # Rows alike in all of these have equal sums: as many come out as went in.
+        sums = sums.groupBy("lang", "doc_id", "h", "chars").agg((F.sum("total") / F.count("*") * shards).alias("total"), F.count("*").alias("n")).select(
+            "lang", "doc_id", "chars", "total", F.explode(F.sequence(F.lit(1), (F.col("n") / shards).cast("int"))))
+    unseen = full.where("k = 0").select("lang", F.col("w").alias("unseen"))
+    return sums.join(F.broadcast(unseen), "lang", "left").select(
+        "doc_id", "lang", F.when(F.col("chars") > 0, F.exp(-(F.col("total") / F.col("chars") + F.col("unseen")))).alias("perplexity"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:

@@ -295,6 +295,18 @@ def test_quality_drops_junk_and_sums_to_one(spark, docs):
         assert abs(sum(p) - 1) < 0.02
 
 
+def test_quality_keeps_its_order_at_every_size(spark, docs):
+    labels = spark.read.parquet(f"{DIR}/labels.parquet")
+    trusted = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    some = docs.select("doc_id", "text", "lang").unionAll(spark.createDataFrame(
+        [(None, "a b", "en"), (None, "a b", "en"), (-1, None, "en"), (-2, "", "en"), (-3, "a b", "xx")], "doc_id long, text string, lang string"))
+    tell = lambda **k: sorted(((r["doc_id"] or 0, r["lang"], r["perplexity"] or 0) for r in QL.score(some, trusted, **k).collect()))
+    one, many, short = tell(), tell(shard_rows=20_000), tell(order=4)
+    assert len(one) == len(many) == some.count()
+    assert all(a[:2] == b[:2] and abs(a[2] - b[2]) <= 1e-4 * a[2] for a, b in zip(one, many))
+    assert sum(abs(a[2] - b[2]) > 1e-3 * a[2] for a, b in zip(one, short)) > 100
+
+
 def test_decontaminate_in_blocks_and_cut(spark, docs):
     bench = spark.read.parquet(f"{DIR}/benchmark.parquet")
     one = sorted(map(str, DC.digest(DC.decontaminate(docs, bench)).collect()))
