@@ -1,6 +1,9 @@
 """Quality by perplexity: an interpolated modified Kneser-Ney model of character
 n-grams for each language, trained on trusted text, and language-specific
-quantiles of the trusted documents' perplexity as thresholds.
+quantiles of the trusted documents' perplexity as thresholds.  A second model is
+trained on trusted and rejected text together: a few bad words in clean prose
+hardly raise a text's perplexity, but the second model tells such a text better
+than the first, and clean text worse.
 
 Every trusted document is counted: tasks add up their n-grams, Spark adds up the
 tasks', and all orders' counts and discounts are joins and groupings of those
@@ -21,9 +24,11 @@ from newsops.session import materialise
 
 ORDER = 5
 SHARD_ROWS = 4_000_000
-QUANTILE, SLACK = 0.995, 1.2
+QUANTILE = 0.99
 CHUNK_CHARS = 1 << 17
 START = "\x02"
+#: Before a language's name: its model of trusted and rejected text.
+MIXED = "\x03"
 CONTEXT = np.uint64(0x5851F42D4C957F2D)
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -234,37 +239,47 @@ class Scorer:
         return out[where]
 
 
-def _score(known):
+def _score(known, kinds: list[str]):
     def scan(batches):
         scorer = known.value
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            seeds = {lang: seed(lang) for lang in set(langs)}
-            result: list[float | None] = [None] * len(texts)
+            results: list[list[float | None]] = [[None] * len(texts) for _ in kinds]
             for rows in chunks(texts):
                 points, real = padded([texts[i] for i in rows], scorer.order)
-                sizes = np.array([len(texts[i]) for i in rows])
-                own = np.repeat(np.array([seeds[langs[i]] for i in rows], np.uint64), sizes)
-                sums = np.concatenate([[0.0], np.cumsum(scorer.log_probabilities(points, np.flatnonzero(real), own))])
-                for i, x in zip(rows, np.diff(sums[np.concatenate([[0], np.cumsum(sizes)])]).tolist()):
-                    result[i] = x
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(result, pa.float64())],
-                                             names=[*batch.schema.names[1:], "total"])
+                sizes, ends = np.array([len(texts[i]) for i in rows]), np.flatnonzero(real)
+                for kind, result in zip(kinds, results):
+                    seeds = {lang: seed(kind + lang) for lang in set(langs)}
+                    own = np.repeat(np.array([seeds[langs[i]] for i in rows], np.uint64), sizes)
+                    sums = np.concatenate([[0.0], np.cumsum(scorer.log_probabilities(points, ends, own))])
+                    for i, x in zip(rows, np.diff(sums[np.concatenate([[0], np.cumsum(sizes)])]).tolist()):
+                        result[i] = x
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(r, pa.float64()) for r in results]],
+                                             names=[*batch.schema.names[1:], *[f"total{k}" for k in range(len(kinds))]])
     return scan
 
 
-def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: int = SHARD_ROWS,
+          rejected: DataFrame | None = None) -> DataFrame:
     """(doc_id, lang, perplexity) of every row of ``docs`` (doc_id, text, lang), by a
     model of ``trusted`` (text, lang); perplexity per character.  Null and empty
     texts, and languages without trusted text, have none.  Null lang is a
-    language of its own (written '').
+    language of its own (written '').  With ``rejected`` (text, lang) also mixed:
+    perplexity by a model of both, null for languages without rejected text.
 
     The driver holds one shard of ``shard_rows`` (hash, weight) at a time.  Every
     shard takes a pass over the documents; passes after the first cost time, and
     ``doc_id``, language and two numbers of each document on disk."""
     named = F.coalesce("lang", F.lit(""))
-    grams = materialise(trusted.where("text <> ''").select("text", named.alias("lang")).mapInArrow(
-        _count(order), "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")), "quality-grams")
+    def counted(texts, name):
+        return materialise(texts.where("text <> ''").select("text", named.alias("lang")).mapInArrow(
+            _count(order), "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")), name)
+
+    grams, kinds = counted(trusted, "quality-grams"), [""]
+    if rejected is not None:
+        bad, kinds = counted(rejected, "quality-rejected"), ["", MIXED]
+        both = grams.join(F.broadcast(bad.select("lang").distinct()), "lang", "left_semi").unionAll(bad)
+        grams = materialise(grams.unionAll(both.groupBy(F.concat(F.lit(MIXED), "lang").alias("lang"), "g").agg(F.sum("c").alias("c"))), "quality-both")
     full = materialise(model(grams, order), "quality-model")
     shards = max(1, -(-full.where("k > 0").count() // shard_rows))
     # pmod of the unsigned hash, as Scorer.get has it.
@@ -274,36 +289,50 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: i
         # Each shard's rows lie together.
         keyed = materialise(keyed.withColumn("shard", which).repartitionByRange("shard"), "quality-weights")
     out = docs.select("text", named.alias("lang"), "doc_id", F.xxhash64("text").alias("h"), F.length("text").alias("chars"))
-    schema = f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, chars int, total double"
+    totals = [f"total{k}" for k in range(len(kinds))]
+    schema = f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, chars int, " + ", ".join(f"{t} double" for t in totals)
     sums = None
     for s in range(shards):
         rows = (keyed if shards == 1 else keyed.where(F.col("shard") == s)).select("h", "w").toArrow()
         scorer = Scorer.shard(rows["h"].to_numpy().view(np.uint64), rows["w"].to_numpy(), order, s, shards)
-        part = out.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(scorer)), schema)
+        part = out.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(scorer), kinds), schema)
         part = part if shards == 1 else materialise(part, "quality-sums")
         sums = part if sums is None else sums.unionAll(part)
     if shards > 1:
         # Rows alike in all of these have equal sums: as many come out as went in.
-        sums = sums.groupBy("lang", "doc_id", "h", "chars").agg((F.sum("total") / F.count("*") * shards).alias("total"), F.count("*").alias("n")).select(
-            "lang", "doc_id", "chars", "total", F.explode(F.sequence(F.lit(1), (F.col("n") / shards).cast("int"))))
-    unseen = full.where("k = 0").select("lang", F.col("w").alias("unseen"))
-    return sums.join(F.broadcast(unseen), "lang", "left").select(
-        "doc_id", "lang", F.when(F.col("chars") > 0, F.exp(-(F.col("total") / F.col("chars") + F.col("unseen")))).alias("perplexity"))
+        sums = sums.groupBy("lang", "doc_id", "h", "chars").agg(
+            *[(F.sum(t) / F.count("*") * shards).alias(t) for t in totals], F.count("*").alias("n")).select(
+            "lang", "doc_id", "chars", *totals, F.explode(F.sequence(F.lit(1), (F.col("n") / shards).cast("int"))))
+    for kind, total, name in zip(kinds, totals, ("perplexity", "mixed")):
+        unseen = full.where("k = 0").select(F.col("lang").alias("_model"), F.col("w").alias("_unseen"))
+        sums = sums.join(F.broadcast(unseen), F.concat(F.lit(kind), "lang") == F.col("_model"), "left").withColumn(name, F.when(
+            F.col("chars") > 0, F.exp(-(F.col(total) / F.col("chars") + F.col("_unseen"))))).drop("_model", "_unseen")
+    return sums.select("doc_id", "lang", *["perplexity", "mixed"][:len(kinds)])
+
+
+def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """classify()'s rows with gain, the log of perplexity over mixed, and its limit
+    most_gain."""
+    known = labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy("doc_id").agg(
+        F.min(F.coalesce(F.expr("quality = 1 and coalesce(toxic, 0) = 0"), F.lit(False))).alias("good")).withColumn(
+        "apart", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0)
+    taught = docs.join(known.where("not apart"), "doc_id")
+    scored = materialise(score(docs, taught.where("good"), rejected=taught.where("not good")).withColumn(
+        "gain", F.log(F.col("perplexity") / F.col("mixed"))).drop("mixed"), "quality-scores")
+    limit = lambda x: F.percentile_approx(x, quantile, 10_000)
+    limits = scored.join(known.where("good"), "doc_id").where("perplexity is not null").groupBy("lang").agg(*[
+        F.coalesce(limit(F.when(F.col("apart"), F.col(c))), limit(F.col(c))).alias(name)
+        for c, name in (("perplexity", "threshold"), ("gain", "most_gain"))])
+    return scored.join(limits, "lang", "left").withColumn("keep", F.coalesce(
+        (F.col("perplexity") <= F.col("threshold")) & F.coalesce(F.col("gain") <= F.col("most_gain"), F.lit(True)), F.lit(False)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, perplexity, threshold, keep): trusted are the documents that
-    ``labels`` calls of quality 1 and not toxic.  Four fifths of them (by a hash of
-    doc_id) are counted; the others, which the model hasn't seen, give each
-    language's ``quantile``, and ``SLACK`` times that is the threshold.  A language
-    whose trusted documents were all counted takes the quantile of those.  Rows
-    without perplexity or threshold aren't kept."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(
-        "doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("apart")).distinct()
-    counted = docs.join(good.where("not apart"), "doc_id", "left_semi")
-    scored = materialise(score(docs, counted), "quality-scores")
-    limit = lambda x: F.percentile_approx(x, quantile, 10_000)
-    limits = scored.join(good, "doc_id").where("perplexity is not null").groupBy("lang").agg(
-        (SLACK * F.coalesce(limit(F.when(F.col("apart"), F.col("perplexity"))), limit(F.col("perplexity")))).alias("threshold"))
-    return scored.join(limits, "lang", "left").select("doc_id", "lang", "perplexity", "threshold", F.coalesce(
-        F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("keep"))
+    ``labels`` calls of quality 1 and not toxic, rejected the other labelled ones.
+    Four fifths of either (by a hash of doc_id) are counted; the trusted ones that
+    no model has seen give each language's ``quantile`` of perplexity, the threshold,
+    and of the gain of the model with rejected text, which a kept document may not
+    exceed either.  A language whose trusted documents were all counted takes the
+    quantiles of those.  Rows without perplexity or threshold aren't kept."""
+    return judged(docs, labels, quantile).select("doc_id", "lang", "perplexity", "threshold", "keep")

@@ -307,6 +307,16 @@ def test_quality_keeps_its_order_at_every_size(spark, docs):
     assert sum(abs(a[2] - b[2]) > 1e-3 * a[2] for a, b in zip(one, short)) > 100
 
 
+def test_quality_drops_toxic_prose_it_has_not_seen(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(5)) != 0
+    rows = QL.classify(docs.select("doc_id", "text", "lang"), labels).withColumn("seen", seen).join(labels, "doc_id").collect()
+    unseen = lambda q, t: [r["keep"] for r in rows if not r["seen"] and (r["quality"], r["toxic"]) == (q, t)]
+    assert sum(unseen(1, 1)) <= 0.3 * len(unseen(1, 1)) and sum(unseen(1, 0)) >= 0.85 * len(unseen(1, 0))
+    toxic = [r["keep"] for r in rows if r["toxic"] == 1]
+    assert sum(toxic) <= 0.1 * len(toxic)
+
+
 def test_decontaminate_in_blocks_and_cut(spark, docs):
     bench = spark.read.parquet(f"{DIR}/benchmark.parquet")
     one = sorted(map(str, DC.digest(DC.decontaminate(docs, bench)).collect()))
