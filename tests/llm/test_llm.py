@@ -127,6 +127,23 @@ def test_markov_model_tells_random_runs(spark):
     assert masked["text"] == texts[200].split()[0] + " then <secret>"
 
 
+def test_identifiers_with_digits_are_no_secrets(spark, docs):
+    names = ["annual-report-2024-q3", "2024/01/15/some-article-title", "user_session_handler_123456", "2024-01-15/2024-02-20",
+             "MAX_CONNECTION_POOL_SIZE", "4465758382889437", "getUserSessionHandler2", "release-v2-10-3-candidate"]
+    rng = np.random.default_rng(4)
+    key = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), n))
+    few = [f"token={key(30)} user_session_handler config_value_total set" for _ in range(200)]
+    keys = [key(32) for _ in range(20)]
+    found = []
+    for other in (spark.createDataFrame([(x,) for x in few], "text string"), docs.select("text")):
+        df = spark.createDataFrame([(i, x) for i, x in enumerate(names + keys)], "doc_id long, text string")
+        spans = {r["doc_id"] for r in SE.digest(SE.scan(df.unionByName(other.withColumn("doc_id", F.lit(None).cast("long"))))).where(
+            "doc_id is not null and spans <> ''").collect()}
+        assert [names[i] for i in spans if i < len(names)] == []
+        found.append(len(spans))
+    assert found[0] >= 18
+
+
 def test_language_spans_and_held_out_accuracy(spark, docs):
     df = docs.withColumn("held", LI.held_out("doc_id"))
     model = LI.fit(df.where("not held"))
