@@ -3,8 +3,9 @@ and of ordinary identifiers compared by log-likelihood ratio.
 
 DataFrame functions only.  The models are trained from labelled samples: values
 that the fixed patterns found are random strings; ordinary are the words, dates,
-numbers, paths and joined names of the other runs, digits included.  Training reads a bounded sample (``train_docs`` documents, the
-least by a hash of their text); scanning reads every text whole."""
+numbers, paths and joined names of the other runs, digits included.  Training
+reads a bounded sample (``train_docs`` different texts, the least by hash);
+scanning reads every text whole."""
 from __future__ import annotations
 
 import math
@@ -101,12 +102,11 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[float], f
     ones, or at the former if that is above.
     None if either class has no sample."""
     hashed = docs.select("text", F.xxhash64("text").alias("h")).where("text is not null")
-    # Only hashes are ordered; texts stay where they lie.  Ties are equal texts.
-    least = [r["h"] for r in hashed.select("h").orderBy("h").limit(train_docs).collect()]
+    # Only distinct hashes are ordered; of a text with copies one is taken.
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(train_docs).collect()]
     if not least:
         return None
-    some = hashed.where(F.col("h") < least[-1]).unionAll(
-        hashed.where(F.col("h") == least[-1]).limit(least.count(least[-1])))
+    some = hashed.where(F.col("h") <= least[-1]).groupBy("h").agg(F.first("text").alias("text"))
     spans = some.select("text", base_spans(F.col("text")).alias("spans"))
     secret = F.transform("spans", lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]))
     # Ordinary: runs that no pattern found, digits or not.  Those that look like

@@ -144,6 +144,19 @@ def test_identifiers_with_digits_are_no_secrets(spark, docs):
     assert found[0] >= 18
 
 
+def test_secret_models_learn_from_different_texts(spark):
+    rng = np.random.default_rng(6)
+    key = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), n))
+    df = spark.createDataFrame([(f"token={key(30)} user_session_handler config_value",) for _ in range(40)], "text string")
+    # Copies, of the text with the least hash, that have no sample of random strings.
+    first = min((r["h"], r["text"]) for r in spark.range(2000).select(F.concat(F.lit("plain words "), "id").alias("text")).select(
+        "text", F.xxhash64("text").alias("h")).collect())[1]
+    copies = spark.range(300).select(F.lit(first).alias("text"))
+    assert SE.train(df.unionAll(copies), 60) is not None
+    some, all_ = SE.train(df.unionAll(copies), 60), SE.train(df.unionAll(copies.limit(1)), 60)
+    assert np.allclose(some[0], all_[0]) and abs(some[1] - all_[1]) < 1e-9
+
+
 def test_language_spans_and_held_out_accuracy(spark, docs):
     df = docs.withColumn("held", LI.held_out("doc_id"))
     model = LI.fit(df.where("not held"))
