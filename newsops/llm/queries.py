@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, quality as QL, secrets as SE, suffixes as SF, tokens as TK
+from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, periods as PE, quality as QL, secrets as SE, suffixes as SF, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -78,6 +78,12 @@ def op10_nearest_vectors(spark, d):
     return NN.search(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+@query
+def op13_periodic_runs(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text")
+    return PE.digest(PE.periodic_runs(docs.withColumn("text", PE.planted(F.col("doc_id"), F.col("text")))))
+
+
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 SQL["op7_decontaminate"] = f"""
