@@ -7,23 +7,22 @@ Texts are cut there, so a chunk is a marked word or a part of one.  Each distinc
 chunk of the corpus is segmented once, and its ids go back to its places."""
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsops.llm import runs as R
+from newsops.llm import runs as R, words as W
 from newsops.session import materialise
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: The part of the table that is broadcast: at most so many chunks and bytes of chunks and ids.
-TABLE_CHUNKS = 1 << 20
-TABLE_BYTES = 1 << 25
-FLUSH_CHUNKS = 1 << 18
-FLUSH_BYTES = 1 << 24
+TABLE_CHUNKS = 1 << 19
+TABLE_BYTES = 1 << 24
+SLICE_CHARS = 1 << 20
+FLUSH_ROWS = 1 << 16
 BATCH_BYTES = 1 << 22
+TOP_BITS = 20
 
 
 class Pieces:
@@ -55,21 +54,24 @@ class Pieces:
             raise ValueError("the model has pieces that go across marks or line breaks")
         self.kind = np.zeros(0x110000, np.int16)
         self.kind[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        self.joined = np.zeros((len(letters) + 1,) * 2, bool)
+        joined = np.zeros((len(letters) + 1,) * 2, bool)
         for a, b in pairs:
-            self.joined[self.kind[ord(a)], self.kind[ord(b)]] = True
+            joined[self.kind[ord(a)], self.kind[ord(b)]] = True
+        self.kinds, self.apart = len(letters) + 1, ~joined.ravel()
         self.before = sp.encode("\n")
         self.ready = True
         return self
 
-    def chunks(self, text: str | None) -> list[str]:
-        """The marked text, cut wherever no piece holds both neighbours."""
-        if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
-        kinds = self.kind[np.frombuffer(marked.encode("utf-32-le"), np.uint32)]
-        at = (np.flatnonzero(~self.joined[kinds[:-1], kinds[1:]]) + 1).tolist()
-        return list(map(marked.__getitem__, map(slice, [0, *at], [*at, len(marked)])))
+    def slices(self, texts: list[str | None]):
+        """The chunks of consecutive rows, SLICE_CHARS characters at a time; a longer text is a slice."""
+        first, size = 0, 0
+        for row, text in enumerate(texts):
+            if size and size + len(text or "") > SLICE_CHARS:
+                yield Chunks(self, texts[first:row])
+                first, size = row, 0
+            size += len(text or "")
+        if texts:
+            yield Chunks(self, texts[first:])
 
     def segment(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk as 32-bit numbers.  A line break before it, which joins
@@ -78,42 +80,114 @@ class Pieces:
         return [np.array(ids[n:], np.int32).tobytes() for ids in self.sp.encode(["\n" + c for c in chunks], num_threads=1)]
 
 
+def hashes(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of points start .. end - 1, for parts that lie one after the other."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(points)) - np.repeat(start, end - start)
+    return np.add.reduceat(W.mix(points * W.BASE + place.astype(np.uint64) * W.INVERSE), start)
+
+
+def alike(one: np.ndarray, a: np.ndarray, other: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which parts one[a : a + size] and other[b : b + size] are equal."""
+    skip = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    same = one[np.repeat(a, size) + skip] == other[np.repeat(b, size) + skip]
+    wrong = np.zeros(len(size) + 1, np.int64)
+    np.add.at(wrong, np.repeat(np.arange(len(size)), size)[~same], 1)
+    return wrong[:-1] == 0
+
+
+class Chunks:
+    """Chunks of some rows' marked texts, cut wherever no piece holds both
+    neighbours; row r's are bounds[r] to bounds[r + 1]."""
+
+    def __init__(self, pieces: Pieces, texts: list[str | None]):
+        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+        sizes = np.array([len(m) for m in marked], np.int64)
+        self.marked = "".join(marked)
+        self.points = np.frombuffer(self.marked.encode("utf-32-le"), np.uint32)
+        kinds = pieces.kind[self.points].astype(np.int32)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        cut = np.ones(len(kinds), bool)
+        cut[1:] = pieces.apart[kinds[:-1] * pieces.kinds + kinds[1:]]
+        cut[first[:-1][sizes > 0]] = True
+        self.start = np.flatnonzero(cut)
+        self.end = np.append(self.start[1:], len(kinds)) if len(kinds) else self.start
+        self.bounds = np.searchsorted(self.start, first)
+        self.hash = hashes(self.points, self.start, self.end)
+
+    def text(self, some: np.ndarray) -> list[str]:
+        return list(map(self.marked.__getitem__, map(slice, self.start[some].tolist(), self.end[some].tolist())))
+
+    def counts(self) -> tuple[list[str], np.ndarray]:
+        """Distinct chunks and how often each occurs."""
+        order = np.argsort(self.hash, kind="stable")
+        h, size = self.hash[order], (self.end - self.start)[order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        leader = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        fits = size == (self.end - self.start)[leader]
+        fits[fits] = alike(self.points, self.start[order[fits]], self.points, self.start[leader[fits]], size[fits])
+        # A chunk that only shares the hash of the first is told by itself.
+        odd = order[~fits]
+        n = np.bincount((np.cumsum(new) - 1)[fits], minlength=int(new.sum()))
+        return self.text(np.concatenate([order[new], odd])), np.concatenate([n, np.ones(len(odd), np.int64)])
+
+
 class Table:
-    """Chunks and their ids, packed for the broadcast; a dictionary once a worker."""
+    """Chunks with their ids, packed for the broadcast; arrays sorted by hash once a worker."""
 
     def __init__(self, blobs: list[bytes]):
-        self.blobs, self.ids = blobs, None
+        self.blobs, self.ready = blobs, False
 
     def __getstate__(self):
-        return {"blobs": self.blobs, "ids": None}
+        return {"blobs": self.blobs, "ready": False}
 
-    def load(self) -> dict[str, bytes]:
-        if self.ids is None:
-            self.ids = {}
-            for blob in self.blobs:
-                for batch in pa.ipc.open_stream(blob):
-                    self.ids.update(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            self.blobs = []
-        return self.ids
+    def load(self) -> "Table":
+        if self.ready:
+            return self
+        batches = [b for blob in self.blobs for b in pa.ipc.open_stream(blob)]
+        chunks = [c for b in batches for c in b.column(0).to_pylist()]
+        packed = [c for b in batches for c in b.column(1).to_pylist()]
+        size = np.array([len(c) for c in chunks], np.int64)
+        start = np.cumsum(size) - size
+        self.points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
+        h = hashes(self.points, start, start + size)
+        order = np.argsort(h, kind="stable")
+        n = np.array([len(x) // 4 for x in packed], np.int64)
+        self.ids = np.frombuffer(b"".join(packed), np.int32)
+        self.hash, self.start, self.size = np.append(h[order], W.NONE), start[order], size[order]
+        self.id_start, self.id_count = (np.cumsum(n) - n)[order], n[order]
+        tops = np.arange(1 << TOP_BITS, dtype=np.uint64) << np.uint64(64 - TOP_BITS)
+        self.first = np.searchsorted(self.hash, tops).astype(np.int32)
+        self.ready = True
+        return self
+
+    def find(self, chunks: Chunks) -> np.ndarray:
+        """Place of each chunk in the table, -1 where it isn't there."""
+        if not len(self.size):
+            return np.full(len(chunks.start), -1)
+        h = chunks.hash
+        at = self.first[(h >> np.uint64(64 - TOP_BITS)).astype(np.int64)].astype(np.int64)
+        rest = np.flatnonzero(self.hash[at] < h)
+        while len(rest):
+            at[rest] += 1
+            rest = rest[self.hash[at[rest]] < h[rest]]
+        known = (self.hash[at] == h) & (at < len(self.size))
+        at[~known] = 0
+        known &= self.size[at] == chunks.end - chunks.start
+        some = np.flatnonzero(known)
+        known[some] = alike(chunks.points, chunks.start[some], self.points, self.start[at[some]], self.size[at[some]])
+        return np.where(known, at, -1)
 
 
 def _count(known):
     def scan(batches):
-        pieces, seen, size = known.value.load(), Counter(), 0
-
-        def told():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["chunk", "n"])
-            seen.clear()
-            return out
+        pieces = known.value.load()
         for batch in batches:
-            for text in batch.column(0):
-                chunks = pieces.chunks(text.as_py())
-                seen.update(chunks)
-                size += max(map(len, chunks), default=0)
-                if len(seen) > FLUSH_CHUNKS or size > FLUSH_BYTES:
-                    yield told()
-                    size = 0
-        yield told()
+            for part in pieces.slices(batch.column(0).to_pylist()):
+                chunks, n = part.counts()
+                yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.string()), pa.array(n, pa.int64())], names=["chunk", "n"])
     return scan
 
 
@@ -136,25 +210,28 @@ def _pack(batches):
 
 def _missing(known, table):
     """(doc, rid, chunk, at): chunks of a text that the broadcast part lacks, and their places."""
-    def scan(batches):
-        pieces, have = known.value.load(), table.value.load()
-        for batch in batches:
-            doc, rid, out, size = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0
-            for k, text in enumerate(batch.column(2)):
-                places: dict[str, list[int]] = {}
-                for at, chunk in enumerate(pieces.chunks(text.as_py())):
-                    if chunk not in have:
-                        places.setdefault(chunk, []).append(at)
-                out += [(doc[k], rid[k], chunk, at) for chunk, at in places.items()]
-                size += sum(map(len, places))
-                if len(out) > FLUSH_CHUNKS or size > BATCH_BYTES:
-                    yield told(out)
-                    out, size = [], 0
-            yield told(out)
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32())]
 
     def told(out):
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=["doc", "rid", "chunk", "at"])
+
+    def scan(batches):
+        pieces, have, out = known.value.load(), table.value.load(), []
+        for batch in batches:
+            doc, rid, row = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
+            for part in pieces.slices(batch.column(2).to_pylist()):
+                lacks = np.flatnonzero(have.find(part) < 0)
+                texts, last = part.text(lacks), np.searchsorted(lacks, part.bounds)
+                for r in range(len(part.bounds) - 1):
+                    places: dict[str, list[int]] = {}
+                    for k in range(last[r], last[r + 1]):
+                        places.setdefault(texts[k], []).append(int(lacks[k] - part.bounds[r]))
+                    out += [(doc[row], rid[row], chunk, at) for chunk, at in places.items()]
+                    row += 1
+                if len(out) > FLUSH_ROWS:
+                    yield told(out)
+                    out = []
+        yield told(out)
     return scan
 
 
@@ -168,39 +245,50 @@ def _squeeze(batches):
              pa.array([len(t or b"") for t in raw], pa.int64())], names=["doc_id", "doc", "rid", "packed", "size"])
 
 
+def _texts(batch, packed: bool):
+    """Rows of a batch as texts, a slice's worth at a time, with the first row."""
+    codec, first, texts, size = pa.Codec("zstd"), 0, [], 0
+    for row in range(batch.num_rows):
+        data = batch.column(1)[row].as_py()
+        texts.append(codec.decompress(data, batch.column(2)[row].as_py(), asbytes=True).decode() if packed and data is not None else data)
+        size += len(texts[-1] or "")
+        if size >= SLICE_CHARS:
+            yield first, texts
+            first, texts, size = row + 1, [], 0
+    if texts:
+        yield first, texts
+
+
 def _assemble(known, table, packed: bool):
     """(doc_id, ids) from (doc_id, text), or from (doc_id, packed, size, rest) where
     ``rest`` has the ids of the chunks that the table lacks, by place."""
     def scan(batches):
         pieces, have = known.value.load(), table.value.load()
-        codec = pa.Codec("zstd")
         for batch in batches:
-            first, values, counts, size = 0, [], [], 0
-            for row in range(batch.num_rows):
-                if packed:
-                    data, n = batch.column(1)[row].as_py(), batch.column(2)[row].as_py()
-                    text = None if data is None else codec.decompress(data, n, asbytes=True).decode()
-                else:
-                    text = batch.column(1)[row].as_py()
-                ids = list(map(have.get, pieces.chunks(text)))
-                if packed:
-                    for part in batch.column(3)[row].as_py() or ():
-                        for at in part["at"]:
-                            ids[at] = part["ids"]
-                value = b"".join(ids)
-                values.append(value)
-                counts.append(len(value) // 4)
-                size += len(value)
-                if size > BATCH_BYTES:
-                    yield told(batch, first, row + 1, values, counts)
-                    first, values, counts, size = row + 1, [], [], 0
-            if counts or not batch.num_rows:
-                yield told(batch, first, batch.num_rows, values, counts)
-
-    def told(batch, first, end, values, counts):
-        flat = pa.array(np.frombuffer(b"".join(values), np.int32))
-        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]), pa.int32()), flat)
-        return pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), ids], names=["doc_id", "ids"])
+            for first, texts in _texts(batch, packed):
+                part = Chunks(pieces, texts)
+                at = have.find(part)
+                start, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+                seen = at >= 0
+                start[seen], count[seen] = have.id_start[at[seen]], have.id_count[at[seen]]
+                more, size = [], len(have.ids)
+                if not packed:  # Only a chunk whose hash another one has can be missing here.
+                    lacks = np.flatnonzero(~seen)
+                    more = pieces.segment(part.text(lacks)) if len(lacks) else []
+                    count[lacks] = [len(x) // 4 for x in more]
+                    start[lacks] = size + np.cumsum(count[lacks]) - count[lacks]
+                for r in range(len(texts) if packed else 0):
+                    for x in batch.column(3)[first + r].as_py() or ():
+                        places = part.bounds[r] + np.array(x["at"], np.int64)
+                        start[places], count[places] = size, len(x["ids"]) // 4
+                        more.append(x["ids"])
+                        size += len(x["ids"]) // 4
+                ids = np.concatenate([have.ids, np.frombuffer(b"".join(more), np.int32)])
+                before = np.concatenate([[0], np.cumsum(count)])
+                flat = ids[np.repeat(start - before[:-1], count) + np.arange(before[-1])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(texts)), pa.ListArray.from_arrays(pa.array(before[part.bounds], pa.int32()), pa.array(flat))],
+                    names=["doc_id", "ids"])
     return scan
 
 
@@ -227,7 +315,7 @@ def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS
     Null and empty texts have no ids, an empty table gives no rows, repeated rows
     are kept; other columns of ``docs`` are left out.  The model (its file is read
     by the driver and broadcast) must only mark blanks and have byte pieces.  A
-    task holds one text at a time with its chunks, some 30 bytes a byte of text."""
+    task holds 1 Mi characters at a time or one longer text, some 60 bytes a character."""
     spark = docs.sparkSession
     with open(model, "rb") as f:
         known = spark.sparkContext.broadcast(Pieces(f.read()))
@@ -249,7 +337,7 @@ def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS
     if whole:
         return rows.select("doc_id", "text").mapInArrow(_assemble(known, head, False), out)
     rest = (rows.select("doc", "rid", "text").mapInArrow(_missing(known, head), "doc long, rid long, chunk string, at array<int>")
-            .join(table.where(~often).select("chunk", "ids"), "chunk")
+            .join(table.select("chunk", "ids"), "chunk")
             .groupBy("doc", "rid").agg(F.collect_set(F.struct("at", "ids")).alias("rest")))
     squeezed = rows.select("doc_id", "doc", "rid", "text").mapInArrow(
         _squeeze, "doc_id long, doc long, rid long, packed binary, size long")

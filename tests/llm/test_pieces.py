@@ -55,11 +55,24 @@ def test_every_chunk_is_segmented_once(spark):
         known = spark.sparkContext.broadcast(PI.Pieces(f.read()))
     table = PI.segments(docs, known)
     pieces = known.value.load()
-    chunks = [c for r in docs.collect() for c in pieces.chunks(r["text"])]
+    chunks = [c for part in pieces.slices([r["text"] for r in docs.collect()]) for c in part.text(np.arange(len(part.start)))]
     assert table.count() == table.select("chunk").distinct().count() == len(set(chunks))
     assert table.agg(F.sum("n")).first()[0] == len(chunks)
 
 
+def test_chunks_that_share_a_hash_stay_apart(spark, sp, monkeypatch):
+    monkeypatch.setattr(PI, "hashes", lambda points, start, end: np.zeros(len(start), np.uint64))
+    texts = ["one two  three one", "two", "three one", None]
+    pieces = PI.Pieces(open(PI.MODEL, "rb").read()).load()
+    part = PI.Chunks(pieces, texts)
+    names, n = part.counts()
+    counted = {}
+    for name, k in zip(names, n.tolist()):
+        counted[name] = counted.get(name, 0) + k
+    every = part.text(np.arange(len(part.start)))
+    assert counted == {x: every.count(x) for x in every}
+
+
 def test_very_long_texts(spark, sp):
     texts = ["x" * 10**6, " " * 10**6, "\n" * 10**6, "word " * 200_000, "é" * 300_000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
