@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsops.llm import runs as R, words as W
@@ -17,11 +18,11 @@ from newsops.session import materialise
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: The part of the table that is broadcast: at most so many chunks and bytes of chunks and ids.
-TABLE_CHUNKS = 1 << 19
-TABLE_BYTES = 1 << 24
-SLICE_CHARS = 1 << 20
-FLUSH_ROWS = 1 << 16
-BATCH_BYTES = 1 << 22
+TABLE_CHUNKS = 1 << 20
+TABLE_BYTES = 1 << 25
+SLICE_CHARS = 1 << 18
+FLUSH_ROWS = 1 << 15
+BATCH_BYTES = 1 << 21
 TOP_BITS = 20
 
 
@@ -62,16 +63,17 @@ class Pieces:
         self.ready = True
         return self
 
-    def slices(self, texts: list[str | None]):
+    def slices(self, column: pa.Array):
         """The chunks of consecutive rows, SLICE_CHARS characters at a time; a longer text is a slice."""
-        first, size = 0, 0
-        for row, text in enumerate(texts):
-            if size and size + len(text or "") > SLICE_CHARS:
-                yield Chunks(self, texts[first:row])
-                first, size = row, 0
-            size += len(text or "")
+        texts, size = [], 0
+        for value in column:
+            texts.append(value.as_py())
+            size += len(texts[-1] or "")
+            if size >= SLICE_CHARS:
+                yield Chunks(self, texts)
+                texts, size = [], 0
         if texts:
-            yield Chunks(self, texts[first:])
+            yield Chunks(self, texts)
 
     def segment(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk as 32-bit numbers.  A line break before it, which joins
@@ -135,36 +137,40 @@ class Chunks:
 
 
 class Table:
-    """Chunks with their ids, packed for the broadcast; arrays sorted by hash once a worker."""
+    """Chunks with their ids, packed for the broadcast; arrays once a worker, the
+    most frequent chunk first."""
 
     def __init__(self, blobs: list[bytes]):
-        self.blobs, self.ready = blobs, False
+        self.blobs, self.ids, self.hash = blobs, None, None
 
     def __getstate__(self):
-        return {"blobs": self.blobs, "ready": False}
+        return {"blobs": self.blobs, "ids": None, "hash": None}
 
     def load(self) -> "Table":
-        if self.ready:
-            return self
-        batches = [b for blob in self.blobs for b in pa.ipc.open_stream(blob)]
-        chunks = [c for b in batches for c in b.column(0).to_pylist()]
-        packed = [c for b in batches for c in b.column(1).to_pylist()]
-        size = np.array([len(c) for c in chunks], np.int64)
-        start = np.cumsum(size) - size
-        self.points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
-        h = hashes(self.points, start, start + size)
-        order = np.argsort(h, kind="stable")
-        n = np.array([len(x) // 4 for x in packed], np.int64)
-        self.ids = np.frombuffer(b"".join(packed), np.int32)
-        self.hash, self.start, self.size = np.append(h[order], W.NONE), start[order], size[order]
-        self.id_start, self.id_count = (np.cumsum(n) - n)[order], n[order]
-        tops = np.arange(1 << TOP_BITS, dtype=np.uint64) << np.uint64(64 - TOP_BITS)
-        self.first = np.searchsorted(self.hash, tops).astype(np.int32)
-        self.ready = True
+        """The ids: those of chunk c are the id_count[c] from id_start[c] on."""
+        if self.ids is None:
+            rows = pa.Table.from_batches([b for blob in self.blobs for b in pa.ipc.open_stream(blob)], HEAD)
+            self.rows = rows.take(pc.array_sort_indices(pc.negate(rows.column("n").combine_chunks()))).combine_chunks()
+            self.id_start, self.id_count, data = flat(self.rows.column("ids"))
+            self.ids = np.frombuffer(data, np.int32)
+            self.id_start, self.id_count = self.id_start // 4, self.id_count // 4
+        return self
+
+    def index(self) -> "Table":
+        """Where to look chunks up: by hash."""
+        if self.load().hash is None:
+            size = pc.utf8_length(self.rows.column("chunk").combine_chunks()).to_numpy().astype(np.int32)
+            start = np.cumsum(size, dtype=np.int64) - size
+            self.points = np.frombuffer(flat(self.rows.column("chunk"))[2].decode().encode("utf-32-le"), np.uint32)
+            h = hashes(self.points, start, start + size)
+            self.rank = np.argsort(h, kind="stable").astype(np.int32)
+            self.hash, self.start, self.size = np.append(h[self.rank], W.NONE), start[self.rank].astype(np.int32), size[self.rank]
+            tops = np.arange(1 << TOP_BITS, dtype=np.uint64) << np.uint64(64 - TOP_BITS)
+            self.first = np.searchsorted(self.hash, tops).astype(np.int32)
         return self
 
     def find(self, chunks: Chunks) -> np.ndarray:
-        """Place of each chunk in the table, -1 where it isn't there."""
+        """Each chunk's place in the table, -1 where it isn't there."""
         if not len(self.size):
             return np.full(len(chunks.start), -1)
         h = chunks.hash
@@ -178,14 +184,27 @@ class Table:
         known &= self.size[at] == chunks.end - chunks.start
         some = np.flatnonzero(known)
         known[some] = alike(chunks.points, chunks.start[some], self.points, self.start[at[some]], self.size[at[some]])
-        return np.where(known, at, -1)
+        return np.where(known, self.rank[at], -1)
+
+
+HEAD = pa.schema([("chunk", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
+
+
+def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Start and size of each value of a text or binary column, in its bytes."""
+    column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    return offsets[:-1] - offsets[0], np.diff(offsets), data.to_pybytes()[offsets[0]:offsets[-1]] if len(column) else b""
 
 
 def _count(known):
     def scan(batches):
         pieces = known.value.load()
         for batch in batches:
-            for part in pieces.slices(batch.column(0).to_pylist()):
+            for part in pieces.slices(batch.column(0)):
                 chunks, n = part.counts()
                 yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.string()), pa.array(n, pa.int64())], names=["chunk", "n"])
     return scan
@@ -203,8 +222,8 @@ def _segment(known):
 def _pack(batches):
     for batch in batches:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema) as out:
-            out.write_batch(batch)
+        with pa.ipc.new_stream(sink, HEAD) as out:
+            out.write_batch(pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(batch.columns, HEAD.types)], schema=HEAD))
         yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["blob"])
 
 
@@ -216,10 +235,10 @@ def _missing(known, table):
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=["doc", "rid", "chunk", "at"])
 
     def scan(batches):
-        pieces, have, out = known.value.load(), table.value.load(), []
+        pieces, have, out = known.value.load(), table.value.index(), []
         for batch in batches:
             doc, rid, row = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
-            for part in pieces.slices(batch.column(2).to_pylist()):
+            for part in pieces.slices(batch.column(2)):
                 lacks = np.flatnonzero(have.find(part) < 0)
                 texts, last = part.text(lacks), np.searchsorted(lacks, part.bounds)
                 for r in range(len(part.bounds) - 1):
@@ -235,60 +254,77 @@ def _missing(known, table):
     return scan
 
 
-def _squeeze(batches):
-    """Texts compressed for a shuffle."""
-    codec = pa.Codec("zstd")
-    for batch in batches:
-        raw = [None if t is None else t.encode() for t in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array([None if t is None else codec.compress(t, asbytes=True) for t in raw], pa.binary()),
-             pa.array([len(t or b"") for t in raw], pa.int64())], names=["doc_id", "doc", "rid", "packed", "size"])
+def _squeeze(known, table):
+    """Each text as the places of its chunks in the table (from 1, 0: not there),
+    compressed byte by byte of these numbers: what goes through the shuffle."""
+    def scan(batches):
+        pieces, have, codec = known.value.load(), table.value.index(), pa.Codec("zstd")
+        for batch in batches:
+            packed, size = [], []
+            for part in pieces.slices(batch.column(3)):
+                codes = (have.find(part) + 1).astype("<u4")
+                for a, b in zip(part.bounds.tolist(), part.bounds[1:].tolist()):
+                    size.append(b - a)
+                    packed.append(codec.compress(codes[a:b].view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary()), pa.array(size, pa.int64())],
+                                             names=["doc_id", "doc", "rid", "packed", "size"])
+    return scan
+
+
+def _found(known, table):
+    """Batches (doc_id, text) as (doc_ids, codes, bounds, ids of the chunks that aren't in the table)."""
+    pieces, have = known.value.load(), table.value.index()
+
+    def parts(batch):
+        row = 0
+        for part in pieces.slices(batch.column(1)):
+            codes = have.find(part)
+            # Only a chunk whose hash another one has can be missing here.
+            lacks = np.flatnonzero(codes < 0)
+            rows = len(part.bounds) - 1
+            yield batch.column(0).slice(row, rows), codes, part.bounds, [(lacks[k:k + 1], ids) for k, ids in enumerate(pieces.segment(part.text(lacks)))]
+            row += rows
+    return parts
+
 
+def _joined(batch):
+    """Batches (doc_id, packed, size, rest) as the above."""
+    codec, first, codes, sizes, more = pa.Codec("zstd"), 0, [], [], []
 
-def _texts(batch, packed: bool):
-    """Rows of a batch as texts, a slice's worth at a time, with the first row."""
-    codec, first, texts, size = pa.Codec("zstd"), 0, [], 0
+    def part():
+        bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        return batch.column(0).slice(first, len(sizes)), np.concatenate(codes), bounds, [(bounds[r] + at, ids) for r, at, ids in more]
     for row in range(batch.num_rows):
-        data = batch.column(1)[row].as_py()
-        texts.append(codec.decompress(data, batch.column(2)[row].as_py(), asbytes=True).decode() if packed and data is not None else data)
-        size += len(texts[-1] or "")
-        if size >= SLICE_CHARS:
-            yield first, texts
-            first, texts, size = row + 1, [], 0
-    if texts:
-        yield first, texts
-
-
-def _assemble(known, table, packed: bool):
-    """(doc_id, ids) from (doc_id, text), or from (doc_id, packed, size, rest) where
-    ``rest`` has the ids of the chunks that the table lacks, by place."""
+        n = batch.column(2)[row].as_py()
+        raw = codec.decompress(batch.column(1)[row].as_py(), 4 * n, asbytes=True) if n else b""
+        more += [(len(sizes), np.array(x["at"], np.int64), x["ids"]) for x in batch.column(3)[row].as_py() or ()]
+        codes.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel().astype(np.int64) - 1)
+        sizes.append(n)
+        if sum(sizes) >= SLICE_CHARS // 4:
+            yield part()
+            first, codes, sizes, more = row + 1, [], [], []
+    if sizes:
+        yield part()
+
+
+def _assemble(known, table, joined: bool):
+    """(doc_id, ids): the ids of each text's chunks, in their order."""
     def scan(batches):
-        pieces, have = known.value.load(), table.value.load()
+        have = table.value.load()
+        parts = _joined if joined else _found(known, table)
         for batch in batches:
-            for first, texts in _texts(batch, packed):
-                part = Chunks(pieces, texts)
-                at = have.find(part)
-                start, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                seen = at >= 0
+            for doc_id, at, bounds, more in parts(batch):
+                start, count, seen = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), at >= 0
                 start[seen], count[seen] = have.id_start[at[seen]], have.id_count[at[seen]]
-                more, size = [], len(have.ids)
-                if not packed:  # Only a chunk whose hash another one has can be missing here.
-                    lacks = np.flatnonzero(~seen)
-                    more = pieces.segment(part.text(lacks)) if len(lacks) else []
-                    count[lacks] = [len(x) // 4 for x in more]
-                    start[lacks] = size + np.cumsum(count[lacks]) - count[lacks]
-                for r in range(len(texts) if packed else 0):
-                    for x in batch.column(3)[first + r].as_py() or ():
-                        places = part.bounds[r] + np.array(x["at"], np.int64)
-                        start[places], count[places] = size, len(x["ids"]) // 4
-                        more.append(x["ids"])
-                        size += len(x["ids"]) // 4
-                ids = np.concatenate([have.ids, np.frombuffer(b"".join(more), np.int32)])
+                size = len(have.ids)
+                for places, ids in more:
+                    start[places], count[places] = size, len(ids) // 4
+                    size += len(ids) // 4
+                ids = np.concatenate([have.ids, np.frombuffer(b"".join(x for _, x in more), np.int32)]) if more else have.ids
                 before = np.concatenate([[0], np.cumsum(count)])
-                flat = ids[np.repeat(start - before[:-1], count) + np.arange(before[-1])]
+                values = ids[np.repeat(start - before[:-1], count) + np.arange(before[-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.ListArray.from_arrays(pa.array(before[part.bounds], pa.int32()), pa.array(flat))],
-                    names=["doc_id", "ids"])
+                    [doc_id, pa.ListArray.from_arrays(pa.array(before[bounds], pa.int32()), pa.array(values))], names=["doc_id", "ids"])
     return scan
 
 
@@ -310,12 +346,12 @@ def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS
     The most frequent chunks, within ``table_chunks`` and ``table_bytes``, are
     broadcast.  Where that is the whole table, texts don't move.  Otherwise the
     other chunks of each text are joined with the table by chunk, and their ids
-    with the text by place; only there texts are shuffled, compressed.
+    with the text by place; only there texts are shuffled, as numbers of chunks.
 
     Null and empty texts have no ids, an empty table gives no rows, repeated rows
     are kept; other columns of ``docs`` are left out.  The model (its file is read
     by the driver and broadcast) must only mark blanks and have byte pieces.  A
-    task holds 1 Mi characters at a time or one longer text, some 60 bytes a character."""
+    task holds 256 Ki characters at a time or one longer text, some 60 bytes a character."""
     spark = docs.sparkSession
     with open(model, "rb") as f:
         known = spark.sparkContext.broadcast(Pieces(f.read()))
@@ -330,7 +366,7 @@ def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS
         least = c["class"]
     whole = not classes or least == classes[-1]["class"]
     often = F.lit(False) if least is None else F.col("class") >= least
-    blobs = table.where(often).select("chunk", "ids").mapInArrow(_pack, "blob binary").collect()
+    blobs = table.where(often).select("chunk", "n", "ids").mapInArrow(_pack, "blob binary").collect()
     head = spark.sparkContext.broadcast(Table([bytes(b[0]) for b in blobs]))
     out = "doc_id long, ids array<int>"
     rows = R.keyed(docs)
@@ -340,7 +376,7 @@ def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS
             .join(table.select("chunk", "ids"), "chunk")
             .groupBy("doc", "rid").agg(F.collect_set(F.struct("at", "ids")).alias("rest")))
     squeezed = rows.select("doc_id", "doc", "rid", "text").mapInArrow(
-        _squeeze, "doc_id long, doc long, rid long, packed binary, size long")
+        _squeeze(known, head), "doc_id long, doc long, rid long, packed binary, size long")
     return squeezed.join(rest, ["doc", "rid"], "left").select("doc_id", "packed", "size", "rest").mapInArrow(
         _assemble(known, head, True), out)
 

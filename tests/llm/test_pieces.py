@@ -2,6 +2,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def test_every_chunk_is_segmented_once(spark):
         known = spark.sparkContext.broadcast(PI.Pieces(f.read()))
     table = PI.segments(docs, known)
     pieces = known.value.load()
-    chunks = [c for part in pieces.slices([r["text"] for r in docs.collect()]) for c in part.text(np.arange(len(part.start)))]
+    chunks = [c for part in pieces.slices(pa.array([r["text"] for r in docs.collect()])) for c in part.text(np.arange(len(part.start)))]
     assert table.count() == table.select("chunk").distinct().count() == len(set(chunks))
     assert table.agg(F.sum("n")).first()[0] == len(chunks)
 
