@@ -21,9 +21,11 @@ MARK = "▁"
 TABLE_CHUNKS = 1 << 20
 TABLE_BYTES = 1 << 25
 SLICE_CHARS = 1 << 18
+COUNT_CHARS = 1 << 20
 FLUSH_ROWS = 1 << 15
 BATCH_BYTES = 1 << 21
 TOP_BITS = 20
+BLOCK_CHUNKS = 1 << 15
 
 
 class Pieces:
@@ -63,13 +65,13 @@ class Pieces:
         self.ready = True
         return self
 
-    def slices(self, column: pa.Array):
-        """The chunks of consecutive rows, SLICE_CHARS characters at a time; a longer text is a slice."""
+    def slices(self, column: pa.Array, chars: int = SLICE_CHARS):
+        """The chunks of consecutive rows, some ``chars`` characters at a time; a longer text is a slice."""
         texts, size = [], 0
         for value in column:
             texts.append(value.as_py())
             size += len(texts[-1] or "")
-            if size >= SLICE_CHARS:
+            if size >= chars:
                 yield Chunks(self, texts)
                 texts, size = [], 0
         if texts:
@@ -82,12 +84,26 @@ class Pieces:
         return [np.array(ids[n:], np.int32).tobytes() for ids in self.sp.encode(["\n" + c for c in chunks], num_threads=1)]
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1); those of a usual slice are kept."""
+    have = _powers.get(int(base))
+    if have is None or n > len(have):
+        have = np.full(max(n, COUNT_CHARS), base, np.uint64)
+        have[:1] = 1
+        have = np.cumprod(have)
+        if n <= COUNT_CHARS:
+            _powers[int(base)] = have
+    return have[:n]
+
+
 def hashes(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of points start .. end - 1, for parts that lie one after the other."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    place = np.arange(len(points)) - np.repeat(start, end - start)
-    return np.add.reduceat(W.mix(points * W.BASE + place.astype(np.uint64) * W.INVERSE), start)
+    """Hash of points start .. end - 1, a Rabin-Karp one from running sums."""
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points + np.uint32(1)) * powers(W.BASE, len(points)), out=sums[1:])
+    return W.mix((sums[end] - sums[start]) * powers(W.INVERSE, len(points) + 1)[start])
 
 
 def alike(one: np.ndarray, a: np.ndarray, other: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -123,7 +139,7 @@ class Chunks:
 
     def counts(self) -> tuple[list[str], np.ndarray]:
         """Distinct chunks and how often each occurs."""
-        order = np.argsort(self.hash, kind="stable")
+        order = np.argsort(self.hash)
         h, size = self.hash[order], (self.end - self.start)[order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
@@ -162,11 +178,13 @@ class Table:
             size = pc.utf8_length(self.rows.column("chunk").combine_chunks()).to_numpy().astype(np.int32)
             start = np.cumsum(size, dtype=np.int64) - size
             self.points = np.frombuffer(flat(self.rows.column("chunk"))[2].decode().encode("utf-32-le"), np.uint32)
-            h = hashes(self.points, start, start + size)
+            h = np.concatenate([hashes(self.points[start[a]:start[b - 1] + size[b - 1]], start[a:b] - start[a], start[a:b] + size[a:b] - start[a])
+                                for a in range(0, len(size), BLOCK_CHUNKS) for b in [min(a + BLOCK_CHUNKS, len(size))]] or [np.zeros(0, np.uint64)])
             self.rank = np.argsort(h, kind="stable").astype(np.int32)
             self.hash, self.start, self.size = np.append(h[self.rank], W.NONE), start[self.rank].astype(np.int32), size[self.rank]
             tops = np.arange(1 << TOP_BITS, dtype=np.uint64) << np.uint64(64 - TOP_BITS)
             self.first = np.searchsorted(self.hash, tops).astype(np.int32)
+            self.rows = None
         return self
 
     def find(self, chunks: Chunks) -> np.ndarray:
@@ -204,7 +222,7 @@ def _count(known):
     def scan(batches):
         pieces = known.value.load()
         for batch in batches:
-            for part in pieces.slices(batch.column(0)):
+            for part in pieces.slices(batch.column(0), COUNT_CHARS // 2):
                 chunks, n = part.counts()
                 yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.string()), pa.array(n, pa.int64())], names=["chunk", "n"])
     return scan
