@@ -3,8 +3,8 @@
 The library marks every blank and puts one mark before the text.  Between two
 characters that stand side by side in no piece, nothing is ever merged: the mark
 after a word is the commonest such place, digits and most punctuation are others.
-Texts are cut there, so a chunk is a marked word or a part of one.  Each distinct
-chunk of the corpus is segmented once, and its ids go back to its places."""
+Texts are cut there, so a chunk is a marked word or a part of one.  The distinct
+chunks of the corpus make a table, and their ids go back to their places."""
 from __future__ import annotations
 
 import numpy as np
@@ -18,7 +18,7 @@ from newsops.session import materialise
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: The part of the table that is broadcast: at most so many chunks and bytes of chunks and ids.
-TABLE_CHUNKS = 1 << 20
+TABLE_CHUNKS = 1 << 18
 TABLE_BYTES = 1 << 25
 SLICE_CHARS = 1 << 18
 COUNT_CHARS = 1 << 20
@@ -290,17 +290,20 @@ def _squeeze(known, table):
 
 
 def _found(known, table):
-    """Batches (doc_id, text) as (doc_ids, codes, bounds, ids of the chunks that aren't in the table)."""
+    """Batches (doc_id, text) as (doc_ids, places in the table, bounds) and, of the
+    chunks that aren't in the table: where they are, which of ``ids`` each one has, ids."""
     pieces, have = known.value.load(), table.value.index()
 
     def parts(batch):
         row = 0
         for part in pieces.slices(batch.column(1)):
             codes = have.find(part)
-            # Only a chunk whose hash another one has can be missing here.
             lacks = np.flatnonzero(codes < 0)
+            texts = part.text(lacks)
+            new = {text: k for k, text in enumerate(dict.fromkeys(texts))}
+            which = np.fromiter(map(new.__getitem__, texts), np.int64, len(texts))
             rows = len(part.bounds) - 1
-            yield batch.column(0).slice(row, rows), codes, part.bounds, [(lacks[k:k + 1], ids) for k, ids in enumerate(pieces.segment(part.text(lacks)))]
+            yield batch.column(0).slice(row, rows), codes, part.bounds, lacks, which, pieces.segment(list(new))
             row += rows
     return parts
 
@@ -311,11 +314,13 @@ def _joined(batch):
 
     def part():
         bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        return batch.column(0).slice(first, len(sizes)), np.concatenate(codes), bounds, [(bounds[r] + at, ids) for r, at, ids in more]
+        where = [bounds[r] + np.array(x["at"], np.int64) for r, x in more]
+        which = np.repeat(np.arange(len(more)), [len(w) for w in where])
+        return batch.column(0).slice(first, len(sizes)), np.concatenate(codes), bounds, np.concatenate([np.zeros(0, np.int64), *where]), which, [x["ids"] for _, x in more]
     for row in range(batch.num_rows):
         n = batch.column(2)[row].as_py()
         raw = codec.decompress(batch.column(1)[row].as_py(), 4 * n, asbytes=True) if n else b""
-        more += [(len(sizes), np.array(x["at"], np.int64), x["ids"]) for x in batch.column(3)[row].as_py() or ()]
+        more += [(len(sizes), x) for x in batch.column(3)[row].as_py() or ()]
         codes.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel().astype(np.int64) - 1)
         sizes.append(n)
         if sum(sizes) >= SLICE_CHARS // 4:
@@ -331,14 +336,12 @@ def _assemble(known, table, joined: bool):
         have = table.value.load()
         parts = _joined if joined else _found(known, table)
         for batch in batches:
-            for doc_id, at, bounds, more in parts(batch):
+            for doc_id, at, bounds, where, which, more in parts(batch):
                 start, count, seen = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), at >= 0
                 start[seen], count[seen] = have.id_start[at[seen]], have.id_count[at[seen]]
-                size = len(have.ids)
-                for places, ids in more:
-                    start[places], count[places] = size, len(ids) // 4
-                    size += len(ids) // 4
-                ids = np.concatenate([have.ids, np.frombuffer(b"".join(x for _, x in more), np.int32)]) if more else have.ids
+                n = np.array([len(x) // 4 for x in more], np.int64)
+                start[where], count[where] = (len(have.ids) + np.cumsum(n) - n)[which], n[which]
+                ids = np.concatenate([have.ids, np.frombuffer(b"".join(more), np.int32)]) if more else have.ids
                 before = np.concatenate([[0], np.cumsum(count)])
                 values = ids[np.repeat(start - before[:-1], count) + np.arange(before[-1])]
                 yield pa.RecordBatch.from_arrays(
@@ -346,57 +349,60 @@ def _assemble(known, table, joined: bool):
     return scan
 
 
-def segments(docs: DataFrame, known) -> DataFrame:
-    """(chunk, n, ids): every distinct chunk, how often it occurs, and its ids."""
+def counted(docs: DataFrame, known) -> DataFrame:
+    """(chunk, n, class): every distinct chunk, how often it occurs, and the class
+    of that: four for each doubling, so at most 256."""
     counts = docs.select("text").mapInArrow(_count(known), "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    return materialise(counts.mapInArrow(_segment(known), "chunk string, n long, ids binary"), "pieces-table")
+    return materialise(counts, "pieces-chunks").withColumn("class", F.floor(4 * F.log2("n")).cast("int"))
 
 
-def frequency(n: str) -> Column:
-    """Classes of counts, four for each doubling: at most 256."""
-    return F.floor(4 * F.log2(n)).cast("int")
+def segmented(chunks: DataFrame, known) -> DataFrame:
+    """(chunk, n, ids): each chunk with its ids."""
+    return chunks.select("chunk", "n").mapInArrow(_segment(known), "chunk string, n long, ids binary")
 
 
-def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS, table_bytes: int = TABLE_BYTES) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, table_chunks: int = TABLE_CHUNKS, table_bytes: int = TABLE_BYTES,
+           joined: bool = False) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` (doc_id, text): the ids that the
     library gives for the whole text, without begin and end.
 
-    The most frequent chunks, within ``table_chunks`` and ``table_bytes``, are
-    broadcast.  Where that is the whole table, texts don't move.  Otherwise the
-    other chunks of each text are joined with the table by chunk, and their ids
-    with the text by place; only there texts are shuffled, as numbers of chunks.
+    All chunks are counted.  The most frequent ones, within ``table_chunks`` and
+    ``table_bytes`` (a chunk has at most as many ids as bytes), are segmented once
+    and broadcast, and their ids go to each text by place; no text moves.  The
+    others are segmented where they stand, once a slice of texts.  With ``joined``
+    they too are segmented once in all and joined back by chunk, then by text and
+    place; then texts are shuffled, as numbers of chunks.
 
     Null and empty texts have no ids, an empty table gives no rows, repeated rows
     are kept; other columns of ``docs`` are left out.  The model (its file is read
     by the driver and broadcast) must only mark blanks and have byte pieces.  A
-    task holds 256 Ki characters at a time or one longer text, some 60 bytes a character."""
+    task holds 256 Ki characters at a time (twice that to count) or one longer
+    text, some 60 bytes a character."""
     spark = docs.sparkSession
     with open(model, "rb") as f:
         known = spark.sparkContext.broadcast(Pieces(f.read()))
-    table = segments(docs, known).withColumn("class", frequency("n"))
-    classes = table.groupBy("class").agg(
-        F.count("*").alias("chunks"), F.sum(F.octet_length("chunk") + F.octet_length("ids")).alias("bytes")).orderBy(F.desc("class")).collect()
-    chunks, size, least = 0, 0, None
-    for c in classes:
-        chunks, size = chunks + c["chunks"], size + c["bytes"]
-        if chunks > table_chunks or size > table_bytes:
+    chunks = counted(docs, known)
+    total, size, least = 0, 0, None
+    for c in chunks.groupBy("class").agg(F.count("*").alias("chunks"), F.sum(5 * F.octet_length("chunk")).alias("bytes")).orderBy(F.desc("class")).collect():
+        total, size = total + c["chunks"], size + c["bytes"]
+        if total > table_chunks or size > table_bytes:
             break
         least = c["class"]
-    whole = not classes or least == classes[-1]["class"]
     often = F.lit(False) if least is None else F.col("class") >= least
-    blobs = table.where(often).select("chunk", "n", "ids").mapInArrow(_pack, "blob binary").collect()
+    table = materialise(segmented(chunks, known), "pieces-table") if joined else None
+    first = table.join(chunks.where(often).select("chunk"), "chunk", "left_semi").select("chunk", "n", "ids") if joined else segmented(chunks.where(often), known)
+    blobs = first.mapInArrow(_pack, "blob binary").collect()
     head = spark.sparkContext.broadcast(Table([bytes(b[0]) for b in blobs]))
-    out = "doc_id long, ids array<int>"
     rows = R.keyed(docs)
-    if whole:
-        return rows.select("doc_id", "text").mapInArrow(_assemble(known, head, False), out)
+    if not joined:
+        return rows.select("doc_id", "text").mapInArrow(_assemble(known, head, False), "doc_id long, ids array<int>")
     rest = (rows.select("doc", "rid", "text").mapInArrow(_missing(known, head), "doc long, rid long, chunk string, at array<int>")
             .join(table.select("chunk", "ids"), "chunk")
             .groupBy("doc", "rid").agg(F.collect_set(F.struct("at", "ids")).alias("rest")))
-    squeezed = rows.select("doc_id", "doc", "rid", "text").mapInArrow(
+    numbers = rows.select("doc_id", "doc", "rid", "text").mapInArrow(
         _squeeze(known, head), "doc_id long, doc long, rid long, packed binary, size long")
-    return squeezed.join(rest, ["doc", "rid"], "left").select("doc_id", "packed", "size", "rest").mapInArrow(
-        _assemble(known, head, True), out)
+    return numbers.join(rest, ["doc", "rid"], "left").select("doc_id", "packed", "size", "rest").mapInArrow(
+        _assemble(known, head, True), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:

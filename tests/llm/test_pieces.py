@@ -41,7 +41,8 @@ def strange():
     return STRANGE + ["".join(rng.choice(some, int(rng.integers(0, 60)))) for _ in range(400)]
 
 
-@pytest.mark.parametrize("limit", [{}, {"table_chunks": 300}, {"table_chunks": 0}, {"table_bytes": 500}])
+@pytest.mark.parametrize("limit", [{}, {"table_chunks": 300}, {"table_chunks": 0}, {"joined": True}, {"table_chunks": 300, "joined": True},
+                                   {"table_bytes": 2500, "joined": True}])
 def test_any_part_of_the_table_may_be_broadcast(spark, sp, limit):
     df = odd(spark).select("doc_id", "text", "n").unionAll(
         spark.createDataFrame([(100 + i, t) for i, t in enumerate(strange())], "doc_id long, text string").withColumn("n", F.lit("x")))
@@ -54,7 +55,7 @@ def test_every_chunk_is_segmented_once(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").select("text")
     with open(PI.MODEL, "rb") as f:
         known = spark.sparkContext.broadcast(PI.Pieces(f.read()))
-    table = PI.segments(docs, known)
+    table = PI.segmented(PI.counted(docs, known), known)
     pieces = known.value.load()
     chunks = [c for part in pieces.slices(pa.array([r["text"] for r in docs.collect()])) for c in part.text(np.arange(len(part.start)))]
     assert table.count() == table.select("chunk").distinct().count() == len(set(chunks))
