@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsops.llm import decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, periods as PE, pieces as PI, quality as QL, secrets as SE, suffixes as SF, tokens as TK
+from newsops.llm import alignment as AL, decontaminate as DC, jaccard as JJ, langid as LI, mixture as MX, neighbours as NN, passages as PS, periods as PE, pieces as PI, quality as QL, secrets as SE, suffixes as SF, tokens as TK
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -83,6 +83,11 @@ def op11_pieces(spark, d):
     return PI.digest(PI.decode(PI.encode(table(spark, d, "documents", "doc_id", "text"))))
 
 
+@query
+def op12_token_alignment(spark, d):
+    return AL.digest(AL.align(table(spark, d, "documents", "doc_id", "text")))
+
+
 @query
 def op13_periodic_runs(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text")
