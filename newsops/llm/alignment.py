@@ -14,13 +14,17 @@ import os
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsops.session import materialise
 
 A_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 B_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+# Fixed value: how the byte-level vocabulary cuts text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Longer texts take the slower encoder: the fast one's pattern fails on a million blanks.
+FAST_CHARS = 100_000
 SLICE_CHARS = 1 << 18
 PIECE_STEPS = 1 << 15
 #: Pairs whose counts are broadcast, 17 bytes each.
@@ -49,32 +53,47 @@ class Tokenizers:
             return self
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(self.files[0])
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=self.files[1])
-        letters = byte_letters()
-        size = self.a.get_vocab_size()
-        self.a_bytes = [bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode()
-                        for t in (self.a.id_to_token(i) or "" for i in range(size))]
+        parts, letters = json.loads(self.files[0]), byte_letters()
+        special = {t["id"] for t in parts["added_tokens"]}
+        ids = {bytes(letters[c] for c in t): i for t, i in parts["model"]["vocab"].items() if i not in special}
+        merged = [bytes(letters[c] for c in "".join(m if isinstance(m, list) else m.split(" "))) for m in parts["model"]["merges"]]
+        if [ids.get(m) for m in merged] != list(range(256, 256 + len(merged))):
+            raise ValueError("side A needs a byte-level vocabulary whose ids are in the order of its merges")
+        self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ids, special_tokens={})
+        self.a_bytes = [b""] * (max([*ids.values(), *special]) + 1)
+        for t, i in ids.items():
+            self.a_bytes[i] = t
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
+        # Each id as it stands within a group and at the end of its side of a group.
+        self.a_told, self.b_told = (np.array([f"{i}{end}" for end in ("," + last) for i in range(n)], object)
+                                    for n, last in ((len(self.a_bytes), "|"), (len(self.b_bytes), ";")))
         self.ready = True
         return self
 
+    def encode_a(self, text: str) -> np.ndarray:
+        if len(text) > FAST_CHARS:
+            return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text on both sides; none where a text is null or empty, or
         the tokens' bytes aren't those of a blank and the text."""
         some = [t or "" for t in texts]
         none, left, right = np.zeros(0, np.int64), [], []
-        for text, a, b in zip(some, self.a.encode_batch([" " + t for t in some], add_special_tokens=False), self.b.encode(some, num_threads=1)):
-            a, want = a.ids, (" " + text).encode()
-            fits = (text and b"".join(map(self.a_bytes.__getitem__, a)) == want
+        for text, b in zip(some, self.b.encode(some, num_threads=1)):
+            a, want = self.encode_a(" " + text), (" " + text).encode()
+            fits = (text and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == want
                     and b"".join(map(self.b_bytes.__getitem__, b)) == want)
-            left.append(np.array(a, np.int64) if fits else none)
+            left.append(a if fits else none)
             right.append(np.array(b, np.int64) if fits else none)
         return left, right
 
@@ -134,7 +153,21 @@ def _slices(column: pa.Array):
         yield first, texts
 
 
-def _align(known, steps: int):
+def _told(both: Tokenizers, a, b, a_to, b_to, a_bounds, b_bounds) -> list[str]:
+    """Each document's groups in the form a1,a2|b1;a3|b2,b3."""
+    a_from, b_from = np.concatenate([[0], a_to])[:-1], np.concatenate([[0], b_to])[:-1]
+    told = np.empty(len(a) + len(b), object)
+    last = np.zeros(len(a), np.int64)
+    last[a_to - 1] = len(both.a_bytes)
+    told[np.arange(len(a)) + np.repeat(b_from, a_to - a_from)] = both.a_told[a + last]
+    last = np.zeros(len(b), np.int64)
+    last[b_to - 1] = len(both.b_bytes)
+    told[np.arange(len(b)) + np.repeat(a_to, b_to - b_from)] = both.b_told[b + last]
+    told, bounds = told.tolist(), (a_bounds + b_bounds).tolist()
+    return ["".join(told[x:y])[:-1] for x, y in zip(bounds, bounds[1:])]
+
+
+def _align(known, steps: int, notation: bool):
     def scan(batches):
         both = known.value.load()
         kinds = len(both.a_bytes) * len(both.b_bytes)
@@ -145,45 +178,57 @@ def _align(known, steps: int):
                 a_bounds, b_bounds = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
                 a, b = np.concatenate(left), np.concatenate(right)
                 i, j, a_to, b_to = merge(np.cumsum(both.a_sizes[a]), np.cumsum(both.b_sizes[b]), steps)
-                groups = pa.StructArray.from_arrays([
-                    _lists(pa.array(x, pa.int32()), np.concatenate([[0], to])) for x, to in ((a, a_to), (b, b_to))], names=["a", "b"])
-                doc = np.searchsorted(a_bounds, i, "right") - 1
-                pairs, n = np.unique((doc * kinds) + a[i] * len(both.b_bytes) + b[j], return_counts=True)
+                of, link_of = np.searchsorted(a_to, a_bounds, "right"), np.searchsorted(i, a_bounds)
+                if notation:
+                    groups = pa.array(_told(both, a, b, a_to, b_to, a_bounds, b_bounds), pa.string())
+                else:
+                    groups = _lists(pa.StructArray.from_arrays([
+                        _lists(pa.array(x, pa.int32()), np.concatenate([[0], to])) for x, to in ((a, a_to), (b, b_to))], names=["a", "b"]), of)
+                links = np.repeat(np.arange(len(texts)), np.diff(link_of)) * kinds + a[i] * len(both.b_bytes) + b[j]
+                pairs, n = np.unique(links, return_counts=True)
                 at = pairs % kinds
-                pairs_of = pa.StructArray.from_arrays([pa.array(at // len(both.b_bytes), pa.int32()), pa.array(at % len(both.b_bytes), pa.int32()),
-                                                       pa.array(n, pa.int32())], names=["a", "b", "n"])
+                pairs_of = pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in (at // len(both.b_bytes), at % len(both.b_bytes), n)],
+                                                      names=["a", "b", "n"])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, len(texts)), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
-                    _lists(groups, np.searchsorted(a_to, a_bounds, "right")),
-                    _lists(pairs_of, np.searchsorted(pairs, np.arange(len(texts) + 1) * kinds))],
-                    names=["doc_id", "n_a", "n_b", "groups", "pairs"])
+                    batch.column(0).slice(first, len(texts)), *(pa.array(x, pa.int64()) for x in (n_a, n_b, np.diff(of), np.diff(link_of))),
+                    groups, _lists(pairs_of, np.searchsorted(pairs, np.arange(len(texts) + 1) * kinds))],
+                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"])
     return scan
 
 
-def align(docs: DataFrame, a_model: str = A_MODEL, b_model: str = B_MODEL, steps: int = PIECE_STEPS) -> DataFrame:
-    """(doc_id, n_a, n_b, groups, pairs) of every row of ``docs`` (doc_id, text).
+def align(docs: DataFrame, a_model: str = A_MODEL, b_model: str = B_MODEL, steps: int = PIECE_STEPS,
+          notation: bool = False) -> DataFrame:
+    """(doc_id, n_a, n_b, n_groups, n_links, groups, pairs) of every row of ``docs``
+    (doc_id, text).
 
     Side A is a byte-level tokenizer and reads a blank and the text, side B a
     SentencePiece model, which adds that blank.  ``groups`` are the least groups
-    of tokens, a and b, that cover the same bytes; ``pairs`` are the distinct
-    pairs of ids whose tokens overlap, and how often (n) they do in the text.
+    of tokens, a and b, that cover the same bytes (with ``notation`` as one text,
+    a1,a2|b1;a3|b2,b3); ``pairs`` are the distinct pairs of ids whose tokens
+    overlap, and how often (n) they do in the text: n_links times in all.
 
     Texts that are null or empty, or whose tokens don't spell them (a U+2581 in
     the text, which B takes for a blank), have no tokens.  Repeated rows are kept,
     an empty table gives no rows, other columns are left out.  The models' files
     are read by the driver and broadcast.  A task holds 256 Ki characters at a
-    time or one longer text, some 500 bytes a character while A encodes it."""
+    time or one longer text, some 200 bytes a character."""
     with open(a_model, encoding="utf-8") as f, open(b_model, "rb") as g:
         known = docs.sparkSession.sparkContext.broadcast(Tokenizers(json.dumps(json.load(f)), g.read()))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _align(known, steps), "doc_id long, n_a long, n_b long, groups array<struct<a:array<int>,b:array<int>>>, pairs array<struct<a:int,b:int,n:int>>")
+        _align(known, steps, notation), "doc_id long, n_a long, n_b long, n_groups long, n_links long, "
+        f"groups {'string' if notation else 'array<struct<a:array<int>,b:array<int>>>'}, pairs array<struct<a:int,b:int,n:int>>")
+
+
+def _packed(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    """Pairs of ids as one number."""
+    return a.flatten().to_numpy().astype(np.int64) << 32 | b.flatten().to_numpy()
 
 
 def _add(batches):
     """(pair, n) of a batch, added up."""
     for batch in batches:
-        pairs, back = np.unique(batch.column(0).flatten().to_numpy(), return_inverse=True)
-        n = np.bincount(back, batch.column(1).flatten().to_numpy(), len(pairs)).astype(np.int64)
+        pairs, back = np.unique(_packed(*batch.columns[:2]), return_inverse=True)
+        n = np.bincount(back, batch.column(2).flatten().to_numpy(), len(pairs)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
 
@@ -192,19 +237,19 @@ def _look_up(table, narrow: int):
     def scan(batches):
         pair, total, best = (np.frombuffer(x, t) for x, t in zip(table.value, (np.int64, np.int64, np.bool_)))
         for batch in batches:
-            pairs, n = batch.column(narrow), batch.column(narrow + 1)
-            rows = np.repeat(np.arange(batch.num_rows), np.diff(pairs.offsets.to_numpy()))
-            p, n = pairs.flatten().to_numpy().astype(np.int64), n.flatten().to_numpy()
+            p, n = _packed(*batch.columns[narrow:narrow + 2]), batch.column(narrow + 2).flatten().to_numpy().astype(np.int64)
+            bounds = np.concatenate([[0], np.cumsum(np.diff(batch.column(narrow).offsets.to_numpy()))])
             at = np.minimum(np.searchsorted(pair, p), max(len(pair) - 1, 0))
             known = pair[at] == p if len(pair) else np.zeros(len(p), bool)
-            at, row, times = at[known], rows[known], n[known].astype(np.int64)
-            count_sum, n_best = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            np.add.at(count_sum, row, times * total[at])
-            np.add.at(n_best, row, times * best[at])
+
+            def sums(values):
+                gone = np.zeros(len(p) + 1, np.int64)
+                gone[1:][known] = n[known] * values[at[known]]
+                return np.diff(np.cumsum(gone)[bounds])
             rest = pa.StructArray.from_arrays([pa.array(p[~known]), pa.array(n[~known], pa.int64())], names=["pair", "n"])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:narrow], pa.array(n_best), pa.array(count_sum),
-                 _lists(rest, np.searchsorted(rows[~known], np.arange(batch.num_rows + 1)))],
+                [*batch.columns[:narrow], pa.array(sums(best)), pa.array(sums(total)),
+                 _lists(rest, np.concatenate([[0], np.cumsum(~known)])[bounds])],
                 names=[*batch.schema.names[:narrow], "n_best", "count_sum", "rest"])
     return scan
 
@@ -216,25 +261,27 @@ def _pack(batches):
             names=["pair", "total", "best"])
 
 
+def notation(groups) -> Column:
+    """Groups as one text, as ``align`` gives them with ``notation``."""
+    side = lambda g, x: F.array_join(g[x].cast("array<string>"), ",")
+    return F.array_join(F.transform(groups, lambda g: F.concat(side(g, "a"), F.lit("|"), side(g, "b"))), ";")
+
+
 def digest(aligned: DataFrame, table_pairs: int = TABLE_PAIRS) -> DataFrame:
-    """One narrow row per document: numbers of tokens, groups and links, a hash of
-    the groups, the links whose pair is its B id's most frequent partner over all
+    """One narrow row per document of ``align``'s (with ``notation``): numbers of
+    tokens, groups and links, a hash of the groups, the links whose pair is its B id's most frequent partner over all
     documents (n_best), and the sum of their pairs' counts over all documents.
 
     Each task adds its pairs up before they are counted.  The counts of the most
     frequent pairs, ``table_pairs`` at most, are broadcast; the other pairs of each
     document are joined with theirs, and only their sums go back to the document."""
     spark = aligned.sparkSession
-    side = lambda g, x: F.array_join(g[x].cast("array<string>"), ",")
-    told = F.sha2(F.array_join(F.transform("groups", lambda g: F.concat(side(g, "a"), F.lit("|"), side(g, "b"))), ";"), 256)
     narrow = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    pair = lambda x: x["a"].cast("long") * F.lit(1 << 32) + x["b"]
     docs = materialise(aligned.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "n_a", "n_b", F.size("groups").cast("long").alias("n_groups"),
-        F.aggregate("pairs", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("n_links"),
-        F.when(F.col("n_a") > 0, told).otherwise("").alias("groups_sha256"),
-        F.transform("pairs", pair).alias("pairs"), F.transform("pairs", lambda x: x["n"]).alias("n")), "alignment-docs")
-    counts = docs.select("pairs", "n").mapInArrow(_add, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("total"))
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
+        F.col("pairs.a").alias("a"), F.col("pairs.b").alias("b"), F.col("pairs.n").alias("n")), "alignment-docs")
+    counts = docs.select("a", "b", "n").mapInArrow(_add, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("total"))
     counts = materialise(counts, "alignment-counts").withColumns({"b": F.col("pair") % (1 << 32), "class": F.floor(4 * F.log2("total")).cast("int")})
     # One row for each B id: as many as its vocabulary.
     most = counts.groupBy("b").agg(F.max("total").alias("most"))
@@ -252,7 +299,7 @@ def digest(aligned: DataFrame, table_pairs: int = TABLE_PAIRS) -> DataFrame:
     order = np.argsort(pairs)
     table = spark.sparkContext.broadcast([x[order].tobytes() for x in (pairs, totals, best)])
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name in narrow)
-    looked = docs.select(*narrow, "pairs", "n").mapInArrow(
+    looked = docs.select(*narrow, "a", "b", "n").mapInArrow(
         _look_up(table, len(narrow)), f"{shape}, n_best long, count_sum long, rest array<struct<pair:bigint,n:bigint>>")
     if not whole:
         looked = materialise(looked, "alignment-rest")

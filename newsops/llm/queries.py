@@ -85,7 +85,7 @@ def op11_pieces(spark, d):
 
 @query
 def op12_token_alignment(spark, d):
-    return AL.digest(AL.align(table(spark, d, "documents", "doc_id", "text")))
+    return AL.digest(AL.align(table(spark, d, "documents", "doc_id", "text"), notation=True))
 
 
 @query

@@ -70,9 +70,11 @@ STRANGE = ["a▁b", "▁", " ", "  two  blanks ", "\n\n\t x", "日本語の文
 def test_odd_rows_in_small_pieces_and_tables(spark, both, pairs, steps):
     df = odd(spark).where("doc_id is null or doc_id <> 6").select("doc_id", "text", "n").unionAll(
         spark.createDataFrame([(100 + i, t) for i, t in enumerate(STRANGE)], "doc_id long, text string").withColumn("n", F.lit("x")))
-    got = AL.digest(AL.align(df, steps=steps), table_pairs=pairs)
+    got = AL.digest(AL.align(df, steps=steps, notation=True), table_pairs=pairs)
     assert sorted(map(tuple, got.collect()), key=str) == expected(both, df.collect())
-    assert AL.digest(AL.align(df.where("1 = 0"), steps=steps), table_pairs=pairs).count() == 0
+    groups = AL.align(df, steps=steps).withColumn("groups", AL.notation("groups"))
+    assert sorted(map(tuple, AL.digest(groups).collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
+    assert AL.digest(AL.align(df.where("1 = 0"), steps=steps, notation=True), table_pairs=pairs).count() == 0
 
 
 def test_pieces_of_any_size_give_the_same_merge():
@@ -90,6 +92,6 @@ def test_pieces_of_any_size_give_the_same_merge():
 def test_very_long_texts(spark, both):
     texts = ["x" * 10**6, " " * 10**6, "\n" * 10**6, "word " * 200_000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in AL.digest(AL.align(df)).collect()}
+    got = {r["doc_id"]: r for r in AL.digest(AL.align(df, notation=True)).collect()}
     for i, t in enumerate(texts):
         assert got[i]["n_a"] == len(both.a.encode(" " + t, add_special_tokens=False).ids) and got[i]["n_b"] == len(both.b.encode(t))
