@@ -10,7 +10,7 @@ from newsops import vocab
 from newsops.functions import codes as C, labels as L, lexicon as X, text as T
 from newsops.operators import correlate, dedup, model, ranking, sampling, validate as V
 from newsops.session import materialise
-from newsops.sources import files
+from newsops.sources import files, records
 
 RULES = "rule_based"
 
@@ -206,15 +206,27 @@ def validate_file(spark, path: str, max_length: int = 512, min_samples: int = 10
         issues = V.file_issue(spark, "file", path).withColumn("file", F.lit(name))
         empty = spark.createDataFrame([], "file string, line_number bigint")
         return issues, V.report(empty, issues, "file", listed)
-    rows, header = files.read_csv_as_is(spark, path)
-    bad = rows.filter(F.col("_extra").isNotNull()).count()
+    bad = csv_problems(spark, path).first()
     if bad:
-        issues = V.file_issue(spark, "file", path, "csv_parse_error", bad).withColumn("file", F.lit(name))
-        return issues, V.report(rows.limit(0), issues, "file", listed)
-    rows = files.with_line_number(rows).select(*header, "file", "line_number")
+        issues = V.file_issue(spark, "file", path, "csv_parse_error", bad["bad_rows"] + bad["unclosed"]).withColumn("file", F.lit(name))
+        empty = spark.createDataFrame([], "file string, line_number bigint")
+        return issues, V.report(empty, issues, "file", listed)
+    rows, header = files.read_csv_as_is(spark, path)
     return validate(rows, "file", max_length, min_samples, listed, header)
 
 
+def csv_problems(spark, path) -> DataFrame:
+    """(file, bad_rows, unclosed) of the files that don't parse: records with more
+    cells than their file's header, or quotes that are still open at its end."""
+    rows, ends = records.cut(spark, path, records.Csv())
+    # Bad rows are counted by number of cells: one short row for each width.
+    widths = rows.groupBy("file", "cells").agg(F.count(F.lit(1)).alias("n"), F.min("number").alias("first"))
+    most = widths.groupBy("file").agg(F.min_by("cells", "first").alias("header"))
+    bad = widths.join(most, "file").where("cells > header").groupBy("file").agg(F.sum("n").alias("bad_rows"))
+    return ends.join(bad, "file", "left").where("unclosed or bad_rows > 0").select(
+        "file", F.coalesce("bad_rows", F.lit(0)).cast("long").alias("bad_rows"), "unclosed")
+
+
 def repair(df: DataFrame, seq: str, max_length: int = 512, by=()) -> DataFrame:
     """Clean texts, normalise labels, keep the first row per text, drop blanks."""
     # A text is blank after cleaning only if it was before, so the blank rows go

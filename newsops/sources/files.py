@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from newsops.functions.text import col, non_empty, not_blank
+from newsops.sources import records
 
 LABELLED = "text string, label string, importance string, correlations string"
 DAILY = ("text string, label_sentiment string, label_importance string, url string, "
@@ -28,15 +29,19 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def read_labelled_csv(spark: SparkSession, path, empty: str = "null", multiline: bool = True,
+def read_labelled_csv(spark: SparkSession, path, empty: str = "null", multiline: bool | str = True,
                       with_file: bool = False) -> DataFrame:
     """Two-, three- and four-column files as one dataset (their headers are
     prefixes of one schema; missing trailing columns are null).
 
     ``empty="string"`` turns empty cells into '' (what the validator sees),
     ``"null"`` leaves them null.  ``multiline=False`` lets Spark split large
-    files; use it when no quoted cell holds a line break.  ``with_file`` adds
-    ``file`` and the ``_block`` start needed for line numbers."""
+    files; use it when no quoted cell holds a line break.  ``"split"`` splits large
+    files whatever their cells hold, and reads them twice.  ``with_file`` adds
+    ``file`` and the ``_block`` start needed for line numbers (``"split"``: the
+    ``line_number`` itself)."""
+    if multiline == "split":
+        return _labelled_in_splits(spark, path, empty, with_file)
     rows = (spark.read.schema(LABELLED).option("header", True).option("multiLine", multiline)
             .option("escape", '"').option("enforceSchema", True).csv(path))
     data = ["text", "label", "importance", "correlations"]
@@ -46,24 +51,38 @@ def read_labelled_csv(spark: SparkSession, path, empty: str = "null", multiline:
     return rows.select(*cells, *meta)
 
 
+def _labelled_in_splits(spark: SparkSession, path, empty: str, with_file: bool) -> DataFrame:
+    rows, _ = records.cut(spark, path, records.Csv())
+    cells = records_cells(rows.where("number > 1"), LABELLED)
+    data = ["text", "label", "importance", "correlations"]
+    meta = [file_name("file").alias("file"), F.col("number").alias("line_number")] if with_file else []
+    return cells.select(*[F.coalesce(f"cells.{c}", F.lit("")).alias(c) if empty == "string" else F.col(f"cells.{c}") for c in data], *meta)
+
+
+def records_cells(rows: DataFrame, schema: str) -> DataFrame:
+    """``rows`` with the cells of each raw CSV record, as one struct."""
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    return rows.withColumn("cells", F.from_csv(F.regexp_replace("raw", "\r$", ""), schema, options))
+
+
 def read_csv_as_is(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """One file under its own header, cells as strings (empty ones as ''), with
-    ``file``, ``_block`` and ``_extra`` (not null where a row has more fields
-    than the header: such a file does not parse)."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    header = reader.csv(path).columns
-    schema = ", ".join(f"`{c}` string" for c in [*header, "_extra"])
-    rows = reader.schema(schema).csv(path)
-    return rows.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in header], "_extra",
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block")), header
-
-
-def read_labelled_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of {text, label}; any other suffix is an error."""
+    ``file`` and ``line_number``; many tasks read a large one."""
+    rows, _ = records.cut(spark, path, records.Csv())
+    header = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    cells = records_cells(rows.where("number > 1"), ", ".join(f"`{c}` string" for c in header))
+    return cells.select(*[F.coalesce(F.col(f"cells.`{c}`"), F.lit("")).alias(c) for c in header],
+                        file_name("file").alias("file"), F.col("number").alias("line_number")), header
+
+
+def read_labelled_json(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
+    """A JSON array of {text, label}; any other suffix is an error.  With ``split``
+    many tasks read a large file, twice."""
     if not str(path).lower().endswith(".json"):
         raise ValueError(f"Unsupported file type : {path}")
+    if split:
+        rows, _ = records.cut(spark, path, records.Json())
+        return rows.select(F.from_json("raw", LABELLED).alias("r")).select("r.*")
     return spark.read.schema(LABELLED).option("multiLine", True).json(path)
 
 

@@ -2,14 +2,14 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from newsops import vocab
 from newsops.functions import codes as C, labels as L, scores as S, text as T
 from newsops.operators import correlate, gate, metrics, model, sampling, stats, validate as V
 from newsops.plans import daily, datasets as P
 from newsops.session import materialise, work_dir
-from newsops.sources import files, sinks
+from newsops.sources import files, records, sinks
 from newsops.streaming import stream
 from workload.q_expressions import _CLEANED, S_SUSPICIOUS, S_THRESHOLD
 from workload.q_tables import (
@@ -379,14 +379,65 @@ def a13(spark, d):
     return files.read_labelled_csv(spark, path, multiline=False).select("text", "label")
 
 
+@query("a1_csv_in_splits", f"""with {LABELLED} select text, nullif(label, '') as label,
+  nullif(importance, '') as importance, nullif(correlations, '') as correlations from labelled""")
+def a1_in_splits(spark, d):
+    """The same files, whose quoted cells hold line breaks, cut by many tasks."""
+    path = work_dir(spark, "csv")
+    sinks.write_labelled_csv(labelled(spark, d), path)
+    return files.read_labelled_csv(spark, path, multiline="split")
+
+
 @query("a3_read_labelled_json", f"with {CLEAN} select text, label from clean")
 def a3(spark, d):
-    """JSON arrays of 10,000 ids each, written and read back."""
+    """JSON arrays of 10,000 ids each, an object a line, written and read back in splits."""
     path = work_dir(spark, "arrays") + ".json"
     rows = clean(spark, d).withColumn("chunk", F.floor(F.col("doc_id") / 10_000))
-    arrays = rows.groupBy("chunk").agg(F.to_json(F.collect_list(F.struct("text", "label"))).alias("value"))
-    arrays.write.partitionBy("chunk").text(path)
-    return files.read_labelled_json(spark, path).select("text", "label")
+    order = Window.partitionBy("chunk").orderBy("doc_id")
+    first, last = F.row_number().over(order) == 1, F.lead("doc_id").over(order).isNull()
+    lines = rows.select("chunk", "doc_id", F.concat(
+        F.when(first, "[").otherwise(""), F.to_json(F.struct("text", "label")), F.when(last, "]").otherwise(",")).alias("value"))
+    lines.sortWithinPartitions("chunk", "doc_id").select("chunk", "value").write.partitionBy("chunk").text(path)
+    return files.read_labelled_json(spark, path, split=True).select("text", "label")
+
+
+CSV_FILE = "coalesce(lang, 'none') || '_' || (doc_id // 10000)"
+
+
+def csv_files(spark, d, broken: bool) -> str:
+    """Quoted CSV files of 10,000 ids and a language each, in the order of ids.
+    ``broken``: some rows have a cell too many, Spanish files end within quotes."""
+    path = work_dir(spark, "csv-files")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    file = F.concat(F.coalesce("lang", F.lit("none")), F.lit("_"), F.floor(F.col("doc_id") / 10_000))
+    docs = table(spark, d, "documents").select(file.alias("file"), "doc_id", "text", "lang")
+    wide = F.when(F.lit(broken) & F.col("lang").isin("de", "fr") & (F.col("doc_id") % 97 == 0), ',"x\ny"').otherwise("")
+    names = docs.select("file").distinct()
+    lines = docs.select("file", "doc_id", F.concat(quoted(F.col("text")), F.lit(",neutral"), wide).alias("value")).unionAll(
+        names.select("file", F.lit(-1), F.lit("text,label")))
+    if broken:
+        lines = lines.unionAll(names.where("file like 'es%'").select("file", F.lit(1 << 62), F.lit('"never closed,neutral')))
+    lines.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
+@query("f14_csv_line_numbers", f"""select {CSV_FILE} as file, md5(coalesce(text, '')) as text,
+  row_number() over (partition by {CSV_FILE} order by doc_id) + 1 as line_number from documents""")
+def f14_csv(spark, d):
+    """Line numbers of files read in splits: records, not lines, from 2."""
+    rows, _ = records.cut(spark, csv_files(spark, d, False), records.Csv())
+    cells = files.records_cells(rows.where("number > 1"), "text string, label string")
+    return cells.select(F.regexp_extract("file", "file=([^/]+)/", 1).alias("file"),
+                        F.md5(F.coalesce("cells.text", F.lit(""))).alias("text"), F.col("number").alias("line_number"))
+
+
+@query("h10_csv_parse_error", f"""select {CSV_FILE} as file, 'csv_parse_error' as type,
+  count(*) filter (lang in ('de', 'fr') and doc_id % 97 = 0) as bad_rows, bool_or(coalesce(lang, '') = 'es') as unclosed
+  from documents group by 1 having bad_rows > 0 or unclosed""")
+def h10_csv(spark, d):
+    """The files that don't parse: rows wider than the header, quotes left open."""
+    return P.csv_problems(spark, csv_files(spark, d, True)).select(
+        F.regexp_extract("file", "file=([^/]+)/", 1).alias("file"), F.lit("csv_parse_error").alias("type"), "bad_rows", "unclosed")
 
 
 @query("a4_read_jsonl", f"""with {CLEAN} select text, label from clean where lang <> 'es'""")
