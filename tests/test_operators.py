@@ -137,7 +137,7 @@ def brute_picks(rows, allowed):
     import numpy as np
 
     counts, out = {}, {}
-    for session, seq, entries in sorted(rows, key=lambda r: (r[0], r[1])):
+    for session, seq, entries in sorted(rows, key=lambda r: (str(r[0]), r[1])):
         seen = counts.setdefault(session, Counter())
         bar = min(0.55, max(0.22, float(np.quantile([s for _, s in entries], 0.97))))
         best = sorted(entries, key=lambda e: -e[1])
@@ -166,6 +166,25 @@ def test_rarity_exact_against_brute_force(spark):
         correlate.pick_labels(df, [], counts=correlate.code_counts(spark.createDataFrame([(["A"],)], "correlations array<string>")))
 
 
+@pytest.mark.parametrize("block_rows", [1, 7, 50, 4096])
+@pytest.mark.parametrize("whitelist", [True, False])
+def test_rarity_exact_in_blocks(spark, block_rows, whitelist):
+    """A session that holds most rows, in many blocks and tasks; one without a name."""
+    import random
+
+    rnd = random.Random(block_rows)
+    codes = list("ABCDEFGH")
+    weigh = {c: rnd.uniform(0.0, 0.15) for c in codes}
+    rows = [(s, i, [(c, round(rnd.uniform(0.2, 0.5) + weigh[c], 3)) for c in codes if c == "A" or rnd.random() < 0.9])
+            for s, n in ((1, 220 if block_rows > 1 else 40), (2, 30), (None, 25)) for i in range(n)]
+    df = spark.createDataFrame(rows, f"session int, seq int, scores {model.SCORES}").withColumn("other", F.lit("kept")).repartition(5)
+    allowed = codes[:6] if whitelist else []
+    got = correlate.pick_labels(df, allowed, rarity="exact", block_rows=block_rows)
+    assert got.columns == ["session", "seq", "scores", "other", "correlations"]
+    assert {(r["session"], r["seq"]): r["correlations"] for r in got.collect()} == brute_picks(rows, set(allowed or codes))
+    assert correlate.pick_labels(df.where("1 = 0"), allowed, rarity="exact").count() == 0
+
+
 def test_metrics_by_hand(spark):
     pairs = [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0)]
     row = metrics.multiclass_metrics(spark.createDataFrame(pairs, "y int, p int"), "y", "p").first()

@@ -607,12 +607,33 @@ def f16(spark, d):
     return rows.select("vec_id", C.join_codes("correlations").alias("codes"))
 
 
-@query("f16_pick_labels_exact")
+# Candidates best first, each with the count below which it passes; then session by
+# session, row by row, the counts so far.
+SESSION = "case when vec_id % 3 = 0 then -1 else vec_id // 750 end"
+S_EXACT = f"""with recursive {LONG}, {S_THRESHOLD},
+  cand as (select vec_id, list({{'k': i, 'code': code, 'under':
+      case when p >= t + 0.02 then 2147483647 when p >= t then 10 when p >= t - 0.02 then 2 else 0 end}} order by p desc, i) as c,
+    arg_max({{'k': i, 'p': p}}, (p, -i)) as best from long join threshold using (vec_id) group by vec_id),
+  rows_ as (select {SESSION} as session, row_number() over (partition by {SESSION} order by vec_id) as n, vec_id,
+    list_filter(c, lambda e: e.under > 0) as c, case when best.p >= 0.4 then [best.k] else [] end as spare from cand),
+  walk as (
+    select session, 0::bigint as n, null::bigint as vec_id, list_transform(range({K}), lambda x: 0) as counts, []::bigint[] as picks
+    from (select distinct session from rows_)
+    union all
+    select session, n, vec_id, list_transform(counts, lambda x, k: x + list_contains(picks, k)::int) as counts, picks
+    from (select r.session, r.n, r.vec_id, w.counts,
+        (case when len(list_filter(r.c, lambda e: w.counts[e.k] < e.under)) > 0
+          then list_transform(list_filter(r.c, lambda e: w.counts[e.k] < e.under), lambda e: e.k) else r.spare end)[1:3] as picks
+      from walk w join rows_ r on r.session = w.session and r.n = w.n + 1))
+  select vec_id, array_to_string(list_transform(picks, lambda k: {s_list(CODES)}[k]), ';') as codes from walk where n > 0"""
+
+
+@query("f16_pick_labels_exact", S_EXACT)
 def f16_exact(spark, d):
     """Counts grow within a session: runs of 750 consecutive vectors, the largest
-    collection run there is."""
+    collection run there is, and one session of a third of all rows."""
     rows = scored(spark, d).select(
-        "vec_id", F.floor(F.col("vec_id") / 750).alias("session"), F.col("vec_id").alias("seq"), "scores")
+        "vec_id", F.expr("case when vec_id % 3 = 0 then -1 else vec_id div 750 end").alias("session"), F.col("vec_id").alias("seq"), "scores")
     return correlate.pick_labels(rows, CODES, rarity="exact", low=0.5, high=0.75).select(
         "vec_id", C.join_codes("correlations").alias("codes"))
 
