@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 
 from newsops import vocab
 from newsops.functions import codes as C, lexicon as X, scores as S, text as T
-from newsops.operators import correlate, dedup, gate, metrics, ranking, sampling, stats
+from newsops.operators import correlate, dedup, dictionary, gate, metrics, ranking, sampling, stats
 from newsops.plans import datasets as P
+from newsops.session import materialise
 from newsops.sources import files
 from workload.q_expressions import _PARSED, S_QUALITY, S_THRESHOLD
 from workload.registry import query
 from workload.views import (
-    CFG, CLEAN, COUNTRIES, DATED, FEED, FEEDS, K, LABELLED, LINED, LONG, RUN_DATE,
-    SCORED, clean, dated_files, feed, labelled, lined, lit, rules_of, s_case, s_hash, s_importance, s_list,
+    CFG, CLEAN, COMPANY, COUNTRIES, DATED, FEED, FEEDS, K, LABELLED, LINED, LONG, MACRO, RUN_DATE,
+    SCORED, clean, dated_files, feed, labelled, lined, lit, rules_of, s_any, s_case, s_hash, s_importance, s_list,
     s_rule_codes, s_sentiment, s_strip, scored, table)
 
 CODES = vocab.COMMODITY_CODES
@@ -57,6 +58,63 @@ def d4(spark, d):
     return table(spark, d, "documents").select("doc_id", C.join_codes(rules_of()).alias("codes"))
 
 
+# Dictionaries of the documents' own words (about ten thousand terms at the smallest
+# scales, more with the data), and exports from the trade tables.
+S_TERMS = """terms as (select distinct unnest(list_slice(string_split(lower(text), ' '), 2, 11)) as term from documents),
+  names as (select term, 'C' || substr(md5(term), 1, 1) as code from terms where length(term) >= 7),
+  keywords as (select term, 'P' || substr(md5(term), 2, 1) as product from terms where length(term) >= 7)"""
+S_EXPORTS = """exports as (select distinct 'C' || lower(to_hex(s_nationkey % 16)) as country, 'P' || lower(to_hex(p_size % 16)) as product
+  from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey where (s_nationkey + p_size) % 3 < 2)"""
+S_TABLE_CODES = f"""{S_TERMS}, {S_EXPORTS},
+  c as (select distinct doc_id, code as country from documents join names on contains(lower(text), term)),
+  p as (select distinct doc_id, product from documents join keywords on contains(lower(text), term)),
+  eligible as (select doc_id from documents where {s_any('lower(text)', MACRO)} and not {s_any('lower(text)', COMPANY)}),
+  found as (select doc_id, country || ':' || product as code from c join exports using (country) join p using (doc_id, product)
+    where doc_id in (select doc_id from eligible))"""
+
+
+def term_tables(spark, d):
+    """(names, keywords) of documents' words."""
+    words = F.explode(F.slice(F.split(F.lower("text"), " "), 2, 10)).alias("term")
+    terms = materialise(table(spark, d, "documents").select(words).distinct().where(F.length("term") >= 7), "terms")
+    mark = lambda k, at: F.concat(F.lit(k), F.substring(F.md5("term"), at, 1))
+    return terms.select("term", mark("C", 1).alias("code")), terms.select("term", mark("P", 2).alias("product"))
+
+
+def table_codes(spark, d):
+    """(doc_id, codes) by rules whose dictionaries are tables."""
+    names, keywords = term_tables(spark, d)
+    digit = lambda k, c: F.concat(F.lit(k), F.lower(F.hex(F.col(c) % 16)))
+    sold = table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    exports = (sold.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+               .join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+               .select(digit("C", "s_nationkey").alias("country"), digit("P", "p_size").alias("product"),
+                       F.element_at(F.array(*map(F.lit, ("pivot", "major", "minor"))), ((F.col("s_nationkey") + F.col("p_size")) % 3 + 1).cast("int")).alias("impact"))
+               .distinct())
+    words = lambda ws: spark.createDataFrame([(w,) for w in ws], "term string")
+    return dictionary.rule_codes(table(spark, d, "documents"), "doc_id", "text", names, exports, keywords, words(COMPANY), words(MACRO))
+
+
+@query("d3_country_table", f"""with {S_TERMS}, c as (select distinct doc_id, code from documents join names on contains(lower(text), term))
+  select doc_id, count(code) as n, md5(coalesce(string_agg(code, ',' order by code), '')) as countries
+  from documents left join c using (doc_id) group by doc_id""")
+def d3_table(spark, d):
+    """Country names as a table of thousands of terms."""
+    found = dictionary.detect_countries(table(spark, d, "documents"), "doc_id", "text", term_tables(spark, d)[0])
+    return found.select("doc_id", F.size("countries").cast("long").alias("n"), F.md5(F.array_join("countries", ",")).alias("countries"))
+
+
+@query("d4_rule_code_tables", f"""with {S_TABLE_CODES} select doc_id, count(code) as n, md5(coalesce(string_agg(code, ';' order by code), '')) as codes
+  from documents left join found using (doc_id) group by doc_id""")
+def d4_tables(spark, d):
+    return table_codes(spark, d).select("doc_id", F.size("codes").cast("long").alias("n"), F.md5(C.join_codes("codes")).alias("codes"))
+
+
+@query("k2_dictionary_tables", f"with {S_TABLE_CODES} select code, count(*) as n from found group by code")
+def k2_tables(spark, d):
+    return correlate.code_counts(table_codes(spark, d), "codes")
+
+
 def _dictionary(spark, d):
     """Exposure dictionary derived from the trade tables: a code per supplier
     nation and part brand that lineitem links, the region as category, the
