@@ -33,7 +33,7 @@ def grams(word: str, size: int) -> Column:
 
 
 def _fits(df: DataFrame, columns: list[str], rows: int, chars: int) -> bool:
-    size = df.agg(F.count("*").alias("n"), F.sum(sum(F.length(c) for c in columns)).alias("c")).first()
+    size = df.agg(F.count("*").alias("n"), F.sum(sum(F.coalesce(F.length(c), F.lit(0)) for c in columns)).alias("c")).first()
     return size["n"] <= rows and (size["c"] or 0) <= chars
 
 
@@ -57,32 +57,36 @@ def words_with(words: DataFrame, anchors: DataFrame, rows: int = BROADCAST_ROWS,
     return cut.join(hint(rarest), "gram").where(F.contains("word", "anchor")).select("word", "anchor")
 
 
-def occurrences(texts: DataFrame, key: str, text: str, terms: DataFrame, rows: int = BROADCAST_ROWS,
+def occurrences(texts: DataFrame, key: str, text: str, terms: DataFrame, give=("term",), rows: int = BROADCAST_ROWS,
                 chars: int = BROADCAST_CHARS) -> DataFrame:
-    """(``key``, term): the distinct terms of ``terms`` (term) in each text; ``key``
-    is unique.  Blank and null terms are left out, a null text has none.  Texts are
-    read twice; they move only where the found words are too many to broadcast and
-    terms have blanks, and then those that may hold such a term."""
+    """(``key``, *``give``): the distinct ``give`` columns of the ``terms`` (term and
+    those) that each text has; ``key`` is unique.  Blank and null terms are left
+    out, a null text has none.  Texts are read twice; they move only where the found
+    words are too many to broadcast and terms have blanks, and then those that may
+    hold such a term."""
+    give = list(give)
     low = texts.select(key, F.lower(text).alias("_low"))
-    terms = terms.select("term").where(F.length(anchor("term")) > 0).distinct().withColumn("anchor", anchor("term"))
+    terms = terms.where(F.length(anchor("term")) > 0).select("term", *[c for c in give if c != "term"], anchor("term").alias("anchor")).distinct()
     terms = materialise(terms, "dictionary-terms")
     split = F.explode(F.array_distinct(F.split("_low", BLANK))).alias("word")
     words = low.select(split).distinct()
     found = words_with(words, terms.select("anchor").distinct(), rows, chars)
-    lead = materialise(found.join(terms, "anchor").select("word", "term", (F.col("anchor") == F.col("term")).alias("sure")), "dictionary-words")
-    if _fits(lead, ["word", "term"], rows, chars):
-        hit = low.select(key, "_low", split).join(F.broadcast(lead), "word")
-        return hit.where(F.col("sure") | F.contains("_low", "term")).select(key, "term").distinct()
-    hit = low.select(key, split).join(lead, "word").select(key, "term", "sure").distinct()
-    checked = low.join(hit.where("not sure"), key).where(F.contains("_low", "term"))
-    return hit.where("sure").select(key, "term").unionByName(checked.select(key, "term"))
+    # A term that is its own anchor needs no more proof: only what it gives goes on.
+    proof = F.when(F.col("anchor") != F.col("term"), F.col("term")).alias("proof")
+    lead = materialise(found.join(terms, "anchor").select("word", *give, proof).distinct(), "dictionary-words")
+    holds = F.col("proof").isNull() | F.contains("_low", "proof")
+    if _fits(lead, ["word", *give], rows, chars):
+        return low.select(key, "_low", split).join(F.broadcast(lead), "word").where(holds).select(key, *give).distinct()
+    hit = low.select(key, split).join(lead, "word").select(key, *give, "proof").distinct()
+    checked = low.join(hit.where("proof is not null"), key).where(holds)
+    return hit.where("proof is null").select(key, *give).unionByName(checked.select(key, *give)).distinct()
 
 
 def detect_countries(texts: DataFrame, key: str, text: str, names: DataFrame, **limits) -> DataFrame:
     """(``key``, countries): the distinct codes, sorted, of the ``names`` (term,
     code) that occur in each text."""
-    found = occurrences(texts, key, text, names, **limits).join(names.select("term", "code"), "term")
-    some = found.groupBy(key).agg(F.array_sort(F.collect_set("code")).alias("countries"))
+    found = occurrences(texts, key, text, names, ["code"], **limits)
+    some = found.groupBy(key).agg(F.array_sort(F.collect_list("code")).alias("countries"))
     return texts.select(key).join(some, key, "left").withColumn("countries", F.coalesce("countries", F.array().cast("array<string>")))
 
 
@@ -99,7 +103,7 @@ def rule_codes(texts: DataFrame, key: str, text: str, names: DataFrame, exports:
              .unionByName(keywords.select("term", "product").unionByName(bare).select("term", F.lit("product").alias("kind"), F.col("product").alias("value")))
              .unionByName(company.select("term", F.lit("company").alias("kind"), F.lit(None).cast("string").alias("value")))
              .unionByName(macro.select("term", F.lit("macro").alias("kind"), F.lit(None).cast("string").alias("value")))).distinct()
-    found = materialise(occurrences(texts, key, text, kinds, **limits).join(kinds, "term").select(key, "kind", "value").distinct(), "dictionary-found")
+    found = materialise(occurrences(texts, key, text, kinds, ["kind", "value"], **limits), "dictionary-found")
     eligible = found.groupBy(key).agg(F.bool_or(F.col("kind") == "macro").alias("macro"), F.bool_or(F.col("kind") == "company").alias("company")).where("macro and not company")
     pairs = (found.where("kind = 'country'").select(key, F.col("value").alias("country"))
              .join(exports.where(F.col("impact").isin(*impacts)).select("country", "product").distinct(), "country")

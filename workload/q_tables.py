@@ -58,9 +58,8 @@ def d4(spark, d):
     return table(spark, d, "documents").select("doc_id", C.join_codes(rules_of()).alias("codes"))
 
 
-# Dictionaries of the documents' own words (about ten thousand terms at the smallest
-# scales, more with the data), and exports from the trade tables.
-S_TERMS = """terms as (select distinct unnest(list_slice(string_split(lower(text), ' '), 2, 11)) as term from documents),
+# Dictionaries of the benchmark's words (thousands of terms), exports from the trade tables.
+S_TERMS = """terms as (select distinct unnest(string_split(lower(text), ' ')) as term from benchmark),
   names as (select term, 'C' || substr(md5(term), 1, 1) as code from terms where length(term) >= 7),
   keywords as (select term, 'P' || substr(md5(term), 2, 1) as product from terms where length(term) >= 7)"""
 S_EXPORTS = """exports as (select distinct 'C' || lower(to_hex(s_nationkey % 16)) as country, 'P' || lower(to_hex(p_size % 16)) as product
@@ -74,9 +73,9 @@ S_TABLE_CODES = f"""{S_TERMS}, {S_EXPORTS},
 
 
 def term_tables(spark, d):
-    """(names, keywords) of documents' words."""
-    words = F.explode(F.slice(F.split(F.lower("text"), " "), 2, 10)).alias("term")
-    terms = materialise(table(spark, d, "documents").select(words).distinct().where(F.length("term") >= 7), "terms")
+    """(names, keywords) of the benchmark's words."""
+    words = F.explode(F.split(F.lower("text"), " ")).alias("term")
+    terms = materialise(table(spark, d, "benchmark").select(words).distinct().where(F.length("term") >= 7), "terms")
     mark = lambda k, at: F.concat(F.lit(k), F.substring(F.md5("term"), at, 1))
     return terms.select("term", mark("C", 1).alias("code")), terms.select("term", mark("P", 2).alias("product"))
 
