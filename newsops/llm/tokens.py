@@ -3,6 +3,7 @@ answer totals, quantiles and truncated totals for every context limit."""
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -12,10 +13,29 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how that vocabulary cuts text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Runs of blanks from so many on are cut out: the pattern's backtracking fails on a million.
+LONG_BLANKS = 10_000
+
+
+def token_count(encoding, text: str | None, long_blanks: int = LONG_BLANKS) -> int:
+    """Tokens of a text.  A token ends before every run of blanks, and a run is one
+    piece to be merged, but for its last blank where something follows: so a long
+    run is merged by itself, past the pattern, and the rest encoded around it."""
+    if not text:
+        return 0
+    n, at = 0, 0
+    for run in re.finditer(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{long_blanks},}}", text):
+        end = run.end() - (run.end() < len(text))
+        n += len(encoding.encode_ordinary(text[at:run.start()]))
+        n += len(encoding._encode_single_piece(text[run.start():end])) if end > run.start() else 0
+        at = end
+    return n + len(encoding.encode_ordinary(text[at:]))
+
 
 def lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(n_tokens, n_docs): how many texts have each encoded length.  Null and empty
-    texts have length 0.  The vocabulary is read by the driver and broadcast
+    texts have length 0; a very long text is encoded whole, some 60 bytes a character,
+    whatever runs it holds.  The vocabulary is read by the driver and broadcast
     (its size is the file's, under 2 MB); tasks add up before the shuffle."""
     with open(vocabulary, "rb") as f:
         known = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -24,10 +44,10 @@ def lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTER
         import tiktoken
 
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, known.value.splitlines())}
-        encode = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         seen: Counter[int] = Counter()
         for batch in batches:
-            seen.update(len(encode(t)) if t else 0 for t in batch.column(0).to_pylist())
+            seen.update(token_count(encoding, t) for t in batch.column(0).to_pylist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["n_tokens", "n_docs"])
 
