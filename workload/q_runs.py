@@ -9,15 +9,15 @@ from newsops.functions import codes as C, labels as L, scores as S, text as T
 from newsops.operators import correlate, gate, metrics, model, sampling, stats, validate as V
 from newsops.plans import daily, datasets as P
 from newsops.session import materialise, work_dir
-from newsops.sources import files, records, sinks
+from newsops.sources import files, records, seen, sinks
 from newsops.streaming import stream
 from workload.q_expressions import _CLEANED, S_SUSPICIOUS, S_THRESHOLD
 from workload.q_tables import (
-    ACCEPTED, CODES, COUNT, DAILY, ENRICHED, HISTORY, PER_CLASS, PER_CODE, S_ENRICHED,
+    ACCEPTED, CODES, COUNT, DAILY, SEEN, ENRICHED, HISTORY, PER_CLASS, PER_CODE, S_ENRICHED,
     _h, _rounded, _s_pick, daily_rows, decided, enriched, predictions, seen_hashes)
 from workload.registry import query
 from workload.views import (
-    CFG, CLEAN, DAILY_HIGH, DAILY_MEDIUM, DATED, FEEDS, K, LABELLED, LONG, RUN_DATE, clean,
+    CFG, CLEAN, DAILY_HIGH, DAILY_MEDIUM, DATED, FEED, FEEDS, K, LABELLED, LONG, RUN_DATE, clean,
     dated_files, feed, labelled, lit, s_case, s_daily_importance, s_hash, s_strip, scored, table)
 
 # ------------------------------------------------------------- H: validation
@@ -474,6 +474,26 @@ def a16(spark, d):
     return sinks.load_seen(spark, path)
 
 
+@query("a16_seen_store", f"""select distinct {s_hash('text')} as hash from documents""")
+def a16_store(spark, d):
+    """The store by prefix: two overlapping runs and one that comes again; all of it read back through its manifest."""
+    path = work_dir(spark, "seen-store")
+    hashes = table(spark, d, "documents").select("lang", T.article_hash("text").alias("hash"))
+    for run, keep in (("one", "lang <> 'fr'"), ("two", "lang <> 'de'"), ("one", "lang = 'fr'")):
+        seen.append(hashes.filter(keep), path, run)
+    return seen.seen_among(hashes, path)
+
+
+@query("d1_seen_store", f"""with {FEED}, {SEEN} select seq from (select seq, {s_hash('title')} as hash from feed)
+  where hash not in (select hash from seen)""")
+def d1_store(spark, d):
+    """Articles whose titles the store lacks; only files that may hold one are read."""
+    path = work_dir(spark, "seen-store")
+    seen.append(seen_hashes(spark, d), path)
+    rows = feed(spark, d).select("seq", T.article_hash("title").alias("hash"))
+    return seen.drop_seen(rows, path).select("seq")
+
+
 @query("a17_write_report", f"""with {REPORT} select file, error_count, warning_count from reports""")
 def a17(spark, d):
     path = work_dir(spark, "reports")
