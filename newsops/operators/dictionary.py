@@ -69,7 +69,7 @@ def occurrences(texts: DataFrame, key: str, text: str, terms: DataFrame, give=("
     terms = terms.where(F.length(anchor("term")) > 0).select("term", *[c for c in give if c != "term"], anchor("term").alias("anchor")).distinct()
     terms = materialise(terms, "dictionary-terms")
     split = F.explode(F.array_distinct(F.split("_low", BLANK))).alias("word")
-    words = low.select(split).distinct()
+    words = materialise(low.select(split).distinct(), "dictionary-vocabulary")
     found = words_with(words, terms.select("anchor").distinct(), rows, chars)
     # A term that is its own anchor needs no more proof: only what it gives goes on.
     proof = F.when(F.col("anchor") != F.col("term"), F.col("term")).alias("proof")
