@@ -145,20 +145,29 @@ def status(catalog: DataFrame, seen: DataFrame | None = None, newest: int = 5) -
 
 
 def repair_report(df: DataFrame, by=(), max_length: int = 512) -> DataFrame:
-    """Long texts, labels and importances outside the vocabulary, duplicates."""
-    by = names(by)
-    bad_label = ~F.coalesce(F.col("label").isin(*vocab.SENTIMENTS), F.lit(False))
-    bad_importance = ~F.coalesce(F.col("importance").isin(*vocab.IMPORTANCE_IDS), F.lit(False))
+    """Long texts, labels and importances outside the vocabulary, duplicates.  A
+    column that the dataset lacks has no finding (its lengths are 0): the oldest
+    files have texts and labels only."""
+    by, have = names(by), set(df.columns)
+
+    def outside(column, allowed):
+        bad = ~F.coalesce(F.col(column).isin(*allowed), F.lit(False)) if column in have else F.lit(False)
+        return F.count_if(bad)
+
+    length = F.length("text") if "text" in have else F.lit(None).cast("int")
     main = df.groupBy(*by).agg(
-        F.count_if(F.length("text") > max_length).alias("long_texts"),
-        F.count_if(bad_label).alias("invalid_labels"),
-        F.count_if(bad_importance).alias("invalid_importances"),
-        F.coalesce(F.round(F.avg(F.length("text")), 6), F.lit(0.0)).alias("text_length_avg"),
-        F.coalesce(F.max(F.length("text")), F.lit(0)).cast("bigint").alias("text_length_max"),
-        F.coalesce(F.min(F.length("text")), F.lit(0)).cast("bigint").alias("text_length_min"))
-    per_text = df.groupBy(*by, F.md5("text").alias("_t")).agg(_count().alias("_n"))
-    dup = per_text.groupBy(*by).agg(F.sum(F.col("_n") - 1).alias("duplicates"))
-    both = main.join(dup, by, "left") if by else main.crossJoin(dup)
+        F.count_if(length > max_length).alias("long_texts"),
+        outside("label", vocab.SENTIMENTS).alias("invalid_labels"),
+        outside("importance", vocab.IMPORTANCE_IDS).alias("invalid_importances"),
+        F.coalesce(F.round(F.avg(length), 6), F.lit(0.0)).alias("text_length_avg"),
+        F.coalesce(F.max(length), F.lit(0)).cast("bigint").alias("text_length_max"),
+        F.coalesce(F.min(length), F.lit(0)).cast("bigint").alias("text_length_min"))
+    if "text" in have:
+        per_text = df.groupBy(*by, F.md5("text").alias("_t")).agg(_count().alias("_n"))
+        dup = per_text.groupBy(*by).agg(F.sum(F.col("_n") - 1).alias("duplicates"))
+        both = main.join(dup, by, "left") if by else main.crossJoin(dup)
+    else:
+        both = main.withColumn("duplicates", F.lit(0).cast("bigint"))
     valid = ((F.col("long_texts") == 0) & (F.col("invalid_labels") == 0)
              & (F.col("invalid_importances") == 0) & (F.col("duplicates") == 0))
     return both.withColumn("duplicates", F.coalesce("duplicates", F.lit(0))).withColumn(

@@ -125,6 +125,26 @@ def catalog(spark: SparkSession, directory: str, pattern: str = "news_*.csv") ->
     return files.select("path", file_name("path").alias("name"), "length", "modified")
 
 
+def contents(rows: DataFrame, name: str, date: str, columns) -> DataFrame:
+    """(name, rows, first_date, last_date, checksum) of each dataset in ``rows``: a
+    manifest to keep beside the files.  The checksum is a sum over rows, so it
+    doesn't depend on their order, and tells a dataset whose rows changed."""
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    mark = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return rows.groupBy(F.col(name).alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.sum(mark).alias("checksum"))
+
+
+def within(rows: DataFrame, manifest: DataFrame, name: str, date: str, low, high) -> DataFrame:
+    """Rows dated from ``low`` to ``high``.  ``name`` is the column the files are
+    partitioned by: only datasets whose range meets the period are opened."""
+    low, high = F.lit(low).cast("date"), F.lit(high).cast("date")
+    names = manifest.where((F.col("first_date") <= high) & (F.col("last_date") >= low)).select(F.col("name").alias(name))
+    # The names go through the driver as partition values: a few for each day of the period.
+    wanted = [r[0] for r in names.distinct().collect()]
+    return rows.where(F.col(name).isin(wanted) & F.col(date).between(low, high))
+
+
 def file_name(path) -> Column:
     return F.substring_index(col(path), "/", -1)
 

@@ -48,3 +48,14 @@ def test_each_word_is_looked_up_once(spark):
     anchors = spark.createDataFrame([("the7xx",), ("the",), ("qqqq",)], "anchor string")
     got = sorted(map(tuple, D.words_with(words, anchors).collect()))
     assert got == sorted([(f"the{i}xx", "the") for i in range(50)] + [("the7xxyy", "the"), ("the7xx", "the7xx"), ("the7xxyy", "the7xx")])
+
+
+def test_ten_thousand_terms(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    words = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        F.explode(F.slice(F.split(F.lower("text"), " "), 1, 40)).alias("term")).where("length(term) >= 5").distinct().orderBy("term").limit(10_000)
+    terms = [r[0] for r in words.collect()]
+    assert len(terms) == 10_000
+    low = {r["doc_id"]: r["text"].lower() for r in docs.collect() if r["text"]}
+    got = {tuple(r) for r in D.occurrences(docs, "doc_id", "text", spark.createDataFrame([(t,) for t in terms], "term string")).collect()}
+    assert got == {(i, t) for i, text in low.items() for t in terms if t in text}

@@ -139,3 +139,15 @@ def test_percent_text(spark, count, share):
     from pyspark.sql import functions as F
 
     assert spark.range(1).select(V._percent(F.lit(count) / F.lit(8))).first()[0] == share
+
+
+@pytest.mark.parametrize("columns", [["text"], ["label"], ["text", "label"], ["importance"], ["label", "importance"], []])
+def test_repair_report_on_any_columns(spark, columns):
+    from newsops.operators.stats import repair_report
+
+    rows = spark.createDataFrame([("f", "x" * 600, "positive", "critique"), ("f", "short", "BAD", "none"), ("f", "short", "neutral", "critique")],
+                                 "file string, text string, label string, importance string").select("file", *columns)
+    for got in (repair_report(rows, "file").first(), repair_report(rows).first()):
+        assert got["long_texts"] == ("text" in columns) and got["duplicates"] == ("text" in columns)
+        assert got["invalid_labels"] == ("label" in columns) and got["invalid_importances"] == ("importance" in columns)
+        assert got["is_valid"] == (not columns) and got["text_length_max"] == (600 if "text" in columns else 0)

@@ -455,6 +455,36 @@ def a6(spark, d):
     return files.catalog(spark, d, "*.parquet").select("name", "length", "modified")
 
 
+_EVENTS = """select name, count(*) as rows, strftime(min(ts), '%Y-%m-%d') as first_date, strftime(max(ts), '%Y-%m-%d') as last_date,
+  sum(('0x' || substr(md5(event_id::varchar || chr(31) || event_type), 1, 8))::bigint)::bigint as checksum from dated group by name"""
+
+
+def event_files(spark, d):
+    """Datasets of events, a folder for each dated name, and their manifest."""
+    path = work_dir(spark, "event-files")
+    rows = dated_files(spark, d).select("name", "event_id", "event_type", F.to_date("ts").alias("date"))
+    rows.hint("rebalance", F.col("name")).write.partitionBy("name").json(path)
+    stored = spark.read.schema("event_id bigint, event_type string, date date, name string").json(path)
+    return stored, materialise(files.contents(stored, "name", "date", ["event_id", "event_type"]), "manifest")
+
+
+@query("a6_contents", f"with {DATED} {_EVENTS}")
+def a6_contents(spark, d):
+    """What each dataset holds: rows, dates, checksum."""
+    _, manifest = event_files(spark, d)
+    return manifest.select("name", "rows", F.col("first_date").cast("string").alias("first_date"),
+                           F.col("last_date").cast("string").alias("last_date"), "checksum")
+
+
+@query("a11_pruned_history", f"""with {DATED} select name, count(*) as n from dated
+  where ts::date between date '{RUN_DATE}' - 12 and date '{RUN_DATE}' - 1 group by name""")
+def a11_pruned(spark, d):
+    """A period's rows, from the datasets whose dates meet it."""
+    stored, manifest = event_files(spark, d)
+    rows = files.within(stored, manifest, "name", "date", F.date_sub(F.lit(RUN_DATE).cast("date"), 12), F.date_sub(F.lit(RUN_DATE).cast("date"), 1))
+    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("a14_write_daily", f"""with {DAILY} select text, label_sentiment, {s_daily_importance('lower(text)')}
   as label_importance, strftime(date, '%Y-%m-%d') as date from daily""")
 def a14(spark, d):
@@ -502,9 +532,14 @@ def a17(spark, d):
     return spark.read.schema("file string, error_count bigint, warning_count bigint").json(path)
 
 
-@query("e20_status")
+@query("e20_status", f"""with {DATED}, {FEED}, {SEEN}, n as (select distinct name from dated where name like 'news\\_%.csv' escape '\\')
+  select (select count(*) from n) as datasets, (select string_agg(name, ';' order by name desc) from (select name from n order by name desc limit 5)) as newest,
+    (select count(*) from seen) as seen_hashes""")
 def e20(spark, d):
-    return stats.status(files.catalog(spark, d, "*.parquet"), seen_hashes(spark, d)).select(
+    """Number of dated datasets that events fill, the newest five, seen hashes."""
+    _, manifest = event_files(spark, d)
+    datasets = manifest.where(F.col("name").startswith("news_") & F.col("name").endswith(".csv"))
+    return stats.status(datasets, seen_hashes(spark, d).distinct()).select(
         "datasets", F.array_join("newest", ";").alias("newest"), "seen_hashes")
 
 

@@ -455,6 +455,15 @@ def e21(spark, d):
     return stats.repair_report(labelled(spark, d), "file")
 
 
+@query("e21_two_columns", f"""with {LABELLED} select *, long_texts = 0 and invalid_labels = 0 and duplicates = 0 as is_valid from (
+  select file, count(*) filter (length(text) > 512) as long_texts, count(*) filter ({_BAD_LABEL}) as invalid_labels,
+    0 as invalid_importances, round(avg(length(text)), 6) as text_length_avg, max(length(text)) as text_length_max,
+    min(length(text)) as text_length_min, count(*) - count(distinct text) as duplicates from labelled group by file)""")
+def e21_two(spark, d):
+    """The oldest datasets have texts and labels only."""
+    return stats.repair_report(labelled(spark, d).select("file", "text", "label"), "file")
+
+
 @query("e21_invalid_labels", f"""with {LABELLED} select label, count(*) as n from labelled where {_BAD_LABEL}
   group by label""")
 def e21_labels(spark, d):
