@@ -58,9 +58,12 @@ def _summary(pdf: pd.DataFrame) -> pd.DataFrame:
                          "high": [h.max()], "n": [len(h)], "bits": [bloom(h)]})
 
 
-def candidates(hashes: DataFrame, path: str) -> DataFrame:
-    """(file) that may hold one of ``hashes`` (hash): by prefix and range, then by filter."""
+def candidates(hashes: DataFrame, path: str, without: str | None = None) -> DataFrame:
+    """(file) that may hold one of ``hashes`` (hash): by prefix and range, then by
+    filter.  Files of the run ``without`` don't count."""
     files = manifest(hashes.sparkSession, path)
+    if without is not None:
+        files = files.where(F.col("run") != without)
     mine = hashes.select("hash").where("hash is not null").distinct().withColumn("prefix", F.substring("hash", 1, PREFIX))
     ranges = files.select("file", "prefix", "low", "high")
     filters = files.select(F.col("file").alias("of"), "bits")
@@ -72,20 +75,20 @@ def candidates(hashes: DataFrame, path: str) -> DataFrame:
     return pairs.groupBy("file").cogroup(filters.groupBy("of")).applyInPandas(tested, "file string")
 
 
-def seen_among(hashes: DataFrame, path: str) -> DataFrame:
+def seen_among(hashes: DataFrame, path: str, without: str | None = None) -> DataFrame:
     """(hash): those of ``hashes`` that the store has, each once.  The names of the
     files to read go through the driver."""
     spark = hashes.sparkSession
-    files = [r["file"] for r in candidates(hashes, path).collect()]
+    files = [r["file"] for r in candidates(hashes, path, without).collect()]
     if not files:
         return spark.createDataFrame([], "hash string")
     stored = spark.read.schema("hash string").parquet(*files)
     return stored.join(hashes.select("hash").distinct(), "hash", "left_semi").distinct()
 
 
-def drop_seen(df: DataFrame, path: str, key: str = "hash") -> DataFrame:
+def drop_seen(df: DataFrame, path: str, key: str = "hash", without: str | None = None) -> DataFrame:
     """Rows whose ``key`` the store lacks (a null key is never seen)."""
-    return df.join(seen_among(df.select(F.col(key).alias("hash")), path).withColumnRenamed("hash", key), key, "left_anti").select(*df.columns)
+    return df.join(seen_among(df.select(F.col(key).alias("hash")), path, without).withColumnRenamed("hash", key), key, "left_anti").select(*df.columns)
 
 
 def append(hashes: DataFrame, path: str, run: str | None = None, file_rows: int = FILE_ROWS) -> int:

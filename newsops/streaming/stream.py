@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newsops.functions.text import article_hash
 from newsops.operators import correlate, dedup
 from newsops.plans.datasets import Labelling, enrich
-from newsops.session import work_dir
+from newsops.session import materialise, work_dir
+from newsops.sources import seen
 
 ARTICLE = ("title string, text string, content string, site string, publisher string, "
            "url string, publishedDate string, source_type string, ts timestamp")
@@ -28,7 +29,7 @@ def stream_dedup(df: DataFrame, ts: str = "ts", delay: str = "7 days", key: str
             .dropDuplicatesWithinWatermark(["hash"]))
 
 
-def exact_dedup(df: DataFrame, out: str, seen: str, checkpoint: str, seq: str = "seq",
+def exact_dedup(df: DataFrame, out: str, known: str, checkpoint: str, seq: str = "seq",
                 key: str = "title"):
     """Exact dedup: each micro-batch drops what the seen table holds, keeps the
     first of every fingerprint and adds the new ones.  State lives in storage.
@@ -37,11 +38,25 @@ def exact_dedup(df: DataFrame, out: str, seen: str, checkpoint: str, seq: str =
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("hash", article_hash(key))
-        known = read_batches(spark, seen, "hash string").filter(F.col("batch_id") < batch_id)
-        fresh = dedup.drop_seen(dedup.dedup_first(rows, "hash", seq), known, "hash")
+        earlier = read_batches(spark, known, "hash string").filter(F.col("batch_id") < batch_id)
+        fresh = dedup.drop_seen(dedup.dedup_first(rows, "hash", seq), earlier, "hash")
         fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         written = spark.read.parquet(f"{out}/batch_id={batch_id}")
-        written.select("hash").write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
+        written.select("hash").write.mode("overwrite").parquet(f"{known}/batch_id={batch_id}")
+
+    return df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+
+def store_dedup(df: DataFrame, out: str, store: str, checkpoint: str, seq: str = "seq", key: str = "title"):
+    """Exact dedup against a store by prefix: a micro-batch opens only the files
+    that may hold one of its fingerprints, however much was ever seen.  A batch is
+    a run of the store, so one that is repeated neither meets its own fingerprints
+    nor adds them twice, and its rows replace those of its earlier attempt."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, f"batch-{batch_id}"
+        rows = materialise(dedup.dedup_first(batch.withColumn("hash", article_hash(key)), "hash", seq), "stream-batch")
+        seen.drop_seen(rows, store, "hash", without=run).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        seen.append(spark.read.parquet(f"{out}/batch_id={batch_id}").select("hash"), store, run)
 
     return df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
 

@@ -574,6 +574,50 @@ def j2_exact(spark, d):
     return stream.read_batches(spark, out, "seq bigint, title string, hash string").select("seq", "hash")
 
 
+LANDINGS = 5
+
+
+def landings(rows, key):
+    """The rows in LANDINGS parts by ranges of an id, as they would land day after day."""
+    size = rows.agg(F.max(key)).first()[0]
+    part = F.floor(F.col(key) * LANDINGS / ((size or 0) + 1))
+    return [rows.where(part == k) for k in range(LANDINGS)]
+
+
+@query("j2_stream_dedup_store", f"select min(doc_id) as seq, {s_hash('text')} as hash from documents group by 2")
+def j2_store(spark, d):
+    """A feed that lands in five parts; after each the stream starts again where it stopped."""
+    feed_dir, out, store, state = (work_dir(spark, n) for n in ("feed", "fresh", "seen-store", "state"))
+    for part in landings(table(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("title")), "seq"):
+        part.write.mode("append").parquet(feed_dir)
+        rows = stream.article_stream(spark, feed_dir, "seq bigint, title string", "parquet")
+        stream.run_available(stream.store_dedup(rows, out, store, state))
+    return stream.read_batches(spark, out, "seq bigint, title string, hash string").select("seq", "hash")
+
+
+def _s_landing(k: int) -> str:
+    """Picks of one landing, shifted by the counts that the landings before left."""
+    before = " union all ".join(f"select code from picked{j} where rn <= 3" for j in range(k)) or "select null as code where false"
+    pick = _s_pick("(case when coalesce(n, 0) >= 10 then 0.02 when coalesce(n, 0) <= 1 then -0.02 else 0.0 end)",
+                   f"left join counts{k} using (code) join landed using (vec_id) where landing = {k}")
+    return f"counts{k} as (select code, count(*) as n from ({before}) group by code), " + pick.replace("picked as", f"picked{k} as", 1)
+
+
+@query("j6_stream_rarity_landings", f"""with {LONG}, {S_THRESHOLD},
+  landed as (select vec_id, floor(vec_id * {LANDINGS} / ((select max(vec_id) from embeddings) + 1))::int as landing from embeddings),
+  {", ".join(_s_landing(k) for k in range(LANDINGS))}
+  select landing, code, count(*) as n from ({" union all ".join(f"select {k} as landing, code from picked{k} where rn <= 3" for k in range(LANDINGS))})
+  group by all""")
+def j6_landings(spark, d):
+    """Counts that each landing's labels leave, which shift the next one's thresholds."""
+    feed_dir, out, counts, state = (work_dir(spark, n) for n in ("feed", "picked", "counts", "state"))
+    for part in landings(scored(spark, d).select("vec_id", "scores"), "vec_id"):
+        part.write.mode("append").parquet(feed_dir)
+        rows = stream.article_stream(spark, feed_dir, "vec_id bigint, scores array<struct<label:string,score:double>>", "parquet")
+        stream.run_available(stream.label_with_rarity(rows, CODES, out, counts, state, low=0.5, high=0.75))
+    return stream.read_batches(spark, counts, "code string, n bigint").select(F.col("batch_id").cast("int").alias("landing"), "code", "n")
+
+
 _PERIODS = """select strftime(time_bucket(interval '7 days', ts, timestamp '1970-01-01'), '%Y-%m-%d') as period_start,
   event_type as label, count(*) as n from events group by all"""
 
