@@ -1,16 +1,18 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
-A document's set holds its distinct 5-word shingles as 64-bit hashes; the hash is
-also the global order of prefixes.  Two sets of similarity 0.8 share at least l
-shingles of their prefixes of n - ceil(0.8 n) + l.  A longer prefix (larger l)
-may therefore leave out its l - 1 most frequent shingles and still meet every
-partner, and must share l before its whole set is compared.  Documents whose
-prefix looks costly (a fixed-size sketch of shingle counts) take the longer one.
-
-Equal sets are one class from the start.  Classes are first linked to the least
-of those with a common min-hash, so that a large group of near copies becomes a
-component after a number of comparisons that grows with its size, not with its
-square.  The prefix join then compares what lies in different components."""
+A document's set holds its distinct 5-word shingles as 64-bit hashes.  Prefixes
+follow one order of all shingles: those of a sketch's frequent buckets last, by
+hash otherwise.  Two sets of similarity 0.8 share at least l shingles of their
+prefixes of n - ceil(0.8 n) + l; a document whose prefix looks costly takes the
+longer one (larger l), and two must share the smaller of their l before their
+whole sets are compared.
+
+Equal sets are one class from the start.  A large group of near copies must not
+be compared pair by pair to become one component: each class is first compared
+with the least one that holds a common prefix shingle.  What then lies in
+different components is met by counts of (class, component) before members are
+looked at.  Every pair passes a bit sketch (an exact bound of the difference)
+before its sets are fetched."""
 from __future__ import annotations
 
 import hashlib
@@ -28,8 +30,7 @@ PERCENT = 80
 SHORT, LONG = 5, 15          # percent of the set: matches asked of a short and of a long prefix
 SKETCH = 1 << 16
 COSTLY = 0.05                # a prefix with this share of frequent-looking shingles, beyond twice what chance gives, is costly
-HASHES = 4
-SEEDS = [np.uint64(x * 0x9E3779B97F4A7C15 % (1 << 64)) for x in range(1, HASHES + 1)]
+BITS = 1024                  # of the sketch that bounds the difference of two sets
 
 
 def sets(column: pa.Array, ngram: int = NGRAM):
@@ -47,21 +48,28 @@ def sets(column: pa.Array, ngram: int = NGRAM):
                 yield np.zeros(0, np.uint64)
 
 
+def parity(s: np.ndarray) -> bytes:
+    """``BITS`` bits: how many shingles fall on each, modulo 2.  Two sets differ in
+    at least as many shingles as their sketches differ in bits."""
+    at = (s >> np.uint64(20) & np.uint64(BITS - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=BITS) & 1 == 1).tobytes()
+
+
 def _facts(ngram: int):
     def scan(batches):
-        """(doc_id, n, key, mins) of each row; at the end the task's sketch (bucket, seen)."""
+        """(doc_id, n, key, bits) of each row; at the end the task's sketch (bucket, seen)."""
         sketch = np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "n", "key", "mins", "bucket", "seen"]
+        names = ["doc_id", "n", "key", "bits", "bucket", "seen"]
         for batch in batches:
-            n, keys, mins = [], [], []
+            n, keys, bits = [], [], []
             for s in sets(batch.column(1), ngram):
                 n.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest())
-                mins.append([int(W.mix(s ^ seed).min().view(np.int64)) for seed in SEEDS] if len(s) else [])
+                bits.append(np.frombuffer(parity(s), np.int64))
                 np.add.at(sketch, (s & np.uint64(SKETCH - 1)).astype(np.int64), 1) if len(s) < 64 else \
                     np.add(sketch, np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), out=sketch)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(mins, pa.list_(pa.int64())),
+                batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.list_(pa.int64())),
                 pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.int64())], names=names)
         at = np.flatnonzero(sketch)
         yield pa.RecordBatch.from_arrays([
@@ -80,7 +88,7 @@ def prefix_size(n: int, asked: int) -> int:
 
 def _prefixes(sketch, ngram: int):
     def scan(batches):
-        """(doc_id, key, long, tokens): prefix of each row that has a set."""
+        """(doc_id, key, n, asked, tokens): prefix of each row that has a set."""
         often = sketch.value
         least = COSTLY + 2 * often.mean()
         for batch in batches:
@@ -89,14 +97,17 @@ def _prefixes(sketch, ngram: int):
                 n = len(s)
                 if not n or doc is None:
                     continue
-                short = s[:prefix_size(n, matches(n, SHORT))]
-                costly = often[(short & np.uint64(SKETCH - 1)).astype(np.int64)].mean() > least
-                tokens = s[:prefix_size(n, matches(n, LONG))] if costly else short
-                docs.append((doc, hashlib.md5(s.tobytes()).digest(), bool(costly), tokens.view(np.int64)))
-            cols = list(zip(*docs)) or [()] * 4
+                common = often[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
+                short = prefix_size(n, matches(n, SHORT))
+                costly = max(0, short - n + int(common.sum())) > least * short
+                asked = matches(n, LONG if costly else SHORT)
+                order = np.concatenate([s[~common], s[common]])
+                docs.append((doc, hashlib.md5(s.tobytes()).digest(), n, asked, order[:prefix_size(n, asked)].view(np.int64)))
+            cols = list(zip(*docs)) or [()] * 5
             yield pa.RecordBatch.from_arrays([
-                pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.bool_()),
-                pa.array(cols[3], pa.list_(pa.int64()))], names=["doc_id", "key", "long", "tokens"])
+                pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()),
+                pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.list_(pa.int64()))],
+                names=["doc_id", "key", "n", "asked", "tokens"])
     return scan
 
 
@@ -119,6 +130,22 @@ def frequent(facts: DataFrame) -> np.ndarray:
     return counts > usual + 4 * np.sqrt(usual) + 8
 
 
+def alike(n1, n2):
+    """Sizes that allow a similarity of 0.8."""
+    return 100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)
+
+
+def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) whose sketches allow a link, with ``gap``, the bits they differ in.
+    Of sizes n and m, linked sets differ in (n + m) / 9 shingles at most."""
+    side = lambda c: classes.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    gap = sum((F.bit_count(F.get("bitsa", F.lit(i)).bitwiseXOR(F.get("bitsb", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    apart = (100 - PERCENT) * (F.col("na") + F.col("nb")) / (100 + PERCENT)
+    return both.where(alike(F.col("na"), F.col("nb"))).select("a", "b", gap.alias("gap"), apart.alias("apart")).where(
+        "gap <= apart + 1e-6").select("a", "b", "gap")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, ngram: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that link: 100 * common >= 80 * all, on whole sets.
     Sets are built once for each document in a pair."""
@@ -132,61 +159,65 @@ def verified(pairs: DataFrame, docs: DataFrame, ngram: int) -> DataFrame:
         100 * F.col("c") >= PERCENT * F.col("u")).select("a", "b").distinct()
 
 
-def seeds(classes: DataFrame) -> DataFrame:
-    """Each class with the least of those that share a min-hash."""
-    rows = classes.select("doc", "n", F.posexplode("mins").alias("k", "m"))
-    hubs = materialise(rows.groupBy("k", "m").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub <> last"), "jaccard-hubs")
-    sizes = classes.select(F.col("doc").alias("hub"), F.col("n").alias("hub_n"))
-    met = rows.join(hubs, ["k", "m"]).where("doc <> hub").select("hub", "doc", "n").distinct()
-    return met.join(sizes, "hub").where(
-        100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+def postings(prefixes: DataFrame) -> DataFrame:
+    """(token, doc, n, asked, hub, hub_n) of prefix shingles that several classes
+    hold; hub is the least of them."""
+    rows = prefixes.select(F.explode("tokens").alias("token"), "doc", "n", "asked")
+    hubs = rows.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("hub"), F.max("doc").alias("last")).where("hub.doc <> last")
+    return rows.join(hubs, "token").select(
+        "token", "doc", "n", "asked", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"))
 
 
-def candidates(prefixes: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+def seeds(held: DataFrame) -> DataFrame:
+    """Each class with the least ones that share a prefix shingle."""
+    return held.where((F.col("doc") != F.col("hub")) & alike(F.col("n"), F.col("hub_n"))).select(
+        F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+
+
+def candidates(held: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs of classes in different components of ``known`` (node, component) that
-    share what their prefixes ask for."""
-    sized = prefixes.join(classes.select("doc", "n"), "doc")
-    asked = lambda n, percent: F.greatest(F.lit(1), F.ceil(n * percent / 100)).cast("int")
-    short_size = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + asked(F.col("n"), SHORT)
-    # A document with a long prefix has its short one too, for partners without.
-    levels = F.array(F.struct(F.lit(False).alias("long"), F.slice("tokens", 1, short_size.cast("int")).alias("tokens")),
-                     F.when(F.col("long"), F.struct(F.lit(True).alias("long"), F.col("tokens"))))
-    rows = (sized.select("doc", "n", F.col("long").alias("own"), F.explode(F.filter(levels, lambda x: x.isNotNull())).alias("p"))
-            .select("doc", "n", "own", "p.long", F.explode("p.tokens").alias("token")))
-    counts = materialise(rows.groupBy("token", "long").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-counts")
-    repeated = rows.join(counts, ["token", "long"])
-    # Of its repeated shingles a prefix may leave out the most frequent, one
-    # fewer than any partner (of 80 % of its size at least) must share.
-    spare = asked(F.col("n") * PERCENT / 100, F.when(F.col("long"), LONG).otherwise(SHORT)) - 1
-    kept = (repeated.groupBy("doc", "n", "own", "long").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-            .where(F.size("t") > spare)
-            .select("doc", "n", "own", "long", F.explode(F.slice("t", F.lit(1), F.size("t") - spare)).alias("x"))
-            .select("doc", "n", "own", "long", "x.token"))
-    held = materialise(kept.join(known.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc")), "jaccard-postings")
-    per = held.groupBy("token", "long", "component").agg(F.count("*").alias("c"))
-    mixed = materialise(per.groupBy("token", "long").agg(
-        F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1"), "jaccard-mixed")
-    live = materialise(held.join(mixed.select("token", "long", "main"), ["token", "long"]), "jaccard-live")
-    one = live.where("component <> main").select("token", "long", *[F.col(c).alias(f"{c}1") for c in ("doc", "n", "own", "component")])
-    two = live.select("token", "long", *[F.col(c).alias(f"{c}2") for c in ("doc", "n", "own", "component")])
-    met = one.join(two, ["token", "long"]).where(
-        (F.col("component1") != F.col("component2")) & (F.col("long") == (F.col("own1") & F.col("own2")))
-        & (100 * F.least("n1", "n2") >= PERCENT * F.greatest("n1", "n2")))
-    pairs = materialise(met.select(F.least("doc1", "doc2").alias("a"), F.greatest("doc1", "doc2").alias("b")).distinct(), "jaccard-met")
-    # The matches that both prefixes ask for, before whole sets are fetched.
-    side = lambda c, t: sized.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("long").alias(f"l{c}"), F.col("tokens").alias(t))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    percent = F.when(F.col("la") & F.col("lb"), LONG).otherwise(SHORT)
-    return both.where(F.size(F.array_intersect("x", "y")) >= F.least(
-        asked(F.col("na"), percent), asked(F.col("nb"), percent))).select("a", "b")
-
-
-def join(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``
-    (doc_id, text): component_id is the smallest doc_id reachable by links of
-    similarity 0.8 or more, n_links the links found between its class's least
-    document and others (enough to hold the component together, not all pairs).
+    share what their prefixes ask for.
+
+    A class that links into a component shares as much with all its prefixes
+    together, so (class, component) is counted first, from the smaller component's
+    side; members are met only where that count is reached."""
+    sizes = known.groupBy("component").agg(F.count("*").alias("members"))
+    named = known.join(sizes, "component").select(F.col("node").alias("doc"), "component", "members")
+    rows = materialise(held.drop("hub", "hub_n").join(named, "doc", "left").withColumns({
+        "component": F.coalesce("component", "doc"), "members": F.coalesce("members", F.lit(1).cast("long"))}), "jaccard-rows")
+    per = rows.groupBy("token", "component").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("asked").alias("least"), F.first("members").alias("members"))
+    mixed = per.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
+    per = materialise(per.join(mixed, "token"), "jaccard-per")
+    live = materialise(rows.join(per.select("token").distinct(), "token", "left_semi"), "jaccard-live")
+    into = per.select("token", F.col("component").alias("to"), "low", "high", "least", F.col("members").alias("to_members"))
+    met = live.join(into, "token").where(
+        (F.struct("to_members", "to") > F.struct("members", "component"))
+        & (100 * F.col("high") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("low")))
+    enough = materialise(met.groupBy("doc", "to").agg(F.count("*").alias("c"), F.min("least").alias("least"), F.min("asked").alias("asked"))
+                         .where("c >= least(asked, least)").select("doc", "to"), "jaccard-enough")
+    opened = live.join(enough, "doc").select("token", "to", "doc", "n", "asked")
+    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m"), F.col("asked").alias("z"))
+    return (opened.join(inside, ["token", "to"]).where(alike(F.col("n"), F.col("m")))
+            .groupBy("doc", "y").agg(F.count("*").alias("c"), F.min("asked").alias("asked"), F.min("z").alias("z"))
+            .where("c >= least(asked, z)").select(F.least("doc", "y").alias("a"), F.greatest("doc", "y").alias("b")))
+
+
+def every_pair(held: DataFrame) -> DataFrame:
+    """All pairs of classes that share what their prefixes ask for: as many rows at
+    least as there are links."""
+    other = held.select("token", F.col("doc").alias("y"), F.col("n").alias("m"), F.col("asked").alias("z"))
+    return (held.join(other, "token").where((F.col("doc") < F.col("y")) & alike(F.col("n"), F.col("m")))
+            .groupBy("doc", "y").agg(F.count("*").alias("c"), F.min("asked").alias("asked"), F.min("z").alias("z"))
+            .where("c >= least(asked, z)").select(F.col("doc").alias("a"), F.col("y").alias("b")))
+
+
+def join(docs: DataFrame, ngram: int = NGRAM, count_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text):
+    component_id is the smallest doc_id reachable by links of similarity 0.8 or
+    more.  With ``count_links`` also n_links, the number of other classes that
+    the row's class links to; all links are then met one by one, which takes as
+    long as there are links (a large group of near copies has the square of its size).
 
     Fewer words than five are one shingle; null and empty texts have an empty
     set, link to nothing and are their own component.  Rows of equal sets are one
@@ -194,29 +225,45 @@ def join(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
     they are in one component.  Rows without doc_id get component null."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     facts = materialise(docs.mapInArrow(
-        _facts(ngram), "doc_id long, n long, key binary, mins array<bigint>, bucket int, seen long"), "jaccard-facts")
-    rows = facts.where("bucket is null").select("doc_id", "n", "key", "mins")
+        _facts(ngram), "doc_id long, n long, key binary, bits array<bigint>, bucket int, seen long"), "jaccard-facts")
+    rows = facts.where("bucket is null").select("doc_id", "n", "key", "bits")
     classes = materialise(rows.where("n > 0 and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("mins").alias("mins")), "jaccard-classes")
+        F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-classes")
     sketch = docs.sparkSession.sparkContext.broadcast(frequent(facts))
-    first = materialise(verified(materialise(seeds(classes), "jaccard-seeds"), docs, ngram), "jaccard-links")
-    known = materialise(components(first), "jaccard-known")
-    prefixes = materialise(docs.mapInArrow(_prefixes(sketch, ngram), "doc_id long, key binary, long boolean, tokens array<bigint>")
-                           .join(classes.select("key", F.col("doc").alias("doc_id")), ["key", "doc_id"])
-                           .groupBy(F.col("doc_id").alias("doc"), "key").agg(F.first("long").alias("long"), F.first("tokens").alias("tokens"))
-                           .drop("key"), "jaccard-prefixes")
-    more = verified(materialise(candidates(prefixes, classes, known), "jaccard-candidates"), docs, ngram)
-    links = materialise(first.unionAll(more).distinct(), "jaccard-links")
+    chosen = classes.select("key", F.col("doc").alias("doc_id"))
+    prefixes = materialise(docs.mapInArrow(_prefixes(sketch, ngram), "doc_id long, key binary, n long, asked long, tokens array<bigint>")
+                           .join(chosen, ["key", "doc_id"])
+                           .groupBy("key", "doc_id").agg(*[F.first(c).alias(c) for c in ("n", "asked", "tokens")])
+                           .withColumnRenamed("doc_id", "doc"), "jaccard-prefixes")
+    held = materialise(postings(prefixes), "jaccard-held")
+    if count_links:
+        links = materialise(verified(materialise(near(every_pair(held), classes), "jaccard-near"), docs, ngram), "jaccard-links")
+    else:
+        close = materialise(near(seeds(held), classes), "jaccard-near")
+        # The closest hub first: it makes most components, others are asked where it didn't.
+        closest = materialise(close.groupBy("b").agg(F.min_by("a", F.struct("gap", "a")).alias("a")).select("a", "b"), "jaccard-closest")
+        first = materialise(verified(closest, docs, ngram), "jaccard-links")
+        known = materialise(components(first), "jaccard-known")
+        # A component without a link is its class alone.
+        of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        apart = (close.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").join(closest, ["a", "b"], "left_anti"))
+        second = materialise(verified(materialise(apart, "jaccard-apart"), docs, ngram), "jaccard-links")
+        known = materialise(components(first.unionAll(second)), "jaccard-known")
+        more = near(candidates(held, known), classes).select("a", "b")
+        third = verified(materialise(more, "jaccard-candidates"), docs, ngram)
+        links = materialise(first.unionAll(second).unionAll(third).distinct(), "jaccard-links")
     # A repeated doc_id ties the classes of its rows together.
     same = rows.where("n > 0").join(classes.select("key", "doc"), "key").where("doc_id <> doc").select(
         F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("k1"), F.max("key").alias("k2")).where("k1 <> k2")
     ties = same.join(repeated.select(F.col("doc_id").alias("a")), "a", "left_semi")
     found = materialise(components(links.unionAll(ties)), "jaccard-components")
-    degree = links.select(F.col("a").alias("doc")).unionAll(links.select("b")).groupBy("doc").agg(F.count("*").alias("n_links"))
-    named = materialise(classes.join(found, classes["doc"] == found["node"], "left").join(degree, "doc", "left").select(
-        "key", F.coalesce("component", "doc").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "jaccard-named")
-    return rows.join(named, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = classes.join(found, classes["doc"] == found["node"], "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
+    out = ["doc_id", F.col("n").alias("n_shingles"),
+           F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")]
+    if count_links:
+        degree = links.select(F.col("a").alias("doc")).unionAll(links.select("b")).groupBy("doc").agg(F.count("*").alias("n_links"))
+        named = named.join(degree, "doc", "left")
+        out.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return rows.join(materialise(named.drop("doc"), "jaccard-named"), "key", "left").select(*out)

@@ -274,15 +274,48 @@ def test_jaccard_components(spark, docs):
             i = root[i]
         return i
 
-    ids = sorted(rows)
+    ids, degree = sorted(rows), {}
     for x, i in enumerate(ids):
         for j in ids[x + 1:]:
             a, b = rows[i], rows[j]
             if a and b and 100 * min(len(a), len(b)) >= 80 * max(len(a), len(b)) and 100 * len(a & b) >= 80 * len(a | b):
                 i_, j_ = sorted((find(i), find(j)))
                 root[j_] = i_
+                degree.setdefault(a, set()).add(b)
+                degree.setdefault(b, set()).add(a)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in JJ.join(both).collect()}
     assert got == {i: (len(rows[i]), find(i)) for i in ids}
+    # Links between different sets, each counted.
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in JJ.join(both, count_links=True).collect()}
+    assert got == {i: (find(i), len(degree.get(rows[i], set()) - {rows[i]})) for i in ids}
+
+
+@pytest.mark.parametrize("words_of_all", [0, 40])
+def test_jaccard_components_of_many_small_groups(spark, words_of_all):
+    """Groups at and around the threshold, chained, some with a passage that all texts share."""
+    rng = np.random.default_rng(9)
+    common, rows = [f"c{i}" for i in range(words_of_all)], []
+    for g in range(60):
+        base = [f"g{g}w{i}" for i in range(int(rng.integers(3, 150)))]
+        for _ in range(int(rng.integers(1, 6))):
+            w = list(base)
+            for j in rng.integers(0, len(w), int(rng.integers(0, 1 + len(w) // 30))):
+                w[j] = f"y{len(rows)}"
+            base = w if rng.random() < 0.5 else base
+            rows.append((len(rows), " ".join(common + w)))
+    sets = [shingles(t) for _, t in rows]
+    links = {i: [j for j in range(len(rows)) if i != j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])] for i in range(len(rows))}
+    want = {}
+    for i in links:
+        if i not in want:
+            todo = [i]
+            while todo:
+                j = todo.pop()
+                if j not in want:
+                    want[j] = i
+                    todo += links[j]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in JJ.join(df).collect()} == want
 
 
 def test_components_of_a_path_and_a_star(spark):
