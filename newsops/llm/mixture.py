@@ -58,6 +58,12 @@ def uniform(*key: Column, seed: int = SEED) -> Column:
     return (bits + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
+def odds(p: Column, key: Column) -> Column:
+    """The rank: random odds divided by inclusion odds; null where nothing is left to chance."""
+    u = uniform(key)
+    return F.when(p > 0, u / (1 - u) * (1 - p) / p)
+
+
 def pareto(rows: DataFrame, group: str, size: str, copies: str, key: str, band: int = BAND) -> DataFrame:
     """``rows`` with _times: how often each is taken, floor or ceiling of
     ``copies`` (expected, 0 or more).  In each group the sizes drawn come to what
@@ -67,11 +73,10 @@ def pareto(rows: DataFrame, group: str, size: str, copies: str, key: str, band:
     the same random number, and ties go by key and size.  ``rows`` is read
     several times: pass a narrow table.  Older working columns are replaced."""
     p = F.col("_p")
-    u = uniform(F.col(key))
     rows = rows.drop("_times", "_p", "_q", "_size", "_band", "_g", "_left", "_bands", "_first", "_cum", "_room")
     ranked = (rows.withColumn("_size", F.coalesce(F.col(size), F.lit(0)).cast("double"))
               .withColumn("_times", F.floor(copies)).withColumn("_p", F.col(copies) - F.floor(copies))
-              .withColumn("_q", F.when(p > 0, u / (1 - u) * (1 - p) / p)))
+              .withColumn("_q", odds(p, F.col(key))))
     # _q / (1 + _q) lies in (0, 1), so equal steps of it are bands.
     asked = ranked.where("_p > 0").groupBy(F.col(group).alias("_g")).agg(
         F.sum(F.col("_p") * F.col("_size")).alias("_left"), F.ceil(F.count("*") / F.lit(band)).alias("_bands"))
@@ -110,3 +115,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
                         F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumn(
         "copies", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     return pareto(aimed, "source", "size", "copies", "doc_id").withColumn("taken", F.col("_times") * F.col("size"))
+
+
+def _place(copies: str, key: str) -> Column:
+    p = F.col(copies) - F.floor(copies)
+    return F.struct(odds(p, F.col(key)).alias("q"), F.col(key).alias("k"))
+
+
+def boundaries(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per source of a mix: its copies, the first place left out of the draw
+    (_out) and the last one in it (_in).  All places before _out are drawn; _in may
+    lie behind it (the document that fills what the others leave open)."""
+    drawn = F.col("_times") > F.floor("copies")
+    return mixed.groupBy("source").agg(
+        F.first("copies").alias("_copies"), F.min(F.when(~drawn, _place("copies", key))).alias("_out"),
+        F.max(F.when(drawn, _place("copies", key))).alias("_in"))
+
+
+def with_times(docs: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``docs`` with ``times``, told from the boundaries of their mix: one row per
+    source is joined, no text is shuffled while these are few.  Rows of one source with
+    the same key have the same times: if one of them is drawn, all are."""
+    joined = docs.join(edges.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+    at = _place("_copies", key)
+    drawn = (F.col("_copies") > F.floor("_copies")) & (
+        F.coalesce(at < F.col("_out"), F.lit(True)) | F.coalesce(at == F.col("_in"), F.lit(False)))
+    return joined.withColumn("times", (F.floor("_copies") + drawn.cast("int")).cast("long")).select(*docs.columns, "times")

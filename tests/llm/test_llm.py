@@ -252,6 +252,16 @@ def test_passage_dedup_on_odd_rows(spark):
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == want
 
 
+def test_times_from_the_boundaries_of_a_mix(spark, docs):
+    rows = docs.select("doc_id", "source", "text").unionAll(odd(spark).where("doc_id is not null").select(F.col("doc_id") + 10**6, "source", "text"))
+    rows = rows.unionAll(rows.where("source is not null").select(F.col("doc_id") + 10**7, F.lit(None).cast("string"), "text"))
+    mixed = MX.mix(rows).cache()
+    want = {(r["doc_id"]): r["t"] for r in mixed.groupBy("doc_id").agg(F.max("_times").alias("t")).collect()}
+    got = MX.with_times(rows, MX.boundaries(mixed), "doc_id").collect()
+    assert len(got) == rows.count() and all(r["times"] == want[r["doc_id"]] for r in got)
+    assert {r["times"] for r in got} > {1}
+
+
 def shingles(text):
     w = words((text or "").translate(LOWER))
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
