@@ -35,10 +35,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     that share it, the first by text, source and lang).  Rows without doc_id stay."""
     docs = docs.select(*COLUMNS)
     groups = materialise(JJ.join(docs), "pipeline-groups")
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    # Ids alone are grouped; texts are shuffled only where a doc_id repeats.
+    gone = materialise(groups.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
+    repeated = materialise(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-repeated")
+    stay = docs.join(gone, "doc_id", "left_anti")
     one = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
-    stay = docs.join(first, "doc_id", "left_semi").withColumn("_row", F.row_number().over(one)).where("_row = 1")
-    return stay.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+    first = stay.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(one)).where("_row = 1")
+    return stay.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(first.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +61,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with ``times``."""
     keyed = docs.select(*COLUMNS).withColumn("_key", F.xxhash64(*COLUMNS))
-    taken = MX.mix(keyed.select(F.col("_key").alias("doc_id"), "source", "text"))
-    times = taken.groupBy(F.col("doc_id").alias("_key")).agg(F.max("_times").alias("times")).where("times > 0")
-    return keyed.join(times, "_key").select(*COLUMNS, "times")
+    mixed = MX.mix(keyed.select(F.col("_key").alias("doc_id"), "source", "text"))
+    edges = materialise(MX.boundaries(mixed), "pipeline-boundaries")
+    return MX.with_times(keyed, edges, "_key").where("times > 0").select(*COLUMNS, "times")
 
 
 STAGES = [("language ID", language_id), ("near duplicates", near_duplicates),
