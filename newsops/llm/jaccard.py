@@ -186,21 +186,25 @@ def candidates(held: DataFrame, known: DataFrame) -> DataFrame:
     rows = materialise(held.drop("hub", "hub_n").join(named, "doc", "left").withColumns({
         "component": F.coalesce("component", "doc"), "members": F.coalesce("members", F.lit(1).cast("long"))}), "jaccard-rows")
     per = rows.groupBy("token", "component").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.min("asked").alias("least"), F.first("members").alias("members"))
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("asked").alias("least"), F.first("members").alias("members"), F.count("*").alias("df"))
     mixed = per.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
     per = materialise(per.join(mixed, "token"), "jaccard-per")
     live = materialise(rows.join(per.select("token").distinct(), "token", "left_semi"), "jaccard-live")
-    into = per.select("token", F.col("component").alias("to"), "low", "high", "least", F.col("members").alias("to_members"))
+    into = per.select("token", F.col("component").alias("to"), "low", "high", "least", "df", F.col("members").alias("to_members"))
     met = live.join(into, "token").where(
         (F.struct("to_members", "to") > F.struct("members", "component"))
         & (100 * F.col("high") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("low")))
-    enough = materialise(met.groupBy("doc", "to").agg(F.count("*").alias("c"), F.min("least").alias("least"), F.min("asked").alias("asked"))
-                         .where("c >= least(asked, least)").select("doc", "to"), "jaccard-enough")
-    opened = live.join(enough, "doc").select("token", "to", "doc", "n", "asked")
-    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m"), F.col("asked").alias("z"))
-    return (opened.join(inside, ["token", "to"]).where(alike(F.col("n"), F.col("m")))
-            .groupBy("doc", "y").agg(F.count("*").alias("c"), F.min("asked").alias("asked"), F.min("z").alias("z"))
-            .where("c >= least(asked, z)").select(F.least("doc", "y").alias("a"), F.greatest("doc", "y").alias("b")))
+    # Any partner inside shares ``must`` of these shingles: all but the must - 1 most
+    # frequent ones are enough to meet it.
+    must = F.least("asked", "least")
+    enough = materialise(met.groupBy("doc", "n", "to").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"), F.min("least").alias("least"), F.min("asked").alias("asked"))
+        .where(F.size("t") >= must)
+        .select("doc", "n", "to", F.explode(F.slice("t", F.lit(1), (F.size("t") - must + 1).cast("int"))).alias("t"))
+        .select("doc", "n", "to", "t.token"), "jaccard-enough")
+    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m"))
+    return enough.join(inside, ["token", "to"]).where(alike(F.col("n"), F.col("m"))).select(
+        F.least("doc", "y").alias("a"), F.greatest("doc", "y").alias("b")).distinct()
 
 
 def every_pair(held: DataFrame) -> DataFrame:
