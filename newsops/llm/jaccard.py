@@ -4,14 +4,14 @@ A document's set holds its distinct 5-word shingles as 64-bit hashes.  Prefixes
 follow one order of all shingles: those of a sketch's frequent buckets last, by
 hash otherwise.  Two sets of similarity 0.8 share at least l shingles of their
 prefixes of n - ceil(0.8 n) + l; a document whose prefix looks costly takes the
-longer one (larger l), and two must share the smaller of their l before their
-whole sets are compared.
+longer one (larger l), and two that link share the smaller of their l.
 
 Equal sets are one class from the start.  A large group of near copies must not
 be compared pair by pair to become one component: each class is first compared
 with the least one that holds a common prefix shingle.  What then lies in
-different components is met by counts of (class, component) before members are
-looked at.  Every pair passes a bit sketch (an exact bound of the difference)
+different components must reach l with (class, component) counts before members
+are looked at, by all but the l - 1 most frequent of the shingles counted; where
+all links are asked for, pairs are counted themselves.  Every pair passes a bit sketch (an exact bound of the difference)
 before its sets are fetched."""
 from __future__ import annotations
 
