@@ -59,3 +59,14 @@ def test_ten_thousand_terms(spark):
     low = {r["doc_id"]: r["text"].lower() for r in docs.collect() if r["text"]}
     got = {tuple(r) for r in D.occurrences(docs, "doc_id", "text", spark.createDataFrame([(t,) for t in terms], "term string")).collect()}
     assert got == {(i, t) for i, text in low.items() for t in terms if t in text}
+
+
+def test_words_are_not_shuffled_where_terms_fit(spark, monkeypatch):
+    """Found words are many more than terms: they are met where the texts lie."""
+    texts = spark.createDataFrame([(i, f"x{i}abcd y{i}abcd the end") for i in range(60)] + [(60, "z" * 70 + "abcd" + "y" * 70), (61, "then d")], "id long, t string")
+    terms = spark.createDataFrame([("abcd",), ("the ",), (" end",)], "term string")
+    write, written = D.materialise, []
+    monkeypatch.setattr(D, "materialise", lambda df, name: written.append(name) or write(df, name))
+    found = D.occurrences(texts, "id", "t", terms, rows=10)
+    assert {tuple(r) for r in found.collect()} == {(i, x) for i in range(60) for x in ("abcd", "the ", " end")} | {(60, "abcd")}
+    assert "dictionary-vocabulary" not in written and "dictionary-words" not in written
