@@ -44,6 +44,14 @@ def passes(filter_: bytes, hashes: pd.Series) -> np.ndarray:
     return bits[_places(hashes, len(bits))].all(axis=1)
 
 
+def by_file(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a file in one task, files dealt over all cores: hashes are small, so
+    that Spark would else put hundreds of files into one task, one after the other."""
+    spark = df.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(width, column)
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """The files of the store; none where it is absent."""
     where = os.path.join(path, "manifest")
@@ -72,7 +80,7 @@ def candidates(hashes: DataFrame, path: str, without: str | None = None) -> Data
     def tested(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         hit = len(left) and len(right) and passes(right["bits"].iloc[0], left["hash"]).any()
         return pd.DataFrame({"file": [right["of"].iloc[0]] if hit else []}, dtype=object)
-    return pairs.groupBy("file").cogroup(filters.groupBy("of")).applyInPandas(tested, "file string")
+    return by_file(pairs, "file").groupBy("file").cogroup(by_file(filters, "of").groupBy("of")).applyInPandas(tested, "file string")
 
 
 def seen_among(hashes: DataFrame, path: str, without: str | None = None) -> DataFrame:
@@ -87,26 +95,32 @@ def seen_among(hashes: DataFrame, path: str, without: str | None = None) -> Data
 
 
 def drop_seen(df: DataFrame, path: str, key: str = "hash", without: str | None = None) -> DataFrame:
-    """Rows whose ``key`` the store lacks (a null key is never seen)."""
-    return df.join(seen_among(df.select(F.col(key).alias("hash")), path, without).withColumnRenamed("hash", key), key, "left_anti").select(*df.columns)
+    """Rows whose ``key`` the store lacks (a null key is never seen).  The seen ones
+    are written first: where they are few, Spark broadcasts them and no row moves."""
+    known = materialise(seen_among(df.select(F.col(key).alias("hash")), path, without), "seen-among")
+    return df.join(known.withColumnRenamed("hash", key), key, "left_anti").select(*df.columns)
 
 
-def append(hashes: DataFrame, path: str, run: str | None = None, file_rows: int = FILE_ROWS) -> int:
+def append(hashes: DataFrame, path: str, run: str | None = None, file_rows: int = FILE_ROWS, fresh: bool = False) -> int:
     """Add the hashes that the store lacks; returns how many.  The manifest is
     written last and files without a row in it are never read, so a run that dies
-    halfway adds nothing; one with the ``run`` id of an earlier run neither."""
+    halfway adds nothing; one with the ``run`` id of an earlier run neither.
+    ``fresh``: the store is known to lack them (``drop_seen`` told), so it isn't asked again."""
     spark, run = hashes.sparkSession, run or uuid.uuid4().hex
     if not manifest(spark, path).where(F.col("run") == run).isEmpty():
         return 0
-    mine = materialise(hashes.select("hash").where("hash is not null").distinct(), "seen-new")
-    fresh = mine.join(seen_among(mine, path), "hash", "left_anti").withColumn("prefix", F.substring("hash", 1, PREFIX))
+    mine = hashes.select("hash").where("hash is not null").distinct()
+    if not fresh:
+        mine = materialise(mine, "seen-new")
+        mine = mine.join(seen_among(mine, path), "hash", "left_anti")
+    new = mine.withColumn("prefix", F.substring("hash", 1, PREFIX))
     # Ranges of hashes: a prefix goes to one task, or to several where it is large.
     where = os.path.join(path, "data", f"run={run}-{uuid.uuid4().hex}")
-    (fresh.repartitionByRange("hash").sortWithinPartitions("prefix", "hash")
+    (new.repartitionByRange("hash").sortWithinPartitions("prefix", "hash")
      .write.option("maxRecordsPerFile", file_rows).partitionBy("prefix").parquet(where))
     if not path_exists(spark, os.path.join(where, "prefix=*")):
         return 0
     written = spark.read.schema("hash string").parquet(where).select("hash", F.col("_metadata.file_path").alias("file"), F.lit(run).alias("run"))
-    rows = materialise(written.groupBy("file").applyInPandas(_summary, MANIFEST), "seen-manifest")
+    rows = materialise(by_file(written, "file").groupBy("file").applyInPandas(_summary, MANIFEST), "seen-manifest")
     rows.write.mode("append").parquet(os.path.join(path, "manifest"))
     return rows.agg(F.sum("n")).first()[0]

@@ -56,7 +56,7 @@ def store_dedup(df: DataFrame, out: str, store: str, checkpoint: str, seq: str =
         spark, run = batch.sparkSession, f"batch-{batch_id}"
         rows = materialise(dedup.dedup_first(batch.withColumn("hash", article_hash(key)), "hash", seq), "stream-batch")
         seen.drop_seen(rows, store, "hash", without=run).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        seen.append(spark.read.parquet(f"{out}/batch_id={batch_id}").select("hash"), store, run)
+        seen.append(spark.read.parquet(f"{out}/batch_id={batch_id}").select("hash"), store, run, fresh=True)
 
     return df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
 

@@ -63,3 +63,20 @@ def test_runs_that_come_again_or_die_add_nothing(spark, store, monkeypatch):
 def test_absent_store(spark, tmp_path):
     assert seen.seen_among(hashes(spark, ["ab"]), str(tmp_path / "none")).count() == 0
     assert seen.drop_seen(hashes(spark, ["ab", None]), str(tmp_path / "none")).count() == 2
+
+
+def test_a_batch_asks_the_store_once(spark, tmp_path, monkeypatch):
+    """What the store lacks is told by drop_seen; append doesn't look it up again."""
+    from newsops.sources import seen
+    from newsops.streaming import stream
+
+    ask, asked = seen.seen_among, []
+    monkeypatch.setattr(seen, "seen_among", lambda *a, **k: asked.append(1) or ask(*a, **k))
+    feed, out, store, state = (str(tmp_path / n) for n in ("feed", "out", "store", "state"))
+    for k, titles in enumerate([["a", "b", "a"], ["b", "c"]]):
+        spark.createDataFrame([(10 * k + i, t) for i, t in enumerate(titles)], "seq bigint, title string").write.mode("append").parquet(feed)
+        rows = stream.article_stream(spark, feed, "seq bigint, title string", "parquet")
+        stream.run_available(stream.store_dedup(rows, out, store, state))
+    got = stream.read_batches(spark, out, "seq bigint, title string, hash string")
+    assert sorted((r["seq"], r["title"]) for r in got.collect()) == [(0, "a"), (1, "b"), (11, "c")]
+    assert len(asked) == 2 and seen.manifest(spark, store).agg({"n": "sum"}).first()[0] == 3
