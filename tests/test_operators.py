@@ -419,3 +419,14 @@ def test_shares_of_large_counts_dont_overflow(spark):
     counts = spark.createDataFrame([("a", 7 * 10**12), ("b", 3 * 10**12 + 1)], "c string, _total long")
     got = {r["c"]: r["n"] for r in counts.select("c", sampling._share_size(0.2, "c").alias("n")).collect()}
     assert sum(got.values()) == -(-(10**13 + 1) * 2 // 10) and got["a"] in (14 * 10**11, 14 * 10**11 + 1)
+
+
+def test_daily_run_derives_its_dataset_once(spark, monkeypatch):
+    from newsops.plans import daily
+
+    monkeypatch.setattr(daily, "train_target", lambda df, target, *a, **k: spark.createDataFrame(
+        [(target, len(df.inputFiles()), df.count())], "target string, files int, n int"))
+    rows = spark.createDataFrame([(1, "a", "positive", "critique", "US:CORN"), (2, "b", "negative", None, None)],
+                                 "doc_id long, text string, label string, importance string, correlations string")
+    got = daily.daily_run(rows).collect()
+    assert [r["target"] for r in got] == ["label", "importance", "correlations"] and all(r["files"] > 0 and r["n"] == 2 for r in got)
