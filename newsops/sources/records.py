@@ -14,11 +14,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from newsops.session import materialise
 
 FLUSH_BYTES = 1 << 22
+SLICE_BYTES = 1 << 22
 WHOLE, TAIL, MIDDLE, HEAD = range(4)
 
 
@@ -120,9 +122,21 @@ def _pieces(spark: SparkSession, path, separator: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def _slices(batch: pa.RecordBatch):
+    """The batch in slices of about SLICE_BYTES of text: Python's strings are a
+    copy, of which one slice is held at a time, however long its rows are."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def _by_block(batches):
-    """((file, block), pieces) of consecutive rows."""
-    for batch in batches:
+    """((file, block), pieces) of consecutive rows, at most a slice of a batch at once."""
+    for batch in (part for whole in batches for part in _slices(whole)):
         files, blocks, values = (c.to_pylist() for c in batch.columns)
         first = 0
         for k in range(1, len(values) + 1):

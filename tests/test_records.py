@@ -4,6 +4,7 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,13 @@ def test_quotes_within_cells_open_nothing(spark, split, tmp_path):
     got, ends = R.cut(spark, str(tmp_path / "a.csv"), R.Csv())
     assert got.count() == 120 and not ends.first()["unclosed"]
     assert got.where(F.col("number") == 2).first()["raw"] == '5" pipe,positive'
+
+
+def test_strings_are_held_a_slice_at_a_time(monkeypatch):
+    """A batch of long rows becomes Python strings in bounded parts, whole and in order."""
+    monkeypatch.setattr(R, "SLICE_BYTES", 1000, raising=False)
+    values = ["x" * n for n in (400, 500, 300, 5000, 0, 10, 990)] + [None] + ["é" * 300] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(values)), pa.array([0] * 9 + [7] * (len(values) - 9)), pa.array(values)], names=["file", "block", "value"])
+    parts = list(R._by_block([batch, batch.slice(0, 0)]))
+    assert [v for _, p in parts for v in p] == values and {k for k, _ in parts} == {("f", 0), ("f", 7)}
+    assert all(len(p) == 1 or sum(len((v or "").encode()) for v in p) <= 1000 for _, p in parts)
