@@ -16,6 +16,7 @@ before its sets are fetched."""
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ SHORT, LONG = 5, 15          # percent of the set: matches asked of a short and
 SKETCH = 1 << 16
 COSTLY = 0.05                # a prefix with this share of frequent-looking shingles, beyond twice what chance gives, is costly
 BITS = 1024                  # of the sketch that bounds the difference of two sets
+FOLDS = 4                    # numbers of 64 bits of its short form
 
 
 def sets(column: pa.Array, ngram: int = NGRAM):
@@ -135,15 +137,26 @@ def alike(n1, n2):
     return 100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)
 
 
+def apart(n1, n2):
+    """Shingles that linked sets of these sizes differ in, at most."""
+    return (100 - PERCENT) * (n1 + n2) / (100 + PERCENT) + 1e-6
+
+
+def folded(classes: DataFrame, doc: str, name: str) -> DataFrame:
+    """``doc`` of each class with its sketch's short form, ``name``0 and on: places
+    that many bits share, modulo 2, which bounds the difference of two sets too."""
+    fold = lambda j: reduce(lambda x, y: x.bitwiseXOR(y), [F.get("bits", F.lit(i)) for i in range(j, BITS // 64, FOLDS)])
+    return classes.select(F.col("doc").alias(doc), *[fold(j).alias(f"{name}{j}") for j in range(FOLDS)])
+
+
 def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """``pairs`` (a, b) whose sketches allow a link, with ``gap``, the bits they differ in.
     Of sizes n and m, linked sets differ in (n + m) / 9 shingles at most."""
     side = lambda c: classes.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     gap = sum((F.bit_count(F.get("bitsa", F.lit(i)).bitwiseXOR(F.get("bitsb", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
-    apart = (100 - PERCENT) * (F.col("na") + F.col("nb")) / (100 + PERCENT)
-    return both.where(alike(F.col("na"), F.col("nb"))).select("a", "b", gap.alias("gap"), apart.alias("apart")).where(
-        "gap <= apart + 1e-6").select("a", "b", "gap")
+    return both.where(alike(F.col("na"), F.col("nb"))).select("a", "b", gap.alias("gap"), apart(F.col("na"), F.col("nb")).alias("most")).where(
+        "gap <= most").select("a", "b", "gap")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, ngram: int) -> DataFrame:
@@ -163,9 +176,8 @@ def postings(prefixes: DataFrame) -> DataFrame:
     """(token, doc, n, asked, hub, hub_n) of prefix shingles that several classes
     hold; hub is the least of them."""
     rows = prefixes.select(F.explode("tokens").alias("token"), "doc", "n", "asked")
-    hubs = rows.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("hub"), F.max("doc").alias("last")).where("hub.doc <> last")
-    return rows.join(hubs, "token").select(
-        "token", "doc", "n", "asked", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"))
+    hubs = rows.groupBy("token").agg(F.min("doc").alias("hub"), F.min_by("n", "doc").alias("hub_n"), F.max("doc").alias("last")).where("hub <> last")
+    return rows.join(hubs, "token").select("token", "doc", "n", "asked", "hub", "hub_n")
 
 
 def seeds(held: DataFrame) -> DataFrame:
@@ -174,13 +186,15 @@ def seeds(held: DataFrame) -> DataFrame:
         F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
 
 
-def candidates(held: DataFrame, known: DataFrame) -> DataFrame:
+def candidates(held: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes in different components of ``known`` (node, component) that
     share what their prefixes ask for.
 
     A class that links into a component shares as much with all its prefixes
     together, so (class, component) is counted first, from the smaller component's
-    side; members are met only where that count is reached."""
+    side; members are met only where that count is reached.  Near copies that just
+    miss a link meet every member of a large component: the short sketches are
+    compared in the join itself, so that it makes no row of such a pair."""
     sizes = known.groupBy("component").agg(F.count("*").alias("members"))
     named = known.join(sizes, "component").select(F.col("node").alias("doc"), "component", "members")
     rows = materialise(held.drop("hub", "hub_n").join(named, "doc", "left").withColumns({
@@ -200,10 +214,12 @@ def candidates(held: DataFrame, known: DataFrame) -> DataFrame:
     enough = materialise(met.groupBy("doc", "n", "to").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"), F.min("least").alias("least"), F.min("asked").alias("asked"))
         .where(F.size("t") >= must)
-        .select("doc", "n", "to", F.explode(F.slice("t", F.lit(1), (F.size("t") - must + 1).cast("int"))).alias("t"))
-        .select("doc", "n", "to", "t.token"), "jaccard-enough")
-    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m"))
-    return enough.join(inside, ["token", "to"]).where(alike(F.col("n"), F.col("m"))).select(
+        .join(folded(classes, "doc", "f"), "doc")
+        .select("doc", "n", "to", *[f"f{j}" for j in range(FOLDS)], F.explode(F.slice("t", F.lit(1), (F.size("t") - must + 1).cast("int"))).alias("t"))
+        .select("doc", "n", "to", *[f"f{j}" for j in range(FOLDS)], "t.token"), "jaccard-enough")
+    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m")).join(folded(classes, "y", "g"), "y")
+    gap = sum((F.bit_count(F.col(f"f{j}").bitwiseXOR(F.col(f"g{j}"))) for j in range(FOLDS)), F.lit(0))
+    return enough.join(inside, ["token", "to"]).where(alike(F.col("n"), F.col("m")) & (gap <= apart(F.col("n"), F.col("m")))).select(
         F.least("doc", "y").alias("a"), F.greatest("doc", "y").alias("b")).distinct()
 
 
@@ -250,11 +266,11 @@ def join(docs: DataFrame, ngram: int = NGRAM, count_links: bool = False) -> Data
         known = materialise(components(first), "jaccard-known")
         # A component without a link is its class alone.
         of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-        apart = (close.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        others = (close.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
                  .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").join(closest, ["a", "b"], "left_anti"))
-        second = materialise(verified(materialise(apart, "jaccard-apart"), docs, ngram), "jaccard-links")
+        second = materialise(verified(materialise(others, "jaccard-apart"), docs, ngram), "jaccard-links")
         known = materialise(components(first.unionAll(second)), "jaccard-known")
-        more = near(candidates(held, known), classes).select("a", "b")
+        more = near(candidates(held, known, classes), classes).select("a", "b")
         third = verified(materialise(more, "jaccard-candidates"), docs, ngram)
         links = materialise(first.unionAll(second).unionAll(third).distinct(), "jaccard-links")
     # A repeated doc_id ties the classes of its rows together.

@@ -300,6 +300,18 @@ def test_jaccard_components(spark, docs):
     assert got == {i: (find(i), len(degree.get(rows[i], set()) - {rows[i]})) for i in ids}
 
 
+def test_jaccard_near_misses_of_a_large_component_make_no_pairs(spark):
+    rng = np.random.default_rng(3)
+    far = lambda: [int(x) for x in rng.integers(-1 << 62, 1 << 62, JJ.FOLDS)] + [0] * (JJ.BITS // 64 - JJ.FOLDS)
+    none = [0] * (JJ.BITS // 64)
+    rows = [(d, none) for d in range(1, 41)] + [(d, far()) for d in range(101, 121)] + [(200, none)]
+    classes = spark.createDataFrame([(d, 20, bits) for d, bits in rows], "doc long, n long, bits array<bigint>")
+    held = spark.createDataFrame([(7, d, 20, 1, 1, 20) for d, _ in rows], "token long, doc long, n long, asked long, hub long, hub_n long")
+    known = spark.createDataFrame([(d, 1) for d in range(1, 41)], "node long, component long")
+    got = {(r["a"], r["b"]) for r in JJ.candidates(held, known, classes).collect()}
+    assert got == {(d, 200) for d in range(1, 41)}
+
+
 @pytest.mark.parametrize("words_of_all", [0, 40])
 def test_jaccard_components_of_many_small_groups(spark, words_of_all):
     """Groups at and around the threshold, chained, some with a passage that all texts share."""
