@@ -24,6 +24,8 @@ from newsops.session import materialise
 
 ORDER = 5
 SHARD_ROWS = 4_000_000
+#: Labelled ids in one broadcast.
+BLOCK_ROWS = 500_000
 QUANTILE = 0.99
 CHUNK_CHARS = 1 << 17
 START = "\x02"
@@ -64,9 +66,9 @@ def _count(order: int):
     def scan(batches):
         sums: Counter = Counter()
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                own = [t for t, x in zip(texts, langs) if x == lang]
+            texts, kinds = batch.column(0).to_pylist(), list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            for kind in sorted(set(kinds)):
+                own = [t for t, x in zip(texts, kinds) if x == kind]
                 for rows in chunks(own):
                     points, real = padded([own[i] for i in rows], order)
                     ends = np.flatnonzero(real)
@@ -76,11 +78,11 @@ def _count(order: int):
                     h = hashes(points, ends, order)
                     _, at, n = np.unique(h, return_index=True, return_counts=True)
                     for k, c in zip(key[at].tolist(), n.tolist()):
-                        sums[lang, k] += c
-        items = [(lang, k.decode("utf-32-le", "surrogatepass"), n) for (lang, k), n in sums.items()]
-        cols = list(zip(*items)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())],
-                                         names=["lang", "g", "c"])
+                        sums[kind, k] += c
+        items = [(*kind, k.decode("utf-32-le", "surrogatepass"), n) for (kind, k), n in sums.items()]
+        cols = list(zip(*items)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.string(), pa.bool_(), pa.string(), pa.int64()))],
+                                         names=["lang", "good", "g", "c"])
     return scan
 
 
@@ -259,41 +261,52 @@ def _score(known, kinds: list[str]):
     return scan
 
 
+def counted(taught: DataFrame, order: int) -> DataFrame:
+    """(lang, g, good, c): the grams of ``taught`` (text, lang, good), how often trusted
+    texts have each, and all of them.  One pass over the texts counts both."""
+    return materialise(taught.where("text <> '' and good is not null").select("text", F.coalesce("lang", F.lit("")).alias("lang"), "good").mapInArrow(
+        _count(order), "lang string, good boolean, g string, c long").groupBy("lang", "g").agg(
+        F.coalesce(F.sum(F.when(F.col("good"), F.col("c"))), F.lit(0).cast("long")).alias("good"), F.sum("c").alias("c")), "quality-grams")
+
+
 def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: int = SHARD_ROWS,
           rejected: DataFrame | None = None) -> DataFrame:
     """(doc_id, lang, perplexity) of every row of ``docs`` (doc_id, text, lang), by a
     model of ``trusted`` (text, lang); perplexity per character.  Null and empty
     texts, and languages without trusted text, have none.  Null lang is a
     language of its own (written '').  With ``rejected`` (text, lang) also mixed:
-    perplexity by a model of both, null for languages without rejected text.
+    perplexity by a model of both, null for languages without rejected text."""
+    taught = trusted.select("text", "lang", F.lit(True).alias("good"))
+    if rejected is not None:
+        taught = taught.unionAll(rejected.select("text", "lang", F.lit(False)))
+    return scored(docs, taught, order, shard_rows, rejected is not None)
+
+
+def scored(docs: DataFrame, taught: DataFrame, order: int = ORDER, shard_rows: int = SHARD_ROWS, mixed: bool = True) -> DataFrame:
+    """score() by ``taught`` (text, lang, good), trusted and rejected texts together.
 
     The driver holds one shard of ``shard_rows`` (hash, weight) at a time.  Every
     shard takes a pass over the documents; passes after the first cost time, and
     ``doc_id``, language and two numbers of each document on disk."""
-    named = F.coalesce("lang", F.lit(""))
-    def counted(texts, name):
-        return materialise(texts.where("text <> ''").select("text", named.alias("lang")).mapInArrow(
-            _count(order), "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")), name)
-
-    grams, kinds = counted(trusted, "quality-grams"), [""]
-    if rejected is not None:
-        bad, kinds = counted(rejected, "quality-rejected"), ["", MIXED]
-        both = grams.join(F.broadcast(bad.select("lang").distinct()), "lang", "left_semi").unionAll(bad)
-        grams = materialise(grams.unionAll(both.groupBy(F.concat(F.lit(MIXED), "lang").alias("lang"), "g").agg(F.sum("c").alias("c"))), "quality-both")
-    full = materialise(model(grams, order), "quality-model")
-    shards = max(1, -(-full.where("k > 0").count() // shard_rows))
+    named, kinds = F.coalesce("lang", F.lit("")), ["", MIXED] if mixed else [""]
+    counts = counted(taught, order)
+    grams = counts.where("good > 0").select("lang", "g", F.col("good").alias("c"))
+    if mixed:
+        bad = materialise(counts.where("c > good").select("lang").distinct(), "quality-rejected")
+        grams = grams.unionAll(counts.join(F.broadcast(bad), "lang").select(F.concat(F.lit(MIXED), "lang").alias("lang"), "g", "c"))
+    full = model(grams, order)
+    keyed = materialise(full.where("k > 0").select("lang", "k", "g", F.col("logb").isNotNull().alias("context"), "w").mapInArrow(
+        _keyed, "h long, w double"), "quality-weights")
+    unseen = materialise(full.where("k = 0").select(F.col("lang").alias("_model"), F.col("w").alias("_unseen")), "quality-unseen")
+    shards = max(1, -(-keyed.count() // shard_rows))
     # pmod of the unsigned hash, as Scorer.get has it.
     which = F.expr(f"cast(pmod(cast(h as decimal(20)) + if(h < 0, 18446744073709551616BD, 0BD), {shards}) as int)")
-    keyed = full.where("k > 0").select("lang", "k", "g", F.col("logb").isNotNull().alias("context"), "w").mapInArrow(_keyed, "h long, w double")
-    if shards > 1:
-        # Each shard's rows lie together.
-        keyed = materialise(keyed.withColumn("shard", which).repartitionByRange("shard"), "quality-weights")
     out = docs.select("text", named.alias("lang"), "doc_id", F.xxhash64("text").alias("h"), F.length("text").alias("chars"))
     totals = [f"total{k}" for k in range(len(kinds))]
     schema = f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, chars int, " + ", ".join(f"{t} double" for t in totals)
     sums = None
     for s in range(shards):
-        rows = (keyed if shards == 1 else keyed.where(F.col("shard") == s)).select("h", "w").toArrow()
+        rows = (keyed if shards == 1 else keyed.where(which == s)).toArrow()
         scorer = Scorer.shard(rows["h"].to_numpy().view(np.uint64), rows["w"].to_numpy(), order, s, shards)
         part = out.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(scorer), kinds), schema)
         part = part if shards == 1 else materialise(part, "quality-sums")
@@ -304,26 +317,38 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: i
             *[(F.sum(t) / F.count("*") * shards).alias(t) for t in totals], F.count("*").alias("n")).select(
             "lang", "doc_id", "chars", *totals, F.explode(F.sequence(F.lit(1), (F.col("n") / shards).cast("int"))))
     for kind, total, name in zip(kinds, totals, ("perplexity", "mixed")):
-        unseen = full.where("k = 0").select(F.col("lang").alias("_model"), F.col("w").alias("_unseen"))
         sums = sums.join(F.broadcast(unseen), F.concat(F.lit(kind), "lang") == F.col("_model"), "left").withColumn(name, F.when(
             F.col("chars") > 0, F.exp(-(F.col(total) / F.col("chars") + F.col("_unseen"))))).drop("_model", "_unseen")
     return sums.select("doc_id", "lang", *["perplexity", "mixed"][:len(kinds)])
 
 
+def labelled(docs: DataFrame, known: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows of ``docs`` with what the written table ``known`` has of their doc_id.  Ids
+    go to where the texts lie, in as many broadcast blocks as they need; each
+    block after the first takes one more scan of ``docs``, and no text is shuffled."""
+    blocks = max(1, -(-known.count() // block_rows))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    out = None
+    for b in range(blocks):
+        some = docs.join(F.broadcast(known if blocks == 1 else known.where(part == b)), "doc_id")
+        out = some if out is None else out.unionAll(some)
+    return out
+
+
 def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """classify()'s rows with gain, the log of perplexity over mixed, and its limit
     most_gain."""
-    known = labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy("doc_id").agg(
+    known = materialise(labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy("doc_id").agg(
         F.min(F.coalesce(F.expr("quality = 1 and coalesce(toxic, 0) = 0"), F.lit(False))).alias("good")).withColumn(
-        "apart", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0)
-    taught = docs.join(known.where("not apart"), "doc_id")
-    scored = materialise(score(docs, taught.where("good"), rejected=taught.where("not good")).withColumn(
+        "apart", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0), "quality-labels")
+    taught = labelled(docs, materialise(known.where("not apart").select("doc_id", "good"), "quality-taught"))
+    found = materialise(scored(docs, taught).withColumn(
         "gain", F.log(F.col("perplexity") / F.col("mixed"))).drop("mixed"), "quality-scores")
     limit = lambda x: F.percentile_approx(x, quantile, 10_000)
-    limits = scored.join(known.where("good"), "doc_id").where("perplexity is not null").groupBy("lang").agg(*[
+    limits = found.join(known.where("good"), "doc_id").where("perplexity is not null").groupBy("lang").agg(*[
         F.coalesce(limit(F.when(F.col("apart"), F.col(c))), limit(F.col(c))).alias(name)
         for c, name in (("perplexity", "threshold"), ("gain", "most_gain"))])
-    return scored.join(limits, "lang", "left").withColumn("keep", F.coalesce(
+    return found.join(limits, "lang", "left").withColumn("keep", F.coalesce(
         (F.col("perplexity") <= F.col("threshold")) & F.coalesce(F.col("gain") <= F.col("most_gain"), F.lit(True)), F.lit(False)))
 
 

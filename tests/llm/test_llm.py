@@ -380,6 +380,27 @@ def test_quality_drops_junk_and_sums_to_one(spark, docs):
         assert abs(sum(p) - 1) < 0.02
 
 
+def test_quality_labels_go_to_the_texts(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (9, None)], "doc_id long, text string")
+    known = spark.createDataFrame([(1, True), (2, False), (9, True), (4, True)], "doc_id long, good boolean")
+    want = [(1, "a", True), (1, "b", True), (2, "c", False), (9, None, True)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for many labels
+    try:
+        for block_rows in (10, 2, 1):
+            got = QL.labelled(docs, known, block_rows)
+            assert sorted(((r["doc_id"], r["text"], r["good"]) for r in got.collect()), key=str) == want
+            assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_quality_counts_both_kinds_in_one_pass(spark):
+    taught = spark.createDataFrame([("aab", "l", True), ("ab", "l", False), (None, "l", True), ("x", None, False)], "text string, lang string, good boolean")
+    got = {(r["lang"], r["g"].replace(QL.START, "^")): (r["good"], r["c"]) for r in QL.counted(taught, 2).collect()}
+    assert got == {("l", "^a"): (1, 2), ("l", "aa"): (1, 1), ("l", "ab"): (1, 2), ("", "^x"): (0, 1)}
+
+
 def test_quality_keeps_its_order_at_every_size(spark, docs):
     labels = spark.read.parquet(f"{DIR}/labels.parquet")
     trusted = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
