@@ -380,6 +380,18 @@ def test_quality_drops_junk_and_sums_to_one(spark, docs):
         assert abs(sum(p) - 1) < 0.02
 
 
+@pytest.mark.parametrize("given, most", [("10000", 1000), ("300", 300)])
+def test_pipeline_sends_texts_in_small_batches(spark, docs, given, most):
+    sizes = lambda batches: (b.select([]).from_pydict({"n": [b.num_rows]}) for b in batches)
+    spark.conf.set(corpus_pipeline.BATCH, given)
+    try:
+        corpus_pipeline.language_id(spark, docs, DIR)
+        got = spark.range(0, 2500, 1, 1).mapInArrow(sizes, "n long").collect()
+        assert max(r["n"] for r in got) == most
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH)
+
+
 def test_quality_labels_go_to_the_texts(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (9, None)], "doc_id long, text string")
     known = spark.createDataFrame([(1, True), (2, False), (9, True), (4, True)], "doc_id long, good boolean")
