@@ -6,19 +6,28 @@ and several probes a table collect candidates, which are ranked by their exact
 cosine.
 
 A given query set meets all rows, in blocks of ``BLOCK`` queries that are
-broadcast.  Each task hashes its own rows, scores the pairs that share a bucket
-and keeps the best few per query, so no vector is shuffled and a bucket with a
-third of all rows is spread over all tasks."""
+broadcast.  Each task hashes its own rows, marks the pairs that share a bucket in
+any table as bits, scores those that may be among the best and keeps the best few
+per query, so no vector is shuffled and a bucket with a third of all rows is
+spread over all tasks.  Work still grows with queries times rows: without
+clusters in the data no shorter list of candidates holds nine tenths of the best."""
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 K = 5
 TABLES, PROBES = 16, 5
 BLOCK = 4096
 PAIRS = 1 << 14
+#: Rows of a task that meet a block of queries at once.
+ROWS = 512
+#: More than rounding can part two ways to the same cosine.
+SLACK = 1e-9
+#: Squares of shorter vectors lose digits: no product rules them out.
+TINY = 1e-140
 SEED = 29
 
 
@@ -45,28 +54,27 @@ class Rotations:
         x = unit
         for signs in self.signs[table]:
             x = hadamard(x * signs)
-        nearest = np.argsort(-np.abs(x), 1, kind="stable")[:, :probes]
+        nearest = np.abs(x).argmax(1)[:, None] if probes == 1 else np.argsort(-np.abs(x), 1, kind="stable")[:, :probes]
         return nearest * 2 + (np.take_along_axis(x, nearest, 1) < 0)
 
 
-def unit(vectors: list, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unit(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows that count, vectors padded with zeros, their lengths); null, zero and
     non-finite vectors and those with a null don't count."""
-    keep, rows = [], []
-    for i, v in enumerate(vectors):
-        if v is not None and len(v) and None not in v:
-            keep.append(i)
-            rows.append(np.pad(np.asarray(v, np.float64), (0, dim - len(v))))
-    x = np.array(rows).reshape(len(rows), dim)
+    n = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    x = np.zeros((len(n), dim))
+    # A null becomes NaN.
+    x[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] = vectors.flatten().to_numpy(zero_copy_only=False)
     with np.errstate(all="ignore"):
         size = np.sqrt(np.einsum("ij,ij->i", x, x))
         good = np.isfinite(x).all(1) & (size > 0) & np.isfinite(size)
-    return np.array(keep, np.int64)[good], x[good], size[good]
+    return np.flatnonzero(good), x[good], size[good]
 
 
 class Queries:
     def __init__(self, rows: list, dim: int, rotations: Rotations, probes: int):
-        keep, self.x, self.size = unit([r[1] for r in rows], dim)
+        keep, self.x, self.size = unit(pa.array([r[1] for r in rows], pa.list_(pa.float64())), dim)
         self.ids = np.array([rows[i][0] for i in keep], np.int64)
         self.probed = []
         for t in range(rotations.tables):
@@ -75,6 +83,13 @@ class Queries:
             first = np.searchsorted(code.ravel()[order], np.arange(2 * rotations.dim + 1))
             self.probed.append((first, order // code.shape[1]))
 
+    def asked(self, table: int) -> np.ndarray:
+        """Per bucket of the table one bit for each query: whether it probes there."""
+        first, whose = self.probed[table]
+        asked = np.zeros((len(first) - 1, len(self.ids)), bool)
+        asked[np.repeat(np.arange(len(first) - 1), np.diff(first)), whose] = True
+        return np.packbits(asked, 1)
+
 
 def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Indexes of each query's ``k`` best, ties to the smaller id."""
@@ -91,29 +106,35 @@ def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.nd
 def searcher(block, rotations: Rotations, k: int):
     def search(batches):
         qs: Queries = block.value
-        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        q, v, s = nothing
+        asked = [qs.asked(t) for t in range(rotations.tables)]
+        q, v, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        least = np.full(len(qs.ids), -np.inf)  # score of each query's k-th best so far
+        aim = qs.x / qs.size[:, None]
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            keep, x, size = unit(batch.column(1).to_pylist(), rotations.dim)
-            ids = np.array([ids[i] for i in keep], np.int64)
-            pairs = []
-            for t in range(rotations.tables):
-                first, whose = qs.probed[t]
-                code = rotations.axes(x / size[:, None], t)[:, 0]
-                n = first[code + 1] - first[code]
-                row = np.repeat(np.arange(len(ids)), n)
-                at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[code], n)
-                pairs.append(row * len(qs.ids) + whose[at])
-            pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-            row, query = np.divmod(pairs, max(len(qs.ids), 1))
-            other = ids[row] != qs.ids[query]
-            row, query = row[other], query[other]
-            scores = [np.einsum("ij,ij->i", x[row[i:i + PAIRS]], qs.x[query[i:i + PAIRS]])
-                      / (size[row[i:i + PAIRS]] * qs.size[query[i:i + PAIRS]]) for i in range(0, len(row), PAIRS)]
-            q, v, s = (np.concatenate(p) for p in ((q, query), (v, ids[row]), (s, *scores)))
-            some = best(q, v, s, k)
-            q, v, s = q[some], v[some], s[some]
+            keep, x, size = unit(batch.column(1), rotations.dim)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[keep].astype(np.int64)
+            for i in range(0, len(ids), ROWS):
+                own, part, length = ids[i:i + ROWS], x[i:i + ROWS], size[i:i + ROWS]
+                direction = part / length[:, None]
+                shared = np.zeros((len(own), asked[0].shape[1]), np.uint8)
+                for t in range(rotations.tables):
+                    shared |= asked[t][rotations.axes(direction, t)[:, 0]]
+                # All products of a block cost less than its candidates' one by one;
+                # a candidate that may be among the best is then scored as it is.
+                close = direction @ aim.T >= least - SLACK
+                close[length < TINY] = True
+                close[:, qs.size < TINY] = True
+                close &= np.unpackbits(shared, 1, len(qs.ids)).view(bool)
+                close &= own[:, None] != qs.ids
+                row, query = np.nonzero(close)
+                scores = [np.einsum("ij,ij->i", part[row[j:j + PAIRS]], qs.x[query[j:j + PAIRS]])
+                          / (length[row[j:j + PAIRS]] * qs.size[query[j:j + PAIRS]]) for j in range(0, len(row), PAIRS)]
+                q, v, s = (np.concatenate(p) for p in ((q, query), (v, own[row]), (s, *scores)))
+                some = best(q, v, s, k)
+                q, v, s = q[some], v[some], s[some]
+                first = np.flatnonzero(np.diff(q, prepend=-1))
+                full = np.diff(np.append(first, len(q))) == k
+                least[q[first[full]]] = s[first[full] + k - 1]
         yield pa.RecordBatch.from_arrays([pa.array(qs.ids[q]), pa.array(v), pa.array(s)], names=["query_id", "vec_id", "score"])
     return search
 

@@ -366,6 +366,31 @@ def test_neighbours_recall_ties_and_odd_vectors(spark):
     assert NN.search(df.where("1 = 0"), df.where("1 = 0")).count() == 0
 
 
+def test_neighbours_score_only_what_may_be_best(monkeypatch):
+    """Over many batches few of the pairs in shared buckets are scored, and the best come out as by brute force."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 16))
+    x[:40] *= 1e-155  # squares lose digits
+    rotations, scored, real = NN.Rotations(16, 16), [], NN.best
+    block = SimpleNamespace(value=NN.Queries([(i, x[i].tolist()) for i in range(0, 6000, 100)], 16, rotations, 16))
+    monkeypatch.setattr(NN, "best", lambda q, v, s, k: scored.append(len(q)) or real(q, v, s, k))
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 1000)), pa.array(x[i:i + 1000].tolist())], names=["vec_id", "embedding"])
+               for i in range(0, 6000, 1000)]
+    (out,) = NN.searcher(block, rotations, 5)(batches)
+    unit = x / np.abs(x).max(1)[:, None]
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    got = out.to_pandas()
+    for q in range(100, 6000, 100):
+        s = unit @ unit[q]
+        s[q] = -2
+        assert set(got[got["query_id"] == q]["vec_id"]) == set(np.argsort(-s)[:5])
+    assert sum(scored) < 60 * 6000 // 5
+
+
 def test_quality_drops_junk_and_sums_to_one(spark, docs):
     labels = spark.read.parquet(f"{DIR}/labels.parquet")
     rows = QL.classify(docs, labels).join(labels, "doc_id").collect()
