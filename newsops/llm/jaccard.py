@@ -20,7 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsops.llm import words as W
 from newsops.llm.graph import components
@@ -149,6 +149,13 @@ def folded(classes: DataFrame, doc: str, name: str) -> DataFrame:
     return classes.select(F.col("doc").alias(doc), *[fold(j).alias(f"{name}{j}") for j in range(FOLDS)])
 
 
+def least_gap() -> Column:
+    """Bits in which a class's short sketch (f0 and on) differs from those of all of a
+    component's holders of a shingle (allf0, anyf0 and on: their bits' and, and or)."""
+    return sum((F.bit_count(F.col(f"f{j}").bitwiseAND(F.bitwise_not(f"anyf{j}"))) + F.bit_count(
+        F.bitwise_not(f"f{j}").bitwiseAND(F.col(f"allf{j}"))) for j in range(FOLDS)), F.lit(0))
+
+
 def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """``pairs`` (a, b) whose sketches allow a link, with ``gap``, the bits they differ in.
     Of sizes n and m, linked sets differ in (n + m) / 9 shingles at most."""
@@ -186,6 +193,22 @@ def seeds(held: DataFrame) -> DataFrame:
         F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
 
 
+def meetings(live: DataFrame) -> DataFrame:
+    """Rows of ``live`` with each other component (to) that holds their shingle, has no
+    fewer members, and by sizes and sketches may hold a class that links to theirs.
+
+    A holder that links passes the bound at every shingle it shares: the rows that
+    are left are enough to count those."""
+    folds = [f"f{j}" for j in range(FOLDS)]
+    into = live.groupBy("token", F.col("component").alias("to")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("asked").alias("least"), F.count("*").alias("df"),
+        F.first("members").alias("to_members"), *[F.bit_and(f).alias(f"all{f}") for f in folds], *[F.bit_or(f).alias(f"any{f}") for f in folds])
+    return live.join(into, "token").where(
+        (F.struct("to_members", "to") > F.struct("members", "component"))
+        & (100 * F.col("high") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("low"))
+        & (least_gap() <= apart(F.col("n"), F.col("high"))))
+
+
 def candidates(held: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes in different components of ``known`` (node, component) that
     share what their prefixes ask for.
@@ -193,31 +216,28 @@ def candidates(held: DataFrame, known: DataFrame, classes: DataFrame) -> DataFra
     A class that links into a component shares as much with all its prefixes
     together, so (class, component) is counted first, from the smaller component's
     side; members are met only where that count is reached.  Near copies that just
-    miss a link meet every member of a large component: the short sketches are
-    compared in the join itself, so that it makes no row of such a pair."""
+    miss a link share shingles with one another, or with every member of a large
+    component: the short sketches are compared in the joins themselves, first with
+    what a component's holders of the shingle have in common, so that they make no
+    row of such a pair."""
     sizes = known.groupBy("component").agg(F.count("*").alias("members"))
     named = known.join(sizes, "component").select(F.col("node").alias("doc"), "component", "members")
     rows = materialise(held.drop("hub", "hub_n").join(named, "doc", "left").withColumns({
         "component": F.coalesce("component", "doc"), "members": F.coalesce("members", F.lit(1).cast("long"))}), "jaccard-rows")
-    per = rows.groupBy("token", "component").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.min("asked").alias("least"), F.first("members").alias("members"), F.count("*").alias("df"))
-    mixed = per.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
-    per = materialise(per.join(mixed, "token"), "jaccard-per")
-    live = materialise(rows.join(per.select("token").distinct(), "token", "left_semi"), "jaccard-live")
-    into = per.select("token", F.col("component").alias("to"), "low", "high", "least", "df", F.col("members").alias("to_members"))
-    met = live.join(into, "token").where(
-        (F.struct("to_members", "to") > F.struct("members", "component"))
-        & (100 * F.col("high") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("low")))
+    mixed = rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
+    live = materialise(rows.join(mixed, "token", "left_semi").join(folded(classes, "doc", "f"), "doc"), "jaccard-live")
+    folds = [f"f{j}" for j in range(FOLDS)]
+    met = meetings(live)
     # Any partner inside shares ``must`` of these shingles: all but the must - 1 most
     # frequent ones are enough to meet it.
     must = F.least("asked", "least")
-    enough = materialise(met.groupBy("doc", "n", "to").agg(
+    enough = materialise(met.groupBy("doc", "n", "to", *folds).agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"), F.min("least").alias("least"), F.min("asked").alias("asked"))
         .where(F.size("t") >= must)
-        .join(folded(classes, "doc", "f"), "doc")
-        .select("doc", "n", "to", *[f"f{j}" for j in range(FOLDS)], F.explode(F.slice("t", F.lit(1), (F.size("t") - must + 1).cast("int"))).alias("t"))
-        .select("doc", "n", "to", *[f"f{j}" for j in range(FOLDS)], "t.token"), "jaccard-enough")
-    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m")).join(folded(classes, "y", "g"), "y")
+        .select("doc", "n", "to", *folds, F.explode(F.slice("t", F.lit(1), (F.size("t") - must + 1).cast("int"))).alias("t"))
+        .select("doc", "n", "to", *folds, "t.token"), "jaccard-enough")
+    inside = live.select("token", F.col("component").alias("to"), F.col("doc").alias("y"), F.col("n").alias("m"),
+                         *[F.col(f"f{j}").alias(f"g{j}") for j in range(FOLDS)])
     gap = sum((F.bit_count(F.col(f"f{j}").bitwiseXOR(F.col(f"g{j}"))) for j in range(FOLDS)), F.lit(0))
     return enough.join(inside, ["token", "to"]).where(alike(F.col("n"), F.col("m")) & (gap <= apart(F.col("n"), F.col("m")))).select(
         F.least("doc", "y").alias("a"), F.greatest("doc", "y").alias("b")).distinct()

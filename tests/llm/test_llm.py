@@ -312,6 +312,19 @@ def test_jaccard_near_misses_of_a_large_component_make_no_pairs(spark):
     assert got == {(d, 200) for d in range(1, 41)}
 
 
+def test_jaccard_near_misses_of_each_other_make_no_rows(spark):
+    """Classes that share shingles but whose sketches forbid a link, each alone, and a
+    pair that may link into a component of two: only that comes out of the first join."""
+    rng = np.random.default_rng(4)
+    far = lambda: [int(x) for x in rng.integers(-1 << 62, 1 << 62, JJ.FOLDS)]
+    base = far()
+    rows = [(d, d, 1, far()) for d in range(1, 61)] + [(200, 200, 2, base), (201, 200, 2, [base[0] ^ 5, *base[1:]]), (202, 202, 1, [base[0] ^ 3, *base[1:]])]
+    live = spark.createDataFrame([(t, d, 20, 2, c, m, *f) for d, c, m, f in rows for t in (7, 8)],
+                                 "token long, doc long, n long, asked long, component long, members long, f0 long, f1 long, f2 long, f3 long")
+    got = sorted((r["token"], r["doc"], r["to"]) for r in JJ.meetings(live).collect())
+    assert got == [(7, 202, 200), (8, 202, 200)]
+
+
 @pytest.mark.parametrize("words_of_all", [0, 40])
 def test_jaccard_components_of_many_small_groups(spark, words_of_all):
     """Groups at and around the threshold, chained, some with a passage that all texts share."""
