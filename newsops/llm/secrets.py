@@ -28,6 +28,7 @@ RUN = r"[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 WIDE = len(ALPHABET)
 TRAIN_DOCS = 2000
+SAMPLE_FILES = 16
 #: Weight, in pairs, of a character's own frequency in the pairs' probabilities.
 BLEND = 20.0
 #: Letters and digits mixed as in keys; names end in digits or have them by themselves.
@@ -118,7 +119,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[float], f
         F.transform(plain, lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))),
         # Names in capitals are as ordinary as others.
         F.transform(plain, lambda v: F.struct(F.lit(0).alias("random"), F.upper(v).alias("run"))))).alias("x"))
-    samples = materialise(samples.withColumn("apart", F.pmod(F.xxhash64(F.lower("x.run")), F.lit(5)) == 0), "secrets-samples")
+    # Of a bounded number of texts: a file for each partition of the shuffle would be mostly empty ones.
+    samples = materialise(samples.withColumn("apart", F.pmod(F.xxhash64(F.lower("x.run")), F.lit(5)) == 0).coalesce(SAMPLE_FILES), "secrets-samples")
     pairs = samples.where("not apart").select("x.random", F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length("x.run") - 1, F.lit(1))),
         lambda i: F.struct(F.substring("x.run", i, F.lit(1)).alias("a"), F.substring("x.run", i + 1, F.lit(1)).alias("b")))).alias("p"))

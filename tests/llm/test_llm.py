@@ -157,6 +157,21 @@ def test_secret_models_learn_from_different_texts(spark):
     assert np.allclose(some[0], all_[0]) and abs(some[1] - all_[1]) < 1e-9
 
 
+def test_secret_samples_are_few_files(spark, monkeypatch):
+    written, real = [], SE.materialise
+    monkeypatch.setattr(SE, "materialise", lambda df, name: written.append(df.rdd.getNumPartitions()) or real(df, name))
+    docs = spark.range(300).select(F.concat(F.lit("user_session_handler token="), F.sha1(F.col("id").cast("string"))).alias("text"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert SE.train(docs) is not None
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert written == [SE.SAMPLE_FILES]
+
+
 def test_language_spans_and_held_out_accuracy(spark, docs):
     df = docs.withColumn("held", LI.held_out("doc_id"))
     model = LI.fit(df.where("not held"))
