@@ -24,6 +24,8 @@ from newsops.session import materialise
 
 ORDER = 5
 SHARD_ROWS = 4_000_000
+#: Weights that come to the driver in one job.
+PART_ROWS = 500_000
 #: Labelled ids in one broadcast.
 BLOCK_ROWS = 500_000
 QUANTILE = 0.99
@@ -216,9 +218,16 @@ class Scorer:
         return self
 
     def fill(self, h, w, order):
-        self.order, self.table, self.seed, self.unseen = order, Table(h, w.astype(np.float32)), 0, 0.0
+        self.order, self.rows, self.made, self.seed, self.unseen = order, (h, w.astype(np.float32, copy=False)), None, 0, 0.0
         self.part, self.parts = np.uint64(0), np.uint64(1)
 
+    @property
+    def table(self) -> Table:
+        """Made where it is first asked: half of its slots are empty, only the rows travel."""
+        if self.made is None:
+            self.made, self.rows = Table(*self.rows), None
+        return self.made
+
     def get(self, h: np.ndarray) -> np.ndarray:
         if self.parts == 1:
             return self.table.get(h)
@@ -269,6 +278,18 @@ def counted(taught: DataFrame, order: int) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("good"), F.col("c"))), F.lit(0).cast("long")).alias("good"), F.sum("c").alias("c")), "quality-grams")
 
 
+def gathered(keyed: DataFrame, part_rows: int = PART_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """All (h, w) of ``keyed``, a written table, as arrays.  They come to the driver
+    some ``part_rows`` at a time, so that it holds little more than the arrays."""
+    n = keyed.count()
+    h, w, at, parts = np.empty(n, np.uint64), np.empty(n, np.float32), 0, max(1, -(-n // part_rows))
+    for p in range(parts):
+        rows = keyed.where(F.pmod(F.xxhash64("h"), F.lit(parts)) == p).select("h", F.col("w").cast("float").alias("w")).toArrow()
+        h[at:at + len(rows)], w[at:at + len(rows)] = rows["h"].to_numpy().view(np.uint64), rows["w"].to_numpy()
+        at += len(rows)
+    return h, w
+
+
 def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, shard_rows: int = SHARD_ROWS,
           rejected: DataFrame | None = None) -> DataFrame:
     """(doc_id, lang, perplexity) of every row of ``docs`` (doc_id, text, lang), by a
@@ -306,10 +327,12 @@ def scored(docs: DataFrame, taught: DataFrame, order: int = ORDER, shard_rows: i
     schema = f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, chars int, " + ", ".join(f"{t} double" for t in totals)
     sums = None
     for s in range(shards):
-        rows = (keyed if shards == 1 else keyed.where(which == s)).toArrow()
-        scorer = Scorer.shard(rows["h"].to_numpy().view(np.uint64), rows["w"].to_numpy(), order, s, shards)
-        part = out.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(scorer), kinds), schema)
-        part = part if shards == 1 else materialise(part, "quality-sums")
+        scorer = Scorer.shard(*gathered(keyed if shards == 1 else keyed.where(which == s)), order, s, shards)
+        known = docs.sparkSession.sparkContext.broadcast(scorer)
+        part = out.mapInArrow(_score(known, kinds), schema)
+        if shards > 1:
+            part = materialise(part, "quality-sums")
+            known.destroy()
         sums = part if sums is None else sums.unionAll(part)
     if shards > 1:
         # Rows alike in all of these have equal sums: as many come out as went in.

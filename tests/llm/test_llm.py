@@ -478,6 +478,24 @@ def test_quality_keeps_its_order_at_every_size(spark, docs):
     assert sum(abs(a[2] - b[2]) > 1e-3 * a[2] for a, b in zip(one, short)) > 100
 
 
+def test_quality_weights_travel_without_their_table(spark):
+    import pickle
+
+    rng = np.random.default_rng(5)
+    h = rng.integers(1, 1 << 62, 50_000).astype(np.uint64)
+    w = rng.normal(size=len(h)).astype(np.float32)
+    keyed = spark.createDataFrame(list(zip(h.view(np.int64).tolist(), w.tolist())), "h long, w double")
+    some, weights = QL.gathered(keyed, 7_000)
+    assert sorted(zip(some.tolist(), weights.tolist())) == sorted(zip(h.tolist(), w.tolist()))
+    scorer = QL.Scorer.shard(some, weights, 5)
+    sent = pickle.dumps(scorer, 5)
+    assert len(sent) < 13 * len(h)
+    there = pickle.loads(sent)
+    assert (there.get(h) == w).all() and (there.get(h + np.uint64(1)) == 0).all()
+    none, _ = QL.gathered(keyed.where("1 = 0"))
+    assert len(none) == 0
+
+
 def test_quality_drops_toxic_prose_it_has_not_seen(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
     seen = F.pmod(F.xxhash64("doc_id"), F.lit(5)) != 0
