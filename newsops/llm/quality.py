@@ -30,6 +30,8 @@ PART_ROWS = 500_000
 BLOCK_ROWS = 500_000
 QUANTILE = 0.99
 CHUNK_CHARS = 1 << 17
+#: Slots for windows that a worker has looked up lately: 24 MB with two models.
+RECENT_BITS = 20
 START = "\x02"
 #: Before a language's name: its model of trusted and rejected text.
 MIXED = "\x03"
@@ -174,6 +176,25 @@ class Table:
         return out
 
 
+class Recent:
+    """Some numbers for each of the windows met lately, by hash: of those that share a
+    slot, the one that came last."""
+
+    def __init__(self, numbers: int, bits: int):
+        self.shift, self.keys, self.values = np.uint64(64 - bits), np.zeros(1 << bits, np.uint64), np.zeros((numbers, 1 << bits))
+        # No hash that falls on the first slot; 0 is none that falls on another.
+        self.keys[0] = ~np.uint64(0)
+
+    def get(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of each window, and which of them aren't known."""
+        at = (h >> self.shift).astype(np.int64)
+        return self.values[:, at], np.flatnonzero(self.keys[at] != h)
+
+    def put(self, h: np.ndarray, values: np.ndarray) -> None:
+        at, first = np.unique(h >> self.shift, return_index=True)
+        self.keys[at], self.values[:, at] = h[first], values[:, first]
+
+
 def seed(lang: str) -> int:
     return int.from_bytes(hashlib.md5(lang.encode("utf-8", "surrogatepass")).digest()[:8], "big")
 
@@ -219,7 +240,7 @@ class Scorer:
 
     def fill(self, h, w, order):
         self.order, self.rows, self.made, self.seed, self.unseen = order, (h, w.astype(np.float32, copy=False)), None, 0, 0.0
-        self.part, self.parts = np.uint64(0), np.uint64(1)
+        self.part, self.parts, self.recent = np.uint64(0), np.uint64(1), None
 
     @property
     def table(self) -> Table:
@@ -249,6 +270,20 @@ class Scorer:
                 out += self.get(hashes(points, ends - 1, k - 1, seeds ^ CONTEXT))
         return out[where]
 
+    def remembered(self, points: np.ndarray, ends: np.ndarray, seeds: list[np.ndarray]) -> np.ndarray:
+        """log_probabilities() for each of ``seeds``, which the same languages have in
+        every call.  A window of the highest order that was met lately isn't looked
+        up again."""
+        if self.recent is None:
+            self.recent = Recent(len(seeds), RECENT_BITS)
+        h = hashes(points, ends, self.order, seeds[0])
+        out, new = self.recent.get(h)
+        if len(new):
+            found = np.stack([self.log_probabilities(points, ends[new], own[new]) for own in seeds])
+            out[:, new] = found
+            self.recent.put(h[new], found)
+        return out
+
 
 def _score(known, kinds: list[str]):
     def scan(batches):
@@ -259,10 +294,11 @@ def _score(known, kinds: list[str]):
             for rows in chunks(texts):
                 points, real = padded([texts[i] for i in rows], scorer.order)
                 sizes, ends = np.array([len(texts[i]) for i in rows]), np.flatnonzero(real)
-                for kind, result in zip(kinds, results):
-                    seeds = {lang: seed(kind + lang) for lang in set(langs)}
-                    own = np.repeat(np.array([seeds[langs[i]] for i in rows], np.uint64), sizes)
-                    sums = np.concatenate([[0.0], np.cumsum(scorer.log_probabilities(points, ends, own))])
+                names = {lang: i for i, lang in enumerate(sorted({langs[i] for i in rows}))}
+                which = np.repeat(np.array([names[langs[i]] for i in rows]), sizes)
+                seeds = [np.array([seed(kind + lang) for lang in names], np.uint64)[which] for kind in kinds]
+                for result, each in zip(results, scorer.remembered(points, ends, seeds)):
+                    sums = np.concatenate([[0.0], np.cumsum(each)])
                     for i, x in zip(rows, np.diff(sums[np.concatenate([[0], np.cumsum(sizes)])]).tolist()):
                         result[i] = x
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(r, pa.float64()) for r in results]],

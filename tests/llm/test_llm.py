@@ -496,6 +496,34 @@ def test_quality_weights_travel_without_their_table(spark):
     assert len(none) == 0
 
 
+def test_quality_looks_a_window_up_once(monkeypatch):
+    asked = []
+
+    class Counting(QL.Scorer):
+        def get(self, h):
+            asked.append(len(h))
+            return super().get(h)
+
+    rng = np.random.default_rng(7)
+    texts = ["".join(rng.choice(list("abcé \U0001F600"), 3_000)) for _ in range(4)]
+    points, real = QL.padded(texts, 5)
+    ends = np.flatnonzero(real)
+    which = np.repeat([0, 1, 0, 1], 3_000)
+    seeds = [np.array([QL.seed(kind + lang) for lang in ("de", "en")], np.uint64)[which] for kind in ("", QL.MIXED)]
+    known = np.unique(np.concatenate([QL.hashes(points, ends, k, s) for k in (1, 2, 5) for s in seeds]))[::2]
+    weights = rng.normal(size=len(known)).astype(np.float32)
+    for bits in (16, 3):
+        monkeypatch.setattr(QL, "RECENT_BITS", bits)
+        scorer = Counting.shard(known, weights, 5)
+        asked.clear()
+        want = np.stack([scorer.log_probabilities(points, ends, s) for s in seeds])
+        direct = sum(asked)
+        for _ in range(3):
+            asked.clear()
+            assert (scorer.remembered(points, ends, seeds) == want).all()
+        assert sum(asked) <= (direct / 10 if bits == 16 else direct)
+
+
 def test_quality_drops_toxic_prose_it_has_not_seen(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
     seen = F.pmod(F.xxhash64("doc_id"), F.lit(5)) != 0
