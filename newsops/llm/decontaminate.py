@@ -75,6 +75,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
     occurs; repeated items count once; words of an item without an id are hit, but
     it isn't listed.  Further columns pass through; older columns of these three
     names are replaced."""
+    return _scanned(docs, benchmark, width, block_bytes).withColumn(HITS, F.transform(
+        _pairs(HITS), lambda i: F.struct(F.get(HITS, i).alias("first"), F.get(HITS, i + 1).alias("end"))))
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """cut() of decontaminate()'s rows but those that are nothing but hits.  One Python
+    worker a task does both: a function after another would have a worker of its own."""
+    return _scanned(docs, benchmark, width, block_bytes, cut_too=True)
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, cut_too: bool = False) -> DataFrame:
+    """decontaminate()'s rows with flat spans, or cleaned()'s."""
     docs = docs.drop(COUNT, HITS, ITEMS)
     sc = docs.sparkSession.sparkContext
     texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
@@ -86,9 +98,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
     for b in range(n):
         mine = texts if n == 1 else texts.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b)
         known = sc.broadcast(Windows([tuple(r) for r in mine.toLocalIterator()], width))
-        out = out.mapInArrow(scanner(known, docs.columns.index("text")), schema)
-    return out.withColumn(HITS, F.transform(
-        _pairs(HITS), lambda i: F.struct(F.get(HITS, i).alias("first"), F.get(HITS, i + 1).alias("end"))))
+        text_at = docs.columns.index("text")
+        if cut_too and b == n - 1:
+            return out.mapInArrow(cleaner(known, text_at, docs.columns), docs.schema)
+        out = out.mapInArrow(scanner(known, text_at), schema)
+    return out
 
 
 def _pairs(spans: str):
@@ -124,6 +138,20 @@ def scanner(known, text_at: int):
     return scan
 
 
+def cleaner(known, text_at: int, names: list[str]):
+    spans_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+
+    def left(batches):
+        for batch in scanner(known, text_at)(batches):
+            counts, flat = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
+            spans = [[{"first": a, "end": b} for a, b in zip(s[::2], s[1::2])] for s in flat]
+            stay = [not s or sum(x["end"] - x["first"] for x in s) < n for s, n in zip(spans, counts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(spans, spans_type)], names=[*names, HITS]).filter(
+                pa.array(stay, pa.bool_()))
+
+    return lambda batches: cutter(text_at, len(names), names)(left(batches))
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns of decontaminate()'s rows."""
     return found.select(

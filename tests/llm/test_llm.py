@@ -460,6 +460,25 @@ def test_quality_labels_go_to_the_texts(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+@pytest.mark.parametrize("block_bytes", [DC.BLOCK_BYTES, 40])
+def test_decontamination_holds_one_python_worker_a_task(spark, block_bytes):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(1, f"É before, {item} after!", "x"), (2, item.upper(), "x"), (2, f"{item} ten {item}", "x"), (3, None, "x"), (4, "", "x"),
+            (5, "??", None), (None, f"{item}; tail tail", "x"), (6, "tail tail", "x"), (6, "tail tail", "x"), (7, "short item of test", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hits string").withColumn("more", F.array(F.lit(1.5)))
+    bench = spark.createDataFrame([(1, item), (2, "short item"), (3, ""), (None, "tail")], "item_id long, text string")
+    found = DC.decontaminate(docs, bench, block_bytes=block_bytes)
+    hit = F.aggregate(DC.HITS, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
+    want = DC.cut(found.where((hit < F.col(DC.COUNT)) | (F.size(DC.HITS) == 0)))
+    got = DC.cleaned(docs, bench, block_bytes=block_bytes)
+    assert got.schema == want.schema and got.count() == 6
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    workers = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    assert workers(got) == workers(found)
+    stage = corpus_pipeline.decontamination(spark, spark.read.parquet(f"{DIR}/documents.parquet"), DIR)
+    assert workers(stage) == 1
+
+
 def test_quality_counts_both_kinds_in_one_pass(spark):
     taught = spark.createDataFrame([("aab", "l", True), ("ab", "l", False), (None, "l", True), ("x", None, False)], "text string, lang string, good boolean")
     got = {(r["lang"], r["g"].replace(QL.START, "^")): (r["good"], r["c"]) for r in QL.counted(taught, 2).collect()}
