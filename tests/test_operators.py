@@ -430,3 +430,37 @@ def test_daily_run_derives_its_dataset_once(spark, monkeypatch):
                                  "doc_id long, text string, label string, importance string, correlations string")
     got = daily.daily_run(rows).collect()
     assert [r["target"] for r in got] == ["label", "importance", "correlations"] and all(r["files"] > 0 and r["n"] == 2 for r in got)
+
+
+def test_daily_run_trains_its_models_until_they_converge(spark, monkeypatch):
+    """Each fit ends by itself, not by a number of steps, and its loss stands still."""
+    from workload import q_runs
+
+    names = ["negative", "neutral", "positive"]
+    rows = spark.createDataFrame([(
+        i, " ".join(f"w{(i * k) % 37} x{i % 3 if (i * k) % 5 else k % 3}" for k in range(1, 7)), names[i % 3],
+        ["générale", "importante", "critique"][i % 3], vocab.COMMODITY_CODES[i % 2 + (i % 7 == 0)]) for i in range(150)],
+        "doc_id bigint, text string, label string, importance string, correlations string")
+    monkeypatch.setattr(q_runs, "labelled", lambda spark, d: rows)
+    fitted = []
+    for name in ("fit_classifier", "fit_multilabel"):
+        def fit(*args, of=getattr(model, name), **options):
+            fitted.append(of(*args, **options))
+            return fitted[-1]
+
+        monkeypatch.setattr(model, name, fit)
+    got = {r["target_column"] for r in q_runs.i10(spark, "none").collect()}
+    assert got == {"label", "importance", "correlations"}
+    models = [m for f in fitted for m in (f.models.values() if hasattr(f, "models") else [f.model])]
+    assert len(models) == 2 + 3
+    for m in models:
+        losses = m.summary.objectiveHistory
+        assert m.summary.totalIterations < m.getMaxIter()
+        assert abs(losses[-2] - losses[-1]) < 1e-5 * losses[0]
+
+
+def test_few_parts_keeps_rows_and_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for parts, most, left in ((1, 8, 1), (3 * cores, 8, cores), (10 * cores, 5, 2 * cores)):
+        df = model.few_parts(spark.range(0, 1000, 1, parts), most)
+        assert df.rdd.getNumPartitions() == left and df.count() == 1000
